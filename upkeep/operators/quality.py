@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from upkeep import schema as S
 from upkeep.functions.expressions import parse_bool
 from upkeep.operators.stats import broadcast_if_small, exact_median, lowest_mode
+from upkeep.session import materialize
 
 STAGES = ["missing_columns", "invalid_types", "excessive_missing", "business_logic",
           "duplicates", "invalid_dates", "insufficient_building_data"]
@@ -147,9 +148,11 @@ def fill_technician(df: DataFrame, default: int = S.DEFAULT_TECHNICIAN_ID) -> Da
             .drop("technician_mode"))
 
 
-def handle_missing(df: DataFrame, columns=S.RECORD_COLUMNS) -> DataFrame:
-    df = drop_excessive_missing(df, columns)
-    df = fill_downtime(df)
+def handle_missing(df: DataFrame, columns=S.RECORD_COLUMNS, checkpoint: bool = False) -> DataFrame:
+    df = fill_downtime(drop_excessive_missing(df, columns))
+    if checkpoint:
+        # the fills below read these rows four times (two medians, two modes)
+        df = materialize(df)
     df = fill_cost(df)
     df = fill_period(df)
     return fill_technician(df)
@@ -250,14 +253,14 @@ class CleanResult:
 
 def clean(df: DataFrame, as_of: str, tie=None, strict_nulls: bool = False,
           min_records: int = S.MIN_RECORDS_PER_BUILDING, max_age_days: int = S.MAX_AGE_DAYS,
-          columns=S.RECORD_COLUMNS) -> CleanResult:
+          columns=S.RECORD_COLUMNS, checkpoint: bool = True) -> CleanResult:
     stages = {}
     raw = df
     df = drop_missing_essentials(ensure_required_columns(df))
     stages["missing_columns"] = df
     df = drop_invalid_types(coerce_types(df))
     stages["invalid_types"] = df
-    df = handle_missing(df, columns)
+    df = handle_missing(df, columns, checkpoint=checkpoint)
     stages["excessive_missing"] = df
     df = drop_rule_violations(df, strict_nulls)
     stages["business_logic"] = df
@@ -266,6 +269,8 @@ def clean(df: DataFrame, as_of: str, tie=None, strict_nulls: bool = False,
     df = filter_date_range(df, as_of, max_age_days)
     stages["invalid_dates"] = df
     df = drop_sparse_buildings(df, min_records)
+    if checkpoint:
+        df = materialize(df)
     stages["insufficient_building_data"] = df
     return CleanResult(df, stages, raw)
 

@@ -138,3 +138,27 @@ QUERIES = {
     "schema_report": q_schema_report,
     "contract_violations": q_contract_violations,
 }
+
+
+# ------------------------------------------------------------------ features
+from upkeep.operators import features as FE  # noqa: E402
+from upkeep.plans.oracle import FEATURE_GROUPS, ID_COLS  # noqa: E402
+
+
+def _features(spark, sf_dir, max_rows=FE.DEFAULT_MAX_ROWS):
+    return FE.engineer(_cleaned(spark, sf_dir).data, tie=ADAPTER_TIE, max_rows=max_rows)
+
+
+def q_features(spark, sf_dir):
+    return _features(spark, sf_dir)
+
+
+def _feature_group(cols):
+    def run(spark, sf_dir):
+        return _features(spark, sf_dir).select(*ID_COLS, *cols)
+    return run
+
+
+QUERIES["features"] = q_features
+for _name, _cols in FEATURE_GROUPS.items():
+    QUERIES[_name] = _feature_group(_cols)

@@ -193,3 +193,96 @@ SELECT * FROM (
       lambda x: x IS NOT NULL), '|') AS violations
   FROM dirty) t WHERE violations <> ''""",
 }
+
+
+def features_ctes(src="s7"):
+    """Feature CTEs over a cleaned relation; final relation is ``feat``."""
+    return f"""
+g AS (SELECT building_id, asset_type, count(*) AS n,
+             min(epoch_us(maintenance_date)) AS lo, max(epoch_us(maintenance_date)) AS hi,
+             count_if(failure_reported) AS f, count(failure_reported) AS fn,
+             count_if(maintenance_type = 'preventive' AND failure_reported) AS pf,
+             count(CASE WHEN maintenance_type = 'preventive' THEN failure_reported END) AS pfn
+      FROM {src} GROUP BY building_id, asset_type),
+gb AS (SELECT building_id, CAST(sum(f) AS DOUBLE) / sum(fn) AS building_failure_rate,
+              count(asset_type) AS asset_density FROM g GROUP BY building_id),
+ga AS (SELECT asset_type, CAST(sum(f) AS DOUBLE) / sum(fn) AS asset_failure_rate FROM g GROUP BY asset_type),
+gc AS (SELECT city, count(DISTINCT building_id) AS city_building_count FROM {src}
+       WHERE city IS NOT NULL GROUP BY city),
+gw AS (SELECT *,
+         lag(maintenance_date) OVER win AS p_date, lead(maintenance_date) OVER win AS n_date,
+         lag(maintenance_cost, 1) OVER win AS l1c, lag(maintenance_cost, 2) OVER win AS l2c,
+         lag(downtime_days, 1) OVER win AS l1d, lag(downtime_days, 2) OVER win AS l2d,
+         sum(CAST(maintenance_cost AS DECIMAL(24,6))) OVER (win ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cc,
+         sum(downtime_days) OVER (win ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cd,
+         row_number() OVER win AS rn
+       FROM {src}
+       WINDOW win AS (PARTITION BY building_id, asset_type ORDER BY maintenance_date, {TIE_SQL})),
+gj AS (SELECT gw.*, g.n, g.lo, g.hi, g.pf, g.pfn, gb.building_failure_rate, gb.asset_density,
+              ga.asset_failure_rate, gc.city_building_count,
+              CAST(floor((epoch_us(maintenance_date) - epoch_us(p_date)) / 86400000000.0) AS BIGINT) AS gap,
+              CAST(floor((epoch_us(n_date) - epoch_us(maintenance_date)) / 86400000000.0) AS BIGINT) AS to_next,
+              floor((g.hi - g.lo) / 86400000000.0) AS span
+       FROM gw JOIN g USING (building_id, asset_type) JOIN gb USING (building_id)
+       JOIN ga USING (asset_type) LEFT JOIN gc USING (city)),
+feat AS (SELECT * EXCLUDE (p_date, n_date, l1c, l2c, l1d, l2d, cc, cd, rn, n, lo, hi, pf, pfn, gap, to_next, span),
+   to_next AS days_to_next_maintenance,
+   coalesce(to_next <= 90 OR failure_reported = true OR (period_days IS NOT NULL AND gap > period_days * 1.2), false)
+     AS maintenance_needed,
+   coalesce(gap, period_days, 90) AS days_since_last_maintenance,
+   CASE WHEN n < 2 OR span < 30 THEN 2.0 ELSE n / (span / 365.25) END AS maintenance_frequency,
+   CAST(month(maintenance_date) AS INTEGER) AS maintenance_month,
+   CAST(quarter(maintenance_date) AS INTEGER) AS maintenance_quarter,
+   CAST(isodow(maintenance_date) - 1 AS INTEGER) AS maintenance_day_of_week,
+   CASE WHEN month(maintenance_date) IN (12, 1, 2) THEN 'winter' WHEN month(maintenance_date) IN (3, 4, 5) THEN 'spring'
+        WHEN month(maintenance_date) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS maintenance_season,
+   CAST(floor((epoch_us(maintenance_date) - epoch_us(TIMESTAMP '2010-01-01')) / 86400000000.0) AS BIGINT) / 365.25
+     AS building_age_years,
+   coalesce(CASE WHEN building_area = 0 THEN NULL ELSE maintenance_cost / building_area END, 0.0) AS maintenance_cost_per_sqm,
+   CASE WHEN maintenance_cost > 0 THEN CASE WHEN maintenance_cost <= 200 THEN 'low' WHEN maintenance_cost <= 500 THEN 'medium'
+        WHEN maintenance_cost <= 1000 THEN 'high' ELSE 'very_high' END END AS maintenance_cost_category,
+   CASE WHEN maintenance_cost + 1.0 = 0 THEN NULL ELSE CAST(downtime_days AS DOUBLE) / (maintenance_cost + 1.0) END
+     AS downtime_cost_ratio,
+   CASE WHEN maintenance_type = 'preventive' THEN 1.0 - CAST(pf AS DOUBLE) / pfn ELSE 0.0 END AS preventive_effectiveness,
+   building_area / building_floors AS area_per_floor,
+   CASE WHEN building_area > 0 THEN CASE WHEN building_area <= 1000 THEN 'small' WHEN building_area <= 3000 THEN 'medium'
+        WHEN building_area <= 6000 THEN 'large' ELSE 'very_large' END END AS building_size_category,
+   CASE WHEN building_floors > 0 THEN CASE WHEN building_floors <= 3 THEN 'low' WHEN building_floors <= 7 THEN 'medium'
+        WHEN building_floors <= 15 THEN 'high' ELSE 'very_high' END END AS building_height_category,
+   CASE WHEN (CAST(maintenance_cost IS NOT NULL AS INTEGER) + CAST(l1c IS NOT NULL AS INTEGER) + CAST(l2c IS NOT NULL AS INTEGER)) > 0
+        THEN (coalesce(maintenance_cost, 0.0) + coalesce(l1c, 0.0) + coalesce(l2c, 0.0))
+             / (CAST(maintenance_cost IS NOT NULL AS INTEGER) + CAST(l1c IS NOT NULL AS INTEGER) + CAST(l2c IS NOT NULL AS INTEGER)) END
+     AS maintenance_cost_rolling_mean,
+   CASE WHEN (CAST(downtime_days IS NOT NULL AS INTEGER) + CAST(l1d IS NOT NULL AS INTEGER) + CAST(l2d IS NOT NULL AS INTEGER)) > 0
+        THEN (coalesce(CAST(downtime_days AS DOUBLE), 0.0) + coalesce(CAST(l1d AS DOUBLE), 0.0) + coalesce(CAST(l2d AS DOUBLE), 0.0))
+             / (CAST(downtime_days IS NOT NULL AS INTEGER) + CAST(l1d IS NOT NULL AS INTEGER) + CAST(l2d IS NOT NULL AS INTEGER)) END
+     AS downtime_rolling_mean,
+   coalesce(maintenance_cost - l1c, 0.0) AS cost_trend,
+   coalesce(CAST(downtime_days - l1d AS DOUBLE), 0.0) AS downtime_trend,
+   CASE WHEN maintenance_cost IS NOT NULL THEN CAST(cc AS DOUBLE) END AS cumulative_maintenance_cost,
+   CASE WHEN downtime_days IS NOT NULL THEN CAST(cd AS BIGINT) END AS cumulative_downtime,
+   CAST(rn AS BIGINT) AS maintenance_count
+ FROM gj)"""
+
+
+FEATURES = with_ctes(RECORDS_CTE, DIRTY_CTE, clean_ctes(), features_ctes())
+
+FEATURE_GROUPS = {
+    "label": ["days_to_next_maintenance", "maintenance_needed"],
+    "time_features": ["days_since_last_maintenance", "maintenance_frequency", "maintenance_month",
+                      "maintenance_quarter", "maintenance_day_of_week", "maintenance_season",
+                      "building_age_years"],
+    "maintenance_features": ["maintenance_cost_per_sqm", "maintenance_cost_category", "downtime_cost_ratio",
+                             "building_failure_rate", "asset_failure_rate", "preventive_effectiveness"],
+    "building_features": ["area_per_floor", "building_size_category", "building_height_category",
+                          "asset_density", "city_building_count"],
+    "aggregation_features": ["maintenance_cost_rolling_mean", "downtime_rolling_mean", "cost_trend",
+                             "downtime_trend", "cumulative_maintenance_cost", "cumulative_downtime",
+                             "maintenance_count"],
+}
+ID_COLS = ["building_id", "asset_type", "maintenance_date", "l_orderkey", "l_linenumber", "l_partkey",
+           "l_suppkey", "l_extendedprice"]
+
+ORACLE["features"] = FEATURES + "SELECT * FROM feat"
+for _name, _cols in FEATURE_GROUPS.items():
+    ORACLE[_name] = FEATURES + f"SELECT {', '.join(ID_COLS + _cols)} FROM feat"

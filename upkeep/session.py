@@ -62,3 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="upkeep-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` as a reliable checkpoint and continue from it.
+
+    Used at stage boundaries that are read more than once (cleaned records,
+    feature table): later passes read the stored rows instead of replaying
+    joins and shuffles, and a lost executor does not replay the lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
