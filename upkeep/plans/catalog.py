@@ -162,3 +162,59 @@ def _feature_group(cols):
 QUERIES["features"] = q_features
 for _name, _cols in FEATURE_GROUPS.items():
     QUERIES[_name] = _feature_group(_cols)
+
+
+# ------------------------------------------------------------------ encoding
+from upkeep.operators import encode as EN  # noqa: E402
+from upkeep.session import materialize  # noqa: E402
+
+ROUND6 = 6
+
+
+def _feature_table(spark, sf_dir):
+    return materialize(_features(spark, sf_dir))
+
+
+def _encoded(spark, sf_dir):
+    feats = _feature_table(spark, sf_dir)
+    enc = EN.fit(feats)
+    encoded = EN.apply_scaler(EN.apply_encoding(feats, enc), enc)
+    cols = EN.final_feature_columns(encoded, extra_exclude=ADAPTER_TIE)
+    return feats, enc, encoded, cols
+
+
+def q_label_vocab(spark, sf_dir):
+    _, enc, _, _ = _encoded(spark, sf_dir)
+    return enc.vocab
+
+
+def q_scaler_stats(spark, sf_dir):
+    _, enc, _, _ = _encoded(spark, sf_dir)
+    return enc.scaler.select("feature", F.round("mean", ROUND6).alias("mean"),
+                             F.round("scale", ROUND6).alias("scale"))
+
+
+def _matrix(spark, sf_dir):
+    _, enc, encoded, cols = _encoded(spark, sf_dir)
+    m = EN.final_features(encoded, cols, keep=ID_COLS + ["maintenance_needed"])
+    return m, cols, enc
+
+
+def q_feature_matrix(spark, sf_dir):
+    m, cols, enc = _matrix(spark, sf_dir)
+    return m.withColumns({c: F.round(c, ROUND6) for c in enc.scaled_columns if c in cols})
+
+
+def q_feature_stats(spark, sf_dir):
+    m, cols, enc = _matrix(spark, sf_dir)
+    m = m.withColumns({c: F.round(c, ROUND6) for c in enc.scaled_columns if c in cols})
+    st = EN.feature_statistics(m, cols)
+    return st.select("feature", *[F.round(c, ROUND6).alias(c) for c in ("mean", "std", "min", "max")])
+
+
+QUERIES.update({
+    "label_vocab": q_label_vocab,
+    "scaler_stats": q_scaler_stats,
+    "feature_matrix": q_feature_matrix,
+    "feature_stats": q_feature_stats,
+})

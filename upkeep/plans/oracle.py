@@ -286,3 +286,65 @@ ID_COLS = ["building_id", "asset_type", "maintenance_date", "l_orderkey", "l_lin
 ORACLE["features"] = FEATURES + "SELECT * FROM feat"
 for _name, _cols in FEATURE_GROUPS.items():
     ORACLE[_name] = FEATURES + f"SELECT {', '.join(ID_COLS + _cols)} FROM feat"
+
+
+# ------------------------------------------------------------------ encoding
+# Category domains of the benchmark tables (fixed by the generator): the
+# one-hot columns of the oracle are spelled out from them.
+ONEHOT_DOMAINS = {
+    "building_type": ["automobile", "building", "furniture", "household", "machinery"],
+    "asset_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
+    "maintenance_type": ["corrective", "emergency", "preventive"],
+    "country": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+}
+LABEL_ENCODED = ["city", "technician_id", "maintenance_cost_category", "building_size_category",
+                 "building_height_category", "maintenance_season"]
+SCALED = ["building_area", "building_floors", "maintenance_cost", "downtime_days", "period_days",
+          "days_since_last_maintenance", "maintenance_frequency", "building_age_years",
+          "maintenance_cost_per_sqm", "downtime_cost_ratio", "building_failure_rate",
+          "asset_failure_rate", "preventive_effectiveness", "area_per_floor", "asset_density",
+          "city_building_count", "maintenance_cost_rolling_mean", "downtime_rolling_mean", "cost_trend",
+          "downtime_trend", "cumulative_maintenance_cost", "cumulative_downtime", "maintenance_count"]
+UNSCALED = ["maintenance_month", "maintenance_quarter", "maintenance_day_of_week"]
+
+
+def encoding_ctes():
+    vocab = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS value FROM feat WHERE {c} IS NOT NULL"
+        for c in LABEL_ENCODED)
+    scal = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL THEN 1.0 "
+                     f"ELSE stddev_pop({c}) END AS s_{c}" for c in SCALED)
+    sel = []
+    for c in SCALED:
+        sel.append(f"round(coalesce((CAST(f.{c} AS DOUBLE) - sc.m_{c}) / sc.s_{c}, 0.0), 6) AS {c}")
+    for c in UNSCALED:
+        sel.append(f"CAST({c} AS DOUBLE) AS {c}")
+    for c, vals in ONEHOT_DOMAINS.items():
+        for v in vals:
+            sel.append(f"CASE WHEN f.{c} = '{v}' THEN 1.0 ELSE 0.0 END AS \"{c}_{v}\"")
+    joins = []
+    for i, c in enumerate(LABEL_ENCODED):
+        sel.append(f"CAST(coalesce(v{i}.code, -1) AS DOUBLE) AS {c}_encoded")
+        joins.append(f"LEFT JOIN vocab v{i} ON v{i}.feature = '{c}' AND v{i}.value = CAST(f.{c} AS VARCHAR)")
+    return f"""
+vocab AS (SELECT feature, value, CAST(row_number() OVER (PARTITION BY feature ORDER BY value) - 1 AS BIGINT) AS code
+          FROM (SELECT DISTINCT feature, value FROM ({vocab}) u) d),
+sc AS (SELECT {scal} FROM feat),
+matrix AS (SELECT f.building_id, f.asset_type, f.maintenance_date, f.l_orderkey, f.l_linenumber, f.l_partkey,
+                  f.l_suppkey, f.l_extendedprice, f.maintenance_needed, {', '.join(sel)}
+           FROM feat f CROSS JOIN sc {' '.join(joins)})"""
+
+
+ENCODED = FEATURES.rstrip() + "," + encoding_ctes() + "\n"
+MATRIX_COLS = (SCALED + UNSCALED + [f"{c}_{v}" for c, vals in ONEHOT_DOMAINS.items() for v in vals]
+               + [f"{c}_encoded" for c in LABEL_ENCODED])
+
+ORACLE["label_vocab"] = ENCODED + "SELECT * FROM vocab"
+ORACLE["scaler_stats"] = ENCODED + "SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM (" + \
+    " UNION ALL ".join(f"SELECT '{c}' AS feature, m_{c} AS mean, s_{c} AS scale FROM sc" for c in SCALED) + ") t"
+ORACLE["feature_matrix"] = ENCODED + "SELECT * FROM matrix"
+ORACLE["feature_stats"] = ENCODED + "SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std, " \
+    "round(min, 6) AS min, round(max, 6) AS max FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, avg(\"{c}\") AS mean, stddev_samp(\"{c}\") AS std, "
+        f"CAST(min(\"{c}\") AS DOUBLE) AS min, CAST(max(\"{c}\") AS DOUBLE) AS max FROM matrix"
+        for c in MATRIX_COLS) + ") t"
