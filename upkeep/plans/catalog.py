@@ -218,3 +218,127 @@ QUERIES.update({
     "feature_matrix": q_feature_matrix,
     "feature_stats": q_feature_stats,
 })
+
+
+# ------------------------------------------------------------------ scoring / evaluation
+from upkeep.operators import evaluate as EV  # noqa: E402
+from upkeep.operators import score as SC  # noqa: E402
+
+SCORE_FEATURES = ["maintenance_cost", "downtime_days", "days_since_last_maintenance",
+                  "maintenance_frequency", "building_area", "maintenance_count"]
+ROW_ID = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+
+
+def _scored(spark, sf_dir):
+    """Records scored by the rule-based risk score against the engineered label."""
+    r = SC.rule_risk(_feature_table(spark, sf_dir), as_of=AS_OF)
+    return r.select(*ID_COLS, F.col("maintenance_needed").alias("label"), F.col("risk_score").alias("score"),
+                    (F.col("risk_score") >= F.lit(S.DECISION_THRESHOLD)).cast("int").alias("prediction"),
+                    "risk_level", *SCORE_FEATURES)
+
+
+def _r(df, digits=6, skip=()):
+    return df.withColumns({f.name: F.round(f.name, digits) for f in df.schema.fields
+                           if f.dataType.typeName() == "double" and f.name not in skip})
+
+
+def q_rule_risk(spark, sf_dir):
+    return _scored(spark, sf_dir).select(*ID_COLS, "score", "risk_level")
+
+
+def q_data_summary(spark, sf_dir):
+    return _r(SC.data_summary(_cleaned(spark, sf_dir).data), 4)
+
+
+def q_asset_distribution(spark, sf_dir):
+    return SC.asset_distribution(_cleaned(spark, sf_dir).data)
+
+
+def q_risk_outputs(spark, sf_dir):
+    s = _scored(spark, sf_dir).select(*ID_COLS, F.col("score").alias("maintenance_probability"))
+    return _r(SC.probability_outputs(s))
+
+
+def q_eval_metrics(spark, sf_dir):
+    return _r(EV.classification_metrics(_scored(spark, sf_dir)))
+
+
+def q_classification_report(spark, sf_dir):
+    return _r(EV.classification_report(_scored(spark, sf_dir)))
+
+
+def q_threshold_sweep(spark, sf_dir):
+    return _r(EV.threshold_sweep(_scored(spark, sf_dir)), skip=("threshold",))
+
+
+def q_best_threshold(spark, sf_dir):
+    return _r(EV.best_threshold(EV.threshold_sweep(_scored(spark, sf_dir))), skip=("optimal_threshold",))
+
+
+def q_error_patterns(spark, sf_dir):
+    return _r(EV.error_patterns(_scored(spark, sf_dir), SCORE_FEATURES))
+
+
+def q_business_impact(spark, sf_dir):
+    return _r(EV.business_impact(_scored(spark, sf_dir)))
+
+
+def q_roc_points(spark, sf_dir):
+    return _r(EV.roc_points(_scored(spark, sf_dir)), skip=("threshold",))
+
+
+def q_pr_points(spark, sf_dir):
+    return _r(EV.pr_points(_scored(spark, sf_dir)), skip=("threshold",))
+
+
+def q_auc_ap(spark, sf_dir):
+    return _r(EV.auc_ap(_scored(spark, sf_dir)))
+
+
+def q_probability_histogram(spark, sf_dir):
+    return EV.probability_histogram(_scored(spark, sf_dir))
+
+
+def q_confusion_cells(spark, sf_dir):
+    return EV.confusion_cells(_scored(spark, sf_dir))
+
+
+def q_model_comparison(spark, sf_dir):
+    return _r(EV.model_comparison(_scored(spark, sf_dir).withColumn("model", F.lit("rule_risk"))))
+
+
+def q_bootstrap_f1(spark, sf_dir):
+    return _r(EV.bootstrap_f1(_scored(spark, sf_dir), ROW_ID))
+
+
+def q_stability(spark, sf_dir):
+    return _r(EV.stability_summary(EV.bootstrap_f1(_scored(spark, sf_dir), ROW_ID)))
+
+
+def q_stratified_split(spark, sf_dir):
+    return EV.stratified_split(_scored(spark, sf_dir), ROW_ID).select(*ID_COLS, "label", "is_test")
+
+
+from upkeep import schema as S  # noqa: E402
+
+QUERIES.update({
+    "rule_risk": q_rule_risk,
+    "data_summary": q_data_summary,
+    "asset_distribution": q_asset_distribution,
+    "risk_outputs": q_risk_outputs,
+    "eval_metrics": q_eval_metrics,
+    "classification_report": q_classification_report,
+    "threshold_sweep": q_threshold_sweep,
+    "best_threshold": q_best_threshold,
+    "error_patterns": q_error_patterns,
+    "business_impact": q_business_impact,
+    "roc_points": q_roc_points,
+    "pr_points": q_pr_points,
+    "auc_ap": q_auc_ap,
+    "probability_histogram": q_probability_histogram,
+    "confusion_cells": q_confusion_cells,
+    "model_comparison": q_model_comparison,
+    "bootstrap_f1": q_bootstrap_f1,
+    "stability": q_stability,
+    "stratified_split": q_stratified_split,
+})

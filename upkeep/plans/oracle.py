@@ -348,3 +348,167 @@ ORACLE["feature_stats"] = ENCODED + "SELECT feature, round(mean, 6) AS mean, rou
         f"SELECT '{c}' AS feature, avg(\"{c}\") AS mean, stddev_samp(\"{c}\") AS std, "
         f"CAST(min(\"{c}\") AS DOUBLE) AS min, CAST(max(\"{c}\") AS DOUBLE) AS max FROM matrix"
         for c in MATRIX_COLS) + ") t"
+
+
+# ------------------------------------------------------------------ scoring / evaluation
+import math  # noqa: E402
+
+D = "CAST({} AS DOUBLE)".format
+SCORE_FEATURES = ["maintenance_cost", "downtime_days", "days_since_last_maintenance",
+                  "maintenance_frequency", "building_area", "maintenance_count"]
+IDS = ", ".join(ID_COLS)
+
+
+def _ratio(num, den):
+    return f"coalesce(CASE WHEN ({den}) = 0 THEN NULL ELSE CAST({num} AS DOUBLE) / ({den}) END, 0.0)"
+
+
+SCORED_CTES = f"""
+mc AS (SELECT avg(maintenance_cost) AS m FROM feat),
+risk AS (SELECT *, least((((({D('0.0')}
+      + CASE WHEN floor((epoch_us(TIMESTAMP '2001-12-01') - epoch_us(maintenance_date)) / 86400000000.0) > 90
+             THEN {D('0.3')} ELSE {D('0.0')} END)
+      + CASE WHEN failure_reported = true THEN {D('0.4')} ELSE {D('0.0')} END)
+      + CASE WHEN asset_type IN ('elevator', 'HVAC', 'boiler') THEN {D('0.2')} ELSE {D('0.0')} END)
+      + CASE WHEN maintenance_cost > (SELECT m FROM mc) THEN {D('0.1')} ELSE {D('0.0')} END), {D('1.0')}) AS risk_score
+    FROM feat),
+scored AS (SELECT {IDS}, maintenance_needed AS label, risk_score AS score,
+       CAST(risk_score >= 0.5 AS INTEGER) AS prediction,
+       CASE WHEN risk_score < 0.3 THEN 'LOW' WHEN risk_score < 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level,
+       {', '.join(SCORE_FEATURES)}, concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id
+    FROM risk),
+cm AS (SELECT count_if(label AND prediction = 1) AS tp, count_if(NOT label AND prediction = 1) AS fp,
+              count_if(NOT label AND prediction = 0) AS tn, count_if(label AND prediction = 0) AS fn FROM scored),
+met AS (SELECT *, {_ratio('tp + tn', 'tp + fp + tn + fn')} AS accuracy, {_ratio('tp', 'tp + fp')} AS precision,
+               {_ratio('tp', 'tp + fn')} AS recall, {_ratio('2 * tp', '2 * tp + fp + fn')} AS f1_score,
+               {_ratio('tn', 'tn + fp')} AS specificity, {_ratio('tp', 'tp + fn')} AS sensitivity,
+               {_ratio('fp', 'fp + tn')} AS false_positive_rate, {_ratio('fn', 'fn + tp')} AS false_negative_rate
+        FROM cm),
+sc_counts AS (SELECT CAST(score AS DOUBLE) AS threshold, count_if(label) AS tp_at, count_if(NOT label) AS fp_at
+              FROM scored GROUP BY 1),
+curve AS (SELECT threshold, tp_at, fp_at,
+            CAST(sum(tp_at) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS tp,
+            CAST(sum(fp_at) OVER (ORDER BY threshold DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS fp,
+            CAST(sum(tp_at) OVER () AS BIGINT) AS pos, CAST(sum(fp_at) OVER () AS BIGINT) AS neg
+          FROM sc_counts),
+aucs AS (SELECT {_ratio('sum(fp_at * (2 * tp - tp_at))', '2 * first(pos) * first(neg)')} AS roc_auc,
+                {_ratio('sum(CASE WHEN tp + fp > 0 THEN CAST(tp_at AS DOUBLE) * tp / (tp + fp) ELSE 0.0 END)', 'first(pos)')}
+                  AS avg_precision
+         FROM curve)"""
+
+SCORED = FEATURES.rstrip() + "," + SCORED_CTES + "\n"
+
+
+def _round_cols(cols, digits=6):
+    return ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+
+
+MET_COLS = ["accuracy", "precision", "recall", "f1_score", "specificity", "sensitivity",
+            "false_positive_rate", "false_negative_rate"]
+THRESHOLDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+SWEEP = f"""
+sweep AS (SELECT t.threshold,
+   {_ratio('count_if(s.label AND s.score >= t.threshold)', 'count_if(s.score >= t.threshold)')} AS precision,
+   {_ratio('count_if(s.label AND s.score >= t.threshold)', 'count_if(s.label)')} AS recall,
+   {_ratio('2 * count_if(s.label AND s.score >= t.threshold)', 'count_if(s.score >= t.threshold) + count_if(s.label)')} AS f1_score
+  FROM scored s CROSS JOIN (SELECT CAST(unnest([{', '.join(map(str, THRESHOLDS))}]) AS DOUBLE) AS threshold) t
+  GROUP BY t.threshold)"""
+
+
+def _poisson_sql(u):
+    cdf, term, parts = 0.0, math.exp(-1.0), []
+    for k in range(12):
+        cdf += term
+        term /= (k + 1)
+        parts.append(f"WHEN {u} < {D(repr(cdf))} THEN {k}")
+    return "CASE " + " ".join(parts) + " ELSE 12 END"
+
+
+_U = "(CAST(('0x' || substr(md5(concat_ws('|', s.row_id, 42, r.rep)), 1, 13)) AS BIGINT) / 4503599627370496.0)"
+BOOT = f"""
+boot_w AS (SELECT r.rep, s.label, s.prediction, {_poisson_sql(_U)} AS w
+           FROM scored s CROSS JOIN (SELECT range AS rep FROM range(100)) r),
+boot AS (SELECT CAST(rep AS INTEGER) AS replicate,
+                CAST(sum(CASE WHEN label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS tp,
+                CAST(sum(CASE WHEN NOT label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS fp,
+                CAST(sum(CASE WHEN label AND prediction = 0 THEN w ELSE 0 END) AS BIGINT) AS fn
+         FROM boot_w GROUP BY rep)"""
+
+EVAL = {
+    "rule_risk": SCORED + f"SELECT {IDS}, score, risk_level FROM scored",
+    "data_summary": CLEAN + """SELECT count(*) AS total_records, count(DISTINCT building_id) AS buildings,
+        array_to_string(list_sort(list_distinct(list(country))), ', ') AS countries,
+        array_to_string(list_sort(list_distinct(list(asset_type))), ', ') AS asset_types,
+        strftime(min(maintenance_date), '%Y-%m-%d') AS first_date, strftime(max(maintenance_date), '%Y-%m-%d') AS last_date,
+        round(avg(maintenance_cost), 4) AS avg_cost, CAST(round(sum(CAST(maintenance_cost AS DECIMAL(24,6))), 4) AS DOUBLE) AS total_cost,
+        round(count_if(failure_reported) * 100.0 / count(*), 4) AS failure_rate_pct FROM s7""",
+    "asset_distribution": CLEAN + "SELECT asset_type, count(*) AS records FROM s7 GROUP BY asset_type",
+    "risk_outputs": SCORED + f"""SELECT {IDS}, round(score, 6) AS maintenance_probability,
+        CASE WHEN score < 0.3 THEN 'low' WHEN score < 0.7 THEN 'medium' ELSE 'high' END AS risk_category,
+        CAST(CASE WHEN score > 0.7 THEN 30 WHEN score > 0.5 THEN 60 WHEN score > 0.3 THEN 90 END AS BIGINT)
+          AS predicted_timeframe_days,
+        round(least(0.95, greatest(0.6, score * 1.2)), 6) AS confidence_score FROM scored""",
+    "eval_metrics": SCORED + f"SELECT tp, fp, tn, fn, {_round_cols(MET_COLS)} FROM met",
+    "classification_report": SCORED + f"""
+, cls AS (
+  SELECT '0' AS class, {_ratio('tn', 'tn + fn')} AS precision, {_ratio('tn', 'tn + fp')} AS recall,
+         {_ratio('2 * tn', '2 * tn + fn + fp')} AS f1_score, CAST(tn + fp AS DOUBLE) AS support FROM cm
+  UNION ALL
+  SELECT '1', {_ratio('tp', 'tp + fp')}, {_ratio('tp', 'tp + fn')}, {_ratio('2 * tp', '2 * tp + fp + fn')},
+         CAST(tp + fn AS DOUBLE) FROM cm),
+rep AS (
+  SELECT * FROM cls
+  UNION ALL SELECT 'accuracy', accuracy, accuracy, accuracy, CAST(tp + fp + tn + fn AS DOUBLE) FROM met
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1_score), sum(support) FROM cls
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+                   sum(f1_score * support) / sum(support), sum(support) FROM cls)
+SELECT class, {_round_cols(['precision', 'recall', 'f1_score', 'support'])} FROM rep""",
+    "threshold_sweep": SCORED.rstrip() + "," + SWEEP + f"\nSELECT threshold, {_round_cols(['precision', 'recall', 'f1_score'])} FROM sweep",
+    "best_threshold": SCORED.rstrip() + "," + SWEEP + """
+SELECT threshold AS optimal_threshold, round(f1_score, 6) AS optimal_f1_score
+FROM sweep ORDER BY f1_score DESC, threshold ASC LIMIT 1""",
+    "error_patterns": SCORED + f"""
+, errs AS (SELECT *, CASE WHEN NOT label AND prediction = 1 THEN 'false_positive'
+                          WHEN label AND prediction = 0 THEN 'false_negative' END AS error_kind FROM scored),
+wide AS (SELECT error_kind, count(*) AS errors, {', '.join(f'avg(CAST({c} AS DOUBLE)) AS {c}' for c in SCORE_FEATURES)}
+         FROM errs WHERE error_kind IS NOT NULL GROUP BY error_kind),
+long AS (SELECT error_kind, errors, feature, mean FROM wide
+         UNPIVOT (mean FOR feature IN ({', '.join(SCORE_FEATURES)})))
+SELECT error_kind, errors, feature, round(mean, 6) AS mean,
+       CAST(row_number() OVER (PARTITION BY error_kind ORDER BY mean DESC NULLS LAST, feature) AS INTEGER) AS rank
+FROM long""",
+    "business_impact": SCORED + f"""
+SELECT tp + fp + tn + fn AS total_predictions, tp + fp AS maintenance_predicted, tp + fn AS actual_maintenance_needed,
+       tp AS correctly_predicted_maintenance, fn AS missed_maintenance_opportunities, fp AS unnecessary_maintenance_alerts,
+       round(fp * 100.0, 6) AS false_positive_cost, round(fn * 1000.0, 6) AS false_negative_cost,
+       round(tp * 500.0, 6) AS true_positive_savings, round(tp * 500.0 - fp * 100.0 - fn * 1000.0, 6) AS net_benefit,
+       round({_ratio('tp', 'tp + fp')}, 6) AS maintenance_precision, round({_ratio('tp', 'tp + fn')}, 6) AS maintenance_recall,
+       round({_ratio('tp + tn', 'tp + tn + fp + fn')}, 6) AS alert_accuracy FROM cm""",
+    "roc_points": SCORED + f"""SELECT threshold, round({_ratio('fp', 'neg')}, 6) AS fpr,
+        round({_ratio('tp', 'pos')}, 6) AS tpr FROM curve""",
+    "pr_points": SCORED + f"""SELECT threshold, round({_ratio('tp', 'tp + fp')}, 6) AS precision,
+        round({_ratio('tp', 'pos')}, 6) AS recall FROM curve""",
+    "auc_ap": SCORED + "SELECT round(roc_auc, 6) AS roc_auc, round(avg_precision, 6) AS avg_precision FROM aucs",
+    "probability_histogram": SCORED + """
+SELECT CAST(label AS INTEGER) AS class, CAST(least(29, greatest(0, floor(score * 30))) AS INTEGER) AS bin,
+       count(*) AS count, CAST(least(29, greatest(0, floor(score * 30))) AS INTEGER) / 30.0 AS bin_start
+FROM scored GROUP BY 1, 2""",
+    "confusion_cells": SCORED + """SELECT CAST(label AS INTEGER) AS actual, prediction AS predicted, count(*) AS count
+        FROM scored GROUP BY 1, 2""",
+    "model_comparison": SCORED + """
+SELECT 'rule_risk' AS model, metric, round(value, 6) AS value FROM (
+  SELECT accuracy, precision, recall, f1_score, roc_auc FROM met CROSS JOIN aucs)
+UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1_score, roc_auc))""",
+    "bootstrap_f1": SCORED.rstrip() + "," + BOOT + f"""
+SELECT replicate, tp, fp, fn, round({_ratio('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score FROM boot""",
+    "stability": SCORED.rstrip() + "," + BOOT + f"""
+, bf AS (SELECT {_ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM boot)
+SELECT round(avg(f1), 6) AS mean, round(stddev_pop(f1), 6) AS std, round(min(f1), 6) AS min, round(max(f1), 6) AS max,
+       round(quantile_cont(f1, 0.025), 6) AS ci_low, round(quantile_cont(f1, 0.975), 6) AS ci_high FROM bf""",
+    "stratified_split": SCORED + f"""
+, u AS (SELECT {IDS}, label, CAST(('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS uu,
+               row_id FROM scored),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY uu, row_id) AS rnk, count(*) OVER (PARTITION BY label) AS n FROM u)
+SELECT {IDS}, label, rnk <= round(n * 0.2) AS is_test FROM rk""",
+}
+ORACLE.update(EVAL)
