@@ -342,3 +342,42 @@ QUERIES.update({
     "stability": q_stability,
     "stratified_split": q_stratified_split,
 })
+
+
+# ------------------------------------------------------------------ models (no SQL oracle)
+from upkeep.operators import models as MD  # noqa: E402
+
+
+def _train_test(spark, sf_dir):
+    m, cols, _ = _matrix(spark, sf_dir)
+    m = MD.with_label(m)
+    split = materialize(EV.stratified_split(m, ROW_ID, label="maintenance_needed"))
+    return split.filter(~F.col("is_test")), split.filter(F.col("is_test")), cols
+
+
+def _model_scores(spark, sf_dir):
+    train, test, cols = _train_test(spark, sf_dir)
+    model = MD.fit_fixed(train, cols, "random_forest", numTrees=20, maxDepth=8, seed=S.SPLIT_SEED)
+    return MD.predict(model, test, keep=ID_COLS + ["label"], model_name="random_forest",
+                      model_version="rf-1"), model, cols
+
+
+def q_model_scores(spark, sf_dir):
+    return _model_scores(spark, sf_dir)[0]
+
+
+def q_model_metrics(spark, sf_dir):
+    scored = _model_scores(spark, sf_dir)[0].withColumnRenamed("maintenance_probability", "score")
+    return EV.classification_metrics(scored).join(EV.auc_ap(scored), "model")
+
+
+def q_feature_importance(spark, sf_dir):
+    _, model, cols = _model_scores(spark, sf_dir)
+    return MD.feature_importance(model, cols, spark)
+
+
+QUERIES.update({
+    "model_scores": q_model_scores,
+    "model_metrics": q_model_metrics,
+    "feature_importance": q_feature_importance,
+})
