@@ -22,6 +22,19 @@ def _records(spark, sf_dir, dirty=False):
     return records_from_tables(spark, sf_dir, dirty=dirty)
 
 
+# Stage tables (cleaned records, features, encoded matrix, scored set) are
+# materialized once per session and data folder and then read by every query
+# that builds on them - the way a job chain writes each stage table once.
+_STAGES: dict = {}
+
+
+def _stage(spark, sf_dir, name, build):
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = build()
+    return _STAGES[key]
+
+
 def q_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(spark, sf_dir)
 
@@ -31,7 +44,8 @@ def q_records_dirty(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir) -> Q.CleanResult:
-    return Q.clean(_records(spark, sf_dir, dirty=True), as_of=AS_OF, tie=ADAPTER_TIE)
+    return _stage(spark, sf_dir, "clean",
+                  lambda: Q.clean(_records(spark, sf_dir, dirty=True), as_of=AS_OF, tie=ADAPTER_TIE))
 
 
 def q_clean(spark, sf_dir):
@@ -172,15 +186,17 @@ ROUND6 = 6
 
 
 def _feature_table(spark, sf_dir):
-    return materialize(_features(spark, sf_dir))
+    return _stage(spark, sf_dir, "features", lambda: materialize(_features(spark, sf_dir)))
 
 
 def _encoded(spark, sf_dir):
-    feats = _feature_table(spark, sf_dir)
-    enc = EN.fit(feats)
-    encoded = EN.apply_scaler(EN.apply_encoding(feats, enc), enc)
-    cols = EN.final_feature_columns(encoded, extra_exclude=ADAPTER_TIE)
-    return feats, enc, encoded, cols
+    def build():
+        feats = _feature_table(spark, sf_dir)
+        enc = EN.fit(feats)
+        encoded = materialize(EN.apply_scaler(EN.apply_encoding(feats, enc), enc))
+        cols = EN.final_feature_columns(encoded, extra_exclude=ADAPTER_TIE)
+        return feats, enc, encoded, cols
+    return _stage(spark, sf_dir, "encoded", build)
 
 
 def q_label_vocab(spark, sf_dir):
@@ -226,11 +242,17 @@ from upkeep.operators import score as SC  # noqa: E402
 
 SCORE_FEATURES = ["maintenance_cost", "downtime_days", "days_since_last_maintenance",
                   "maintenance_frequency", "building_area", "maintenance_count"]
-ROW_ID = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
+def row_id():
+    """Stable record identity of the adapter rows (unique over the tables)."""
+    return F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
 
 
 def _scored(spark, sf_dir):
     """Records scored by the rule-based risk score against the engineered label."""
+    return _stage(spark, sf_dir, "scored", lambda: materialize(_score_rows(spark, sf_dir)))
+
+
+def _score_rows(spark, sf_dir):
     r = SC.rule_risk(_feature_table(spark, sf_dir), as_of=AS_OF)
     return r.select(*ID_COLS, F.col("maintenance_needed").alias("label"), F.col("risk_score").alias("score"),
                     (F.col("risk_score") >= F.lit(S.DECISION_THRESHOLD)).cast("int").alias("prediction"),
@@ -308,15 +330,15 @@ def q_model_comparison(spark, sf_dir):
 
 
 def q_bootstrap_f1(spark, sf_dir):
-    return _r(EV.bootstrap_f1(_scored(spark, sf_dir), ROW_ID))
+    return _r(EV.bootstrap_f1(_scored(spark, sf_dir), row_id()))
 
 
 def q_stability(spark, sf_dir):
-    return _r(EV.stability_summary(EV.bootstrap_f1(_scored(spark, sf_dir), ROW_ID)))
+    return _r(EV.stability_summary(EV.bootstrap_f1(_scored(spark, sf_dir), row_id())))
 
 
 def q_stratified_split(spark, sf_dir):
-    return EV.stratified_split(_scored(spark, sf_dir), ROW_ID).select(*ID_COLS, "label", "is_test")
+    return EV.stratified_split(_scored(spark, sf_dir), row_id()).select(*ID_COLS, "label", "is_test")
 
 
 from upkeep import schema as S  # noqa: E402
@@ -351,15 +373,20 @@ from upkeep.operators import models as MD  # noqa: E402
 def _train_test(spark, sf_dir):
     m, cols, _ = _matrix(spark, sf_dir)
     m = MD.with_label(m)
-    split = materialize(EV.stratified_split(m, ROW_ID, label="maintenance_needed"))
+    split = materialize(EV.stratified_split(m, row_id(), label="maintenance_needed"))
     return split.filter(~F.col("is_test")), split.filter(F.col("is_test")), cols
 
 
 def _model_scores(spark, sf_dir):
+    return _stage(spark, sf_dir, "model", lambda: _fit_and_score(spark, sf_dir))
+
+
+def _fit_and_score(spark, sf_dir):
     train, test, cols = _train_test(spark, sf_dir)
     model = MD.fit_fixed(train, cols, "random_forest", numTrees=20, maxDepth=8, seed=S.SPLIT_SEED)
-    return MD.predict(model, test, keep=ID_COLS + ["label"], model_name="random_forest",
-                      model_version="rf-1"), model, cols
+    scored = MD.predict(model, test, keep=ID_COLS + ["label"], model_name="random_forest",
+                        model_version="rf-1")
+    return materialize(scored), model, cols
 
 
 def q_model_scores(spark, sf_dir):
