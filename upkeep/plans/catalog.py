@@ -408,3 +408,18 @@ QUERIES.update({
     "model_metrics": q_model_metrics,
     "feature_importance": q_feature_importance,
 })
+
+
+# ------------------------------------------------------------------ operational extract
+from upkeep.sources import extract as EX  # noqa: E402
+
+
+def q_extract_join(spark, sf_dir):
+    return EX.extract_records(EX.operational_from_tables(spark, sf_dir))
+
+
+def q_extract_window(spark, sf_dir):
+    return EX.extract_records(EX.operational_from_tables(spark, sf_dir), window_days=90)
+
+
+QUERIES.update({"extract_join": q_extract_join, "extract_window": q_extract_window})

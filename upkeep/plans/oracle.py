@@ -512,3 +512,55 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY uu, row_id) AS r
 SELECT {IDS}, label, rnk <= round(n * 0.2) AS is_test FROM rk""",
 }
 ORACLE.update(EVAL)
+
+
+# ------------------------------------------------------------------ operational extract
+OPERATIONAL_CTES = """
+buildings AS (SELECT c.c_custkey AS id, c.c_mktsegment AS type, 1500.0 + c.c_acctbal AS area,
+                     CAST(1 + c.c_custkey % 25 AS BIGINT) AS number_of_floors, c.c_nationkey AS city_id,
+                     n.n_regionkey AS country_id,
+                     CASE WHEN c.c_custkey % 50 = 0 THEN TIMESTAMP '2000-01-01' END AS deleted_at
+              FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey),
+building_types AS (SELECT DISTINCT c_mktsegment AS code, lower(c_mktsegment) AS name FROM customer),
+cities AS (SELECT n_nationkey AS id, n_name AS name FROM nation),
+countries AS (SELECT r_regionkey AS id, r_name AS name FROM region),
+services AS (SELECT p_partkey AS id, p_type AS title, CASE WHEN p_size > 45 THEN TIMESTAMP '2000-01-01' END AS deleted_at
+             FROM part),
+lo AS (SELECT * FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+building_service_technician AS (SELECT o_custkey AS building_id, l_partkey AS service_id, min(l_suppkey) AS user_id,
+                                       CAST(30 * (1 + l_partkey % 4) AS BIGINT) AS period_days
+                                FROM lo GROUP BY o_custkey, l_partkey),
+recurring_services AS (SELECT l_partkey AS service_id, o_custkey AS building_id,
+                              CASE WHEN l_linenumber <> 7 THEN l_shipdate END AS checked_date FROM lo),
+reports AS (SELECT o_orderkey AS id, o_custkey AS building_id, o_orderdate AS created_at FROM orders
+            WHERE o_orderstatus = 'F'),
+building_resident AS (SELECT o_orderkey AS resident_id, o_custkey AS building_id FROM orders),
+resident_invoice AS (SELECT o_orderkey AS resident_id, o_totalprice / 100.0 AS value FROM orders)"""
+
+EXTRACT_SELECT = """
+SELECT b.id AS building_id, bt.name AS building_type, s.title AS asset_type, 'preventive' AS maintenance_type,
+       rs.checked_date AS maintenance_date,
+       coalesce((SELECT max(r.created_at) FROM reports r WHERE r.building_id = b.id)
+                >= rs.checked_date - INTERVAL 30 DAY, false) AS failure_reported,
+       CAST(0 AS BIGINT) AS downtime_days, CAST(coalesce(ri.value, 0) AS DOUBLE) AS maintenance_cost,
+       CAST(bst.user_id AS BIGINT) AS technician_id, CAST(bst.period_days AS BIGINT) AS period_days,
+       c.name AS city, co.name AS country, CAST(b.area AS DOUBLE) AS building_area,
+       CAST(b.number_of_floors AS BIGINT) AS building_floors
+FROM buildings b
+LEFT JOIN building_types bt ON b.type = bt.code
+LEFT JOIN building_service_technician bst ON b.id = bst.building_id
+LEFT JOIN services s ON bst.service_id = s.id
+LEFT JOIN recurring_services rs ON s.id = rs.service_id AND b.id = rs.building_id
+LEFT JOIN resident_invoice ri ON ri.resident_id = (SELECT min(br.resident_id) FROM building_resident br
+                                                   WHERE br.building_id = b.id)
+LEFT JOIN cities c ON b.city_id = c.id
+LEFT JOIN countries co ON b.country_id = co.id
+WHERE rs.checked_date IS NOT NULL AND b.deleted_at IS NULL AND s.deleted_at IS NULL"""
+
+ORACLE["extract_join"] = with_ctes(OPERATIONAL_CTES) + EXTRACT_SELECT
+ORACLE["extract_window"] = with_ctes(OPERATIONAL_CTES) + EXTRACT_SELECT.replace(
+    """coalesce((SELECT max(r.created_at) FROM reports r WHERE r.building_id = b.id)
+                >= rs.checked_date - INTERVAL 30 DAY, false)""",
+    """EXISTS (SELECT 1 FROM reports r WHERE r.building_id = b.id
+                       AND r.created_at >= rs.checked_date - INTERVAL 30 DAY
+                       AND r.created_at <= rs.checked_date + INTERVAL 90 DAY)""")
