@@ -1,9 +1,10 @@
 """Categorical encoding, scaling and the final feature matrix.
 
 Fitted state is kept as small DataFrames (vocabulary and scaler tables) and
-can be saved as Parquet and reloaded; applying it is a projection (small
-vocabularies become a literal map lookup inside whole-stage codegen) or an
-equi-join for vocabularies too large to inline.
+can be saved as Parquet and reloaded.  Applying a label vocabulary is an
+equi-join: a broadcast hash join when the vocabulary's counted size is at
+most ``INLINE_VOCAB_MAX`` rows, a shuffle join beyond that.  One-hot
+columns (at most 10 categories by rule) are plain comparisons.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from upkeep import schema as S
 from upkeep.operators.scan import ordered_scan, segment
 
-INLINE_VOCAB_MAX = 10_000   # vocabularies up to this size are applied as map literals
+INLINE_VOCAB_MAX = 1_000_000   # vocabularies up to this size are broadcast (hash lookup)
 
 
 @dataclass
@@ -28,7 +29,7 @@ class FittedEncoding:
     vocab: DataFrame                  # (feature, value, code) codes 0.. in sorted order
     scaler: DataFrame                 # (feature, mean, scale)
     scaled_columns: list
-    inline_vocab: dict = field(default_factory=dict)   # column -> {value: code} when small
+    vocab_sizes: dict = field(default_factory=dict)    # column -> distinct values (counted)
 
 
 def _string(c: str) -> Column:
@@ -96,14 +97,11 @@ def fit(df: DataFrame, categorical=S.CATEGORICAL_FEATURES,
         onehot = {c: list(row[c]) for c in onehot_cols}
     label_cols += [c for c in engineered if c in df.columns]
     vocab = fit_label_vocab(df, label_cols, vocab_max_rows)
+    from upkeep.session import materialize
+    vocab = materialize(vocab)
     sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    small = [c for c in label_cols if sizes.get(c, 0) <= INLINE_VOCAB_MAX]
-    inline = {}
-    if small:
-        for r in vocab.filter(F.col("feature").isin(small)).collect():   # bounded by the check above
-            inline.setdefault(r["feature"], {})[r["value"]] = r["code"]
     cols = scaled_columns(df)
-    return FittedEncoding(onehot, label_cols, vocab, fit_scaler(df, cols), cols, inline)
+    return FittedEncoding(onehot, label_cols, vocab, fit_scaler(df, cols), cols, sizes)
 
 
 def apply_encoding(df: DataFrame, enc: FittedEncoding) -> DataFrame:
@@ -120,17 +118,12 @@ def apply_encoding(df: DataFrame, enc: FittedEncoding) -> DataFrame:
     for c in enc.label_columns:
         if c not in out.columns:
             continue
-        if c in enc.inline_vocab:
-            mapping = enc.inline_vocab[c]
-            lit_map = F.create_map(*[x for k, v in sorted(mapping.items()) for x in (F.lit(k), F.lit(v))]) \
-                if mapping else F.create_map().cast("map<string,bigint>")
-            out = out.withColumn(f"{c}_encoded", F.coalesce(F.element_at(lit_map, _string(c)),
-                                                             F.lit(-1).cast("long")))
-        else:
-            v = enc.vocab.filter(F.col("feature") == c).select(
-                F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"{c}_encoded"))
-            out = (out.join(v, _string(c) == F.col(f"__v_{c}"), "left").drop(f"__v_{c}")
-                   .withColumn(f"{c}_encoded", F.coalesce(f"{c}_encoded", F.lit(-1).cast("long"))))
+        v = enc.vocab.filter(F.col("feature") == c).select(
+            F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"{c}_encoded"))
+        if enc.vocab_sizes.get(c, INLINE_VOCAB_MAX + 1) <= INLINE_VOCAB_MAX:
+            v = F.broadcast(v)     # size counted at fit time
+        out = (out.join(v, _string(c) == F.col(f"__v_{c}"), "left").drop(f"__v_{c}")
+               .withColumn(f"{c}_encoded", F.coalesce(f"{c}_encoded", F.lit(-1).cast("long"))))
     return out
 
 
@@ -199,8 +192,4 @@ def load(spark: SparkSession, path: str) -> FittedEncoding:
     label_cols = [r["feature"] for r in spark.read.parquet(f"{path}/label_columns").collect()]
     scaled = [r["feature"] for r in spark.read.parquet(f"{path}/scaled_columns").collect()]
     sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    inline = {}
-    small = [c for c in label_cols if sizes.get(c, 0) <= INLINE_VOCAB_MAX]
-    for r in vocab.filter(F.col("feature").isin(small)).collect():
-        inline.setdefault(r["feature"], {})[r["value"]] = r["code"]
-    return FittedEncoding(onehot, label_cols, vocab, scaler, scaled, inline)
+    return FittedEncoding(onehot, label_cols, vocab, scaler, scaled, sizes)

@@ -329,12 +329,17 @@ def q_model_comparison(spark, sf_dir):
     return _r(EV.model_comparison(_scored(spark, sf_dir).withColumn("model", F.lit("rule_risk"))))
 
 
+def _test_rows(spark, sf_dir):
+    """The stratified test split of the scored set (bootstrap runs on it)."""
+    return EV.stratified_split(_scored(spark, sf_dir), row_id()).filter(F.col("is_test"))
+
+
 def q_bootstrap_f1(spark, sf_dir):
-    return _r(EV.bootstrap_f1(_scored(spark, sf_dir), row_id()))
+    return _r(EV.bootstrap_f1(_test_rows(spark, sf_dir), row_id()))
 
 
 def q_stability(spark, sf_dir):
-    return _r(EV.stability_summary(EV.bootstrap_f1(_scored(spark, sf_dir), row_id())))
+    return _r(EV.stability_summary(EV.bootstrap_f1(_test_rows(spark, sf_dir), row_id())))
 
 
 def q_stratified_split(spark, sf_dir):

@@ -425,9 +425,15 @@ def _poisson_sql(u):
 
 
 _U = "(CAST(('0x' || substr(md5(concat_ws('|', s.row_id, 42, r.rep)), 1, 13)) AS BIGINT) / 4503599627370496.0)"
-BOOT = f"""
+SPLIT = """
+su AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS uu
+       FROM scored),
+srk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY uu, row_id) AS rnk,
+               count(*) OVER (PARTITION BY label) AS n FROM su),
+test_rows AS (SELECT * EXCLUDE (uu, rnk, n) FROM srk WHERE rnk <= round(n * 0.2)),"""
+BOOT = SPLIT + f"""
 boot_w AS (SELECT r.rep, s.label, s.prediction, {_poisson_sql(_U)} AS w
-           FROM scored s CROSS JOIN (SELECT range AS rep FROM range(100)) r),
+           FROM test_rows s CROSS JOIN (SELECT range AS rep FROM range(100)) r),
 boot AS (SELECT CAST(rep AS INTEGER) AS replicate,
                 CAST(sum(CASE WHEN label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS tp,
                 CAST(sum(CASE WHEN NOT label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS fp,
