@@ -428,3 +428,54 @@ def q_extract_window(spark, sf_dir):
 
 
 QUERIES.update({"extract_join": q_extract_join, "extract_window": q_extract_window})
+
+
+# ------------------------------------------------------------------ coercion and vendor mapping
+from upkeep.sources import readers as RD  # noqa: E402
+
+
+def q_coerce_types(spark, sf_dir):
+    """Text-landed records (with injected bad cells) typed by try-casts."""
+    d = _records(spark, sf_dir, dirty=True)
+    bad = F.col("l_linenumber") == 7
+    text = d.select(
+        *[F.col(c).cast("string").alias(c) for c in d.columns if c not in (
+            "building_floors", "failure_reported", "maintenance_date", "downtime_days")],
+        F.when(bad, F.lit("n/a")).otherwise(F.col("building_floors").cast("string")).alias("building_floors"),
+        F.when(F.col("l_linenumber") == 6, F.lit("yes")).otherwise(
+            F.when(F.col("failure_reported"), "True").otherwise("False")).alias("failure_reported"),
+        F.when(F.col("l_linenumber") == 5, F.lit("not a date"))
+         .otherwise(F.date_format("maintenance_date", "yyyy-MM-dd'T'HH:mm:ss")).alias("maintenance_date"),
+        F.when(F.col("l_linenumber") == 4, F.concat(F.col("downtime_days").cast("string"), F.lit(".5")))
+         .otherwise(F.col("downtime_days").cast("string")).alias("downtime_days"))
+    return Q.coerce_types(text.select(*Q.S.RECORD_COLUMNS, *ADAPTER_TIE)).select(*Q.S.RECORD_COLUMNS)
+
+
+VENDOR_MAPPING = {
+    "building_id": "o_custkey",
+    "building_type": "lower(c_mktsegment)",
+    "asset_type": "p_type",
+    "maintenance_type": "CASE l_linestatus WHEN 'O' THEN 'preventive' WHEN 'F' THEN 'corrective' ELSE 'emergency' END",
+    "maintenance_date": "l_shipdate",
+    "failure_reported": "o_orderpriority = '1-URGENT'",
+    "downtime_days": "datediff(l_shipdate, o_orderdate)",
+    "maintenance_cost": "l_extendedprice * (1 - l_discount)",
+    "technician_id": "l_suppkey",
+    "building_area": "1500.0 + c_acctbal",
+    "building_floors": "1 + o_custkey % 25",
+}
+
+
+def q_vendor_export(spark, sf_dir):
+    """A vendor work-order export (inner joins, CASE, DATEDIFF, date filter) mapped
+    onto the canonical record."""
+    rd = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    li, orders, cust, part = rd("lineitem"), rd("orders"), rd("customer"), rd("part")
+    wo = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+          .join(cust, orders.o_custkey == cust.c_custkey)
+          .join(part, li.l_partkey == part.p_partkey)
+          .filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp")))
+    return RD.normalize(wo, VENDOR_MAPPING)
+
+
+QUERIES.update({"coerce_types": q_coerce_types, "vendor_export": q_vendor_export})

@@ -570,3 +570,26 @@ ORACLE["extract_window"] = with_ctes(OPERATIONAL_CTES) + EXTRACT_SELECT.replace(
     """EXISTS (SELECT 1 FROM reports r WHERE r.building_id = b.id
                        AND r.created_at >= rs.checked_date - INTERVAL 30 DAY
                        AND r.created_at <= rs.checked_date + INTERVAL 90 DAY)""")
+
+
+# ------------------------------------------------------------------ coercion and vendor mapping
+ORACLE["coerce_types"] = BASE + """
+SELECT building_id, building_type, asset_type, maintenance_type,
+       CASE WHEN l_linenumber = 5 THEN NULL ELSE maintenance_date END AS maintenance_date,
+       CASE WHEN l_linenumber = 6 THEN true ELSE failure_reported END AS failure_reported,
+       CASE WHEN l_linenumber = 4 THEN NULL ELSE downtime_days END AS downtime_days,
+       maintenance_cost, technician_id, period_days, city, country, building_area,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE building_floors END AS building_floors
+FROM dirty"""
+
+ORACLE["vendor_export"] = """
+SELECT CAST(o.o_custkey AS BIGINT) AS building_id, lower(c.c_mktsegment) AS building_type, p.p_type AS asset_type,
+       CASE l.l_linestatus WHEN 'O' THEN 'preventive' WHEN 'F' THEN 'corrective' ELSE 'emergency' END AS maintenance_type,
+       l.l_shipdate AS maintenance_date, o.o_orderpriority = '1-URGENT' AS failure_reported,
+       CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE)) AS BIGINT) AS downtime_days,
+       l.l_extendedprice * (1 - l.l_discount) AS maintenance_cost, CAST(l.l_suppkey AS BIGINT) AS technician_id,
+       CAST(NULL AS BIGINT) AS period_days, CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS country,
+       1500.0 + c.c_acctbal AS building_area, CAST(1 + o.o_custkey % 25 AS BIGINT) AS building_floors
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN part p ON l.l_partkey = p.p_partkey
+WHERE l.l_shipdate >= TIMESTAMP '1998-01-01'"""
