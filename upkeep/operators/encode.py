@@ -179,8 +179,8 @@ def save(enc: FittedEncoding, path: str) -> None:
     enc.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
     meta = [(c, v, i) for c, vals in enc.onehot.items() for i, v in enumerate(vals)]
     spark.createDataFrame(meta, "feature string, value string, pos int").write.mode("overwrite").parquet(f"{path}/onehot")
-    spark.createDataFrame([(c,) for c in enc.label_columns], "feature string").write.mode("overwrite").parquet(f"{path}/label_columns")
-    spark.createDataFrame([(c,) for c in enc.scaled_columns], "feature string").write.mode("overwrite").parquet(f"{path}/scaled_columns")
+    spark.createDataFrame(list(enumerate(enc.label_columns)), "pos int, feature string").write.mode("overwrite").parquet(f"{path}/label_columns")
+    spark.createDataFrame(list(enumerate(enc.scaled_columns)), "pos int, feature string").write.mode("overwrite").parquet(f"{path}/scaled_columns")
 
 
 def load(spark: SparkSession, path: str) -> FittedEncoding:
@@ -189,7 +189,7 @@ def load(spark: SparkSession, path: str) -> FittedEncoding:
     onehot = {}
     for r in spark.read.parquet(f"{path}/onehot").orderBy("feature", "pos").collect():
         onehot.setdefault(r["feature"], []).append(r["value"])
-    label_cols = [r["feature"] for r in spark.read.parquet(f"{path}/label_columns").collect()]
-    scaled = [r["feature"] for r in spark.read.parquet(f"{path}/scaled_columns").collect()]
+    label_cols = [r["feature"] for r in spark.read.parquet(f"{path}/label_columns").orderBy("pos").collect()]
+    scaled = [r["feature"] for r in spark.read.parquet(f"{path}/scaled_columns").orderBy("pos").collect()]
     sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     return FittedEncoding(onehot, label_cols, vocab, scaler, scaled, sizes)
