@@ -19,6 +19,7 @@ from upkeep.functions.expressions import (age_years, cost_category, day_of_week_
                                           whole_days_between)
 from upkeep.operators.scan import DEFAULT_MAX_ROWS, HOT_WIDTH, SEG, ordered_scan, segment
 from upkeep.operators.stats import broadcast_if_small
+from upkeep.session import materialize
 
 KEYS = ["building_id", "asset_type"]
 MONEY = "decimal(24,6)"   # exact running sums independent of summation order
@@ -48,7 +49,9 @@ def engineer(df: DataFrame, tie: list, max_rows: int = DEFAULT_MAX_ROWS,
     """Cleaned records -> records + label + engineered features."""
     x = F.unix_micros("maintenance_date").cast("double")
     base = df.withColumn("_x", x)
-    stats = group_stats(base)
+    # one row per (building, asset); read by the hot-group check and by the
+    # building / asset roll-ups, so it is stored once
+    stats = materialize(group_stats(base))
     seg = segment(base.drop("_x"), KEYS, x, max_rows=max_rows, stats=stats)
     order = [F.col("maintenance_date")] + [F.col(c) for c in tie]
     cost, down = F.col("maintenance_cost"), F.col("downtime_days")

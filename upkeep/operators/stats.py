@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.operators.scan import DEFAULT_MAX_ROWS, ordered_scan, segment
-from upkeep.session import ensure_checkpoint_dir
+from upkeep.session import materialize
 
 _G = "_all"
 
@@ -14,13 +14,12 @@ _G = "_all"
 def broadcast_if_small(small: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast a derived table only after checking its size.
 
-    The table is first written as a reliable checkpoint (in the cluster's
-    ``spark.checkpoint.dir``), so the size check does not recompute it and
+    The table is first written to the cluster's shared checkpoint folder
+    (``spark.checkpoint.dir``), so the size check does not recompute it and
     executor loss after this point does not replay its lineage.  Above
     ``max_rows`` the table is returned as is and the join stays a shuffle join.
     """
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
+    small = materialize(small)
     if small.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(small)
     return small
