@@ -252,27 +252,43 @@ def poisson1(u: Column, kmax: int = 12) -> Column:
     return expr.otherwise(F.lit(kmax))
 
 
+def replicate_uniforms(row_id: Column, replicates: int, seed: int) -> list:
+    """``replicates`` deterministic U[0,1) values per row, four per SHA-256.
+
+    Hash k of (row, seed, k) gives 64 hex digits; digits 1-13, 14-26, 27-39
+    and 40-52 are four 52-bit uniforms (replicates 4k .. 4k+3).
+    """
+    rid = row_id.cast("string")
+    out = []
+    for k in range((replicates + 3) // 4):
+        h = F.sha2(F.concat_ws("|", rid, F.lit(str(seed)), F.lit(str(k))), 256)
+        for j in range(4):
+            if len(out) < replicates:
+                out.append(F.conv(F.substring(h, 1 + 13 * j, 13), 16, 10).cast("double") / F.lit(float(2 ** 52)))
+    return out
+
+
 def bootstrap_f1(df: DataFrame, row_id: Column, replicates: int = S.BOOTSTRAP_REPLICATES,
                  seed: int = S.SPLIT_SEED, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Poisson bootstrap of F1; per-replicate weighted confusion in one pass.
 
-    Each row carries an array of Poisson(1) weights, one per replicate,
-    derived from a hash of (row, seed, replicate); no row is copied and the
-    replicates are conditional sums in one partial aggregate.
+    Each row gets one Poisson(1) weight per replicate from a hash of (row,
+    seed); no row is copied, the replicates are conditional sums in one
+    partial aggregate (codegen'd projections, no per-row Python).
     Returns one row per replicate: (replicate, tp, fp, fn, f1_score).
     """
     y, p = _pos(label), F.col(prediction).cast("int") == 1
-    rid = row_id.cast("string")
-    weights = F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)),
-                          lambda r: poisson1(uniform_hash(rid, F.lit(seed), r)))
-    cell = (F.when(y & p, F.lit("tp")).when(~y & p, F.lit("fp")).when(y & ~p, F.lit("fn")))
+    cell = (F.when(y & p, F.lit(1)).when(~y & p, F.lit(2)).when(y & ~p, F.lit(3)))
     keys = _keys(df)
-    staged = df.select(*keys, cell.alias("_cell"), weights.alias("_w")).filter(F.col("_cell").isNotNull())
+    u = df.select(*keys, cell.alias("_cell"), row_id.alias("_rid")).filter(F.col("_cell").isNotNull())
+    u = u.select(*keys, "_cell", *[c.alias(f"_u{r}") for r, c in
+                                   enumerate(replicate_uniforms(F.col("_rid"), replicates, seed))])
+    w = u.select(*keys, "_cell", *[poisson1(F.col(f"_u{r}")).alias(f"_w{r}") for r in range(replicates)])
     aggs = []
     for r in range(replicates):
-        for k in ("tp", "fp", "fn"):
-            aggs.append(F.sum(F.when(F.col("_cell") == k, F.col("_w")[r]).otherwise(0)).alias(f"{k}{r}"))
-    wide = staged.groupBy(*keys).agg(*aggs)
+        for code, k in ((1, "tp"), (2, "fp"), (3, "fn")):
+            aggs.append(F.sum(F.when(F.col("_cell") == code, F.col(f"_w{r}")).otherwise(0)).alias(f"{k}{r}"))
+    wide = w.groupBy(*keys).agg(*aggs)
     stack = ", ".join(f"{r}, tp{r}, fp{r}, fn{r}" for r in range(replicates))
     long = wide.selectExpr(*keys, f"stack({replicates}, {stack}) AS (replicate, tp, fp, fn)")
     return long.withColumn("f1_score", _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))

@@ -424,7 +424,6 @@ def _poisson_sql(u):
     return "CASE " + " ".join(parts) + " ELSE 12 END"
 
 
-_U = "(CAST(('0x' || substr(md5(concat_ws('|', s.row_id, 42, r.rep)), 1, 13)) AS BIGINT) / 4503599627370496.0)"
 SPLIT = """
 su AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS uu
        FROM scored),
@@ -432,8 +431,12 @@ srk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY uu, row_id) AS
                count(*) OVER (PARTITION BY label) AS n FROM su),
 test_rows AS (SELECT * EXCLUDE (uu, rnk, n) FROM srk WHERE rnk <= round(n * 0.2)),"""
 BOOT = SPLIT + f"""
-boot_w AS (SELECT r.rep, s.label, s.prediction, {_poisson_sql(_U)} AS w
-           FROM test_rows s CROSS JOIN (SELECT range AS rep FROM range(100)) r),
+boot_h AS (SELECT s.label, s.prediction, k.k, sha256(concat_ws('|', s.row_id, 42, k.k)) AS h
+           FROM test_rows s CROSS JOIN (SELECT range AS k FROM range(25)) k),
+boot_u AS (SELECT label, prediction, k * 4 + j AS rep,
+                  CAST(('0x' || substr(h, 1 + 13 * j, 13)) AS BIGINT) / 4503599627370496.0 AS u
+           FROM boot_h CROSS JOIN (SELECT range AS j FROM range(4)) jj),
+boot_w AS (SELECT rep, label, prediction, {_poisson_sql('u')} AS w FROM boot_u),
 boot AS (SELECT CAST(rep AS INTEGER) AS replicate,
                 CAST(sum(CASE WHEN label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS tp,
                 CAST(sum(CASE WHEN NOT label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS fp,
