@@ -106,11 +106,10 @@ def fill_cost(df: DataFrame) -> DataFrame:
     by_type = (df.join(med, on="asset_type", how="left")
                .withColumn("maintenance_cost", F.coalesce("maintenance_cost", "cost_median"))
                .drop("cost_median"))
-    overall = exact_median(by_type, [], "maintenance_cost", out="_overall")
-    # one row by construction
-    return (by_type.crossJoin(F.broadcast(overall))
-            .withColumn("maintenance_cost", F.coalesce("maintenance_cost", "_overall"))
-            .drop("_overall"))
+    # a single value: fetched once, so later stages do not recompute it
+    overall = exact_median(by_type, [], "maintenance_cost", out="_overall").first()
+    fallback = F.lit(overall["_overall"] if overall else None).cast("double")
+    return by_type.withColumn("maintenance_cost", F.coalesce(F.col("maintenance_cost"), fallback))
 
 
 def period_modes(df: DataFrame) -> DataFrame:
