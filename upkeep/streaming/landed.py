@@ -42,8 +42,11 @@ def start_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint:
     The progress checkpoint lives under the cluster's shared checkpoint
     folder unless one is given, so a restarted driver resumes exactly.
     """
-    base = ensure_checkpoint_dir(spark)
-    checkpoint = checkpoint or f"{base}/ingest-{abs(hash(table_path))}"
+    import hashlib
+
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    # stable across driver restarts, so a restarted query resumes from its offsets
+    checkpoint = checkpoint or f"{base}/ingest-{hashlib.sha1(table_path.encode()).hexdigest()[:16]}"
     stream = validate_stream(landed_records(spark, landing))
     writer = (stream.writeStream.format("parquet").option("path", table_path)
               .option("checkpointLocation", checkpoint).outputMode("append"))
