@@ -84,3 +84,12 @@ def test_quality_score_bounds(make_records):
     res = Q.clean(make_records(rows), as_of="2024-06-01", checkpoint=False)
     s = Q.quality_score(res.data, res.raw).first()
     assert 0.0 <= s.quality_score <= 1.0 and s.retention_rate == 1.0
+
+
+def test_request_contract(spark):
+    df = spark.createDataFrame([(1, "r", "lift", "c", "k", 10.0, 2), (None, "r", "lift", "c", "k", 0.0, 2)],
+                               "building_id long, building_type string, asset_type string, city string, "
+                               "country string, building_area double, building_floors long")
+    bad = Q.request_violations(df).collect()
+    assert len(bad) == 1
+    assert set(bad[0].violations) == {"building_id is required", "building_area must be positive"}

@@ -348,3 +348,23 @@ def record_contract_violations(df: DataFrame) -> DataFrame:
         F.when(c("maintenance_cost") < 0, F.lit("maintenance_cost cannot be negative"))),
         lambda x: x.isNotNull())
     return df.withColumn("violations", reasons).filter(F.size("violations") > 0)
+
+
+REQUEST_REQUIRED = ["building_id", "building_type", "asset_type", "city", "country", "building_area",
+                    "building_floors"]
+
+
+def request_violations(requests: DataFrame) -> DataFrame:
+    """Prediction requests breaking the request contract, with reasons.
+
+    Required fields must be present, area and floors positive.  There is no
+    batch-size cap: Spark scores any number of requests.
+    """
+    c = F.col
+    checks = [F.when(c(f).isNull(), F.lit(f"{f} is required")) for f in REQUEST_REQUIRED if f in requests.columns]
+    checks += [F.when(c("building_area") <= 0, F.lit("building_area must be positive")),
+               F.when(c("building_floors") <= 0, F.lit("building_floors must be positive"))]
+    missing = [f for f in REQUEST_REQUIRED if f not in requests.columns]
+    checks += [F.lit(f"{f} is required") for f in missing]
+    reasons = F.filter(F.array(*checks), lambda x: x.isNotNull())
+    return requests.withColumn("violations", reasons).filter(F.size("violations") > 0)

@@ -479,3 +479,23 @@ def q_vendor_export(spark, sf_dir):
 
 
 QUERIES.update({"coerce_types": q_coerce_types, "vendor_export": q_vendor_export})
+
+
+# ------------------------------------------------------------------ request scoring (no SQL oracle)
+from upkeep.plans import training as TR  # noqa: E402
+
+
+def q_request_scores(spark, sf_dir):
+    """M6 / M7 / D3: one request per (building, asset) in the data, scored with its
+    latest history features by the fitted forest."""
+    _, model, cols = _model_scores(spark, sf_dir)
+    feats = _feature_table(spark, sf_dir)
+    _, enc, _, _ = _encoded(spark, sf_dir)
+    requests = (feats.groupBy("building_id", "asset_type")
+                .agg(F.max_by(F.struct("building_type", "city", "country", "building_area", "building_floors"),
+                              F.col("maintenance_date")).alias("_b"))
+                .select("building_id", "asset_type", "_b.*"))
+    return TR.score_requests(requests, feats.drop(*ADAPTER_TIE), enc, model, cols, model_version="rf-1")
+
+
+QUERIES["request_scores"] = q_request_scores
