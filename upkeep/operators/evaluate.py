@@ -227,8 +227,10 @@ def confusion_cells(df: DataFrame, label: str = "label", prediction: str = "pred
 def model_comparison(df: DataFrame, **kw) -> DataFrame:
     """Accuracy / precision / recall / F1 / AUC per model as long rows."""
     keys = _keys(df)
-    m = classification_metrics(df).join(auc_ap(df), keys) if keys else \
-        classification_metrics(df).crossJoin(auc_ap(df))   # one row each
+    if keys:
+        m = classification_metrics(df).join(auc_ap(df), keys)
+    else:   # one row each
+        m = classification_metrics(df).withColumn("_k", F.lit(1)).join(auc_ap(df).withColumn("_k", F.lit(1)), "_k")
     names = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
     stack = ", ".join(f"'{n}', {n}" for n in names)
     return m.selectExpr(*keys, f"stack({len(names)}, {stack}) AS (metric, value)")
