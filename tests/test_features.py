@@ -70,3 +70,26 @@ def test_hot_groups_match_plain_windows(spark):
     ra = [tuple(x) for x in a.orderBy(*key).collect()]
     rb = [tuple(x) for x in b.orderBy(*key).collect()]
     assert ra == rb
+
+
+def test_bursty_hot_group_is_refined(spark):
+    """A burst inside one equal-width segment is cut again; results stay exact."""
+    from datetime import datetime, timedelta
+    from upkeep.operators.scan import ordered_scan, segment
+    base = datetime(2024, 1, 1)
+    # 40 rows spread over a year plus 60 rows inside one day
+    rows = [(1, base + timedelta(days=9 * i), float(i)) for i in range(40)]
+    rows += [(1, base + timedelta(days=100, minutes=i), float(100 + i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "g long, t timestamp, v double")
+    seg = segment(df, ["g"], F.unix_micros("t"), max_rows=10)
+    sizes = [r["count"] for r in seg.df.groupBy("_seg").count().collect()]
+    assert max(sizes) <= 10
+    got = ordered_scan(seg, [F.col("t")], sums={"run": F.col("v")}, lags={"v": 2}, leads={"v": 1},
+                       position="pos").orderBy("t").collect()
+    from pyspark.sql import Window
+    w = Window.partitionBy("g").orderBy("t")
+    ref = df.select("t", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"),
+                    F.lag("v", 1).over(w).alias("l1"), F.lag("v", 2).over(w).alias("l2"),
+                    F.lead("v", 1).over(w).alias("n1"), F.row_number().over(w).alias("pos")).orderBy("t").collect()
+    assert [(r.run, r.lag1_v, r.lag2_v, r.lead1_v, r.pos) for r in got] == \
+        [(r.run, r.l1, r.l2, r.n1, r.pos) for r in ref]

@@ -71,15 +71,18 @@ def engineer(df: DataFrame, tie: list, max_rows: int = DEFAULT_MAX_ROWS,
     span = F.floor((F.col("_hi") - F.col("_lo")) / F.lit(86_400_000_000.0))
     freq = (F.when((F.col("_n") < 2) | (span < S.MIN_FREQUENCY_SPAN_DAYS), F.lit(S.DEFAULT_FREQUENCY))
             .otherwise(F.col("_n") / (span / F.lit(S.DAYS_PER_YEAR))))
-    hot = F.col("_n") > F.lit(max_rows)
-    segs = F.when(hot, F.sequence(F.lit(0).cast("long"),
-                                  F.ceil(F.col("_n") / F.lit(max_rows)).cast("long") + 1)
-                  ).otherwise(F.array(F.lit(0).cast("long")))
-    gstats = (stats.join(bstats, "building_id").join(broadcast_if_small(astats), "asset_type")
-              .select(*KEYS, F.explode(segs).alias(SEG),
-                      freq.alias("maintenance_frequency"),
-                      safe_ratio(F.col("_pf"), F.col("_pfn")).alias("_prev_fail_rate"),
-                      "building_failure_rate", "asset_failure_rate", "asset_density"))
+    gcols = [freq.alias("maintenance_frequency"),
+             safe_ratio(F.col("_pf"), F.col("_pfn")).alias("_prev_fail_rate"),
+             "building_failure_rate", "asset_failure_rate", "asset_density"]
+    gfull = stats.join(bstats, "building_id").join(broadcast_if_small(astats), "asset_type")
+    if seg.has_hot:
+        # ordinary groups are segment 0; hot groups get one row per actual segment
+        hot = F.col("_n") > F.lit(max_rows)
+        gstats = (gfull.filter(~hot).select(*KEYS, F.lit(0).cast("long").alias(SEG), *gcols)
+                  .unionByName(gfull.filter(hot).join(F.broadcast(seg.segments), KEYS)
+                               .select(*KEYS, SEG, *gcols)))
+    else:
+        gstats = gfull.select(*KEYS, F.lit(0).cast("long").alias(SEG), *gcols)
     cities = broadcast_if_small(
         df.groupBy("city").agg(F.countDistinct("building_id").alias("city_building_count"))
         .filter(F.col("city").isNotNull()))
