@@ -17,7 +17,8 @@ from upkeep import schema as S
 from upkeep.functions.expressions import (age_years, cost_category, day_of_week_monday0,
                                           height_category, safe_ratio, season, size_category,
                                           whole_days_between)
-from upkeep.operators.scan import DEFAULT_MAX_ROWS, HOT_WIDTH, SEG, ordered_scan, segment
+from upkeep.operators.scan import (DEFAULT_MAX_ROWS, HOT_WIDTH, SEG, checked_broadcast, ordered_scan,
+                                   segment)
 from upkeep.operators.stats import broadcast_if_small
 from upkeep.session import materialize
 
@@ -79,7 +80,7 @@ def engineer(df: DataFrame, tie: list, max_rows: int = DEFAULT_MAX_ROWS,
         # ordinary groups are segment 0; hot groups get one row per actual segment
         hot = F.col("_n") > F.lit(max_rows)
         gstats = (gfull.filter(~hot).select(*KEYS, F.lit(0).cast("long").alias(SEG), *gcols)
-                  .unionByName(gfull.filter(hot).join(F.broadcast(seg.segments), KEYS)
+                  .unionByName(gfull.filter(hot).join(checked_broadcast(seg.segments), KEYS)
                                .select(*KEYS, SEG, *gcols)))
     else:
         gstats = gfull.select(*KEYS, F.lit(0).cast("long").alias(SEG), *gcols)
