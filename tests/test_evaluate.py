@@ -66,3 +66,15 @@ def test_bootstrap_deterministic(spark):
     a = [tuple(r) for r in EV.bootstrap_f1(df, F.col("id"), replicates=10).orderBy("replicate").collect()]
     b = [tuple(r) for r in EV.bootstrap_f1(df.repartition(5), F.col("id"), replicates=10).orderBy("replicate").collect()]
     assert a == b and len(a) == 10
+
+
+def test_hot_path_curves_and_split_match(spark):
+    """Forcing segmentation (tiny max_rows) leaves curves, AUC and the split unchanged."""
+    df, _ = _scored(spark, n=400)
+    a = sorted(tuple(r) for r in EV.roc_points(df).collect())
+    b = sorted(tuple(r) for r in EV.roc_points(df, max_rows=7).collect())
+    assert a == b
+    assert EV.auc_ap(df).first() == EV.auc_ap(df, max_rows=7).first()
+    s1 = {r.id for r in EV.stratified_split(df, F.col("id")).filter("is_test").collect()}
+    s2 = {r.id for r in EV.stratified_split(df, F.col("id"), max_rows=25).filter("is_test").collect()}
+    assert s1 == s2

@@ -166,14 +166,14 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def curve_points(df: DataFrame, label: str = "label", score: str = "score",
-                 bin_width: float | None = None) -> DataFrame:
+                 bin_width: float | None = None, max_rows: int | None = None) -> DataFrame:
     """Cumulative TP/FP for every distinct threshold, highest first."""
     counts = score_counts(df, label, score, bin_width)
     keys = _keys(df)
     gkeys = keys or ["_g"]
     if not keys:
         counts = counts.withColumn("_g", F.lit(0))
-    seg = segment(counts, gkeys, -F.col("threshold"))
+    seg = segment(counts, gkeys, -F.col("threshold"), **({"max_rows": max_rows} if max_rows else {}))
     run = ordered_scan(seg, order=[F.col("threshold").desc()],
                        sums={"tp": F.col("tp_at"), "fp": F.col("fp_at")})
     totals = counts.groupBy(*gkeys).agg(F.sum("tp_at").alias("pos"), F.sum("fp_at").alias("neg"))
@@ -306,7 +306,8 @@ def stability_summary(boot: DataFrame, metric: str = "f1_score") -> DataFrame:
 
 
 def stratified_split(df: DataFrame, row_id: Column, label: str = "label",
-                     test_fraction: float = S.TEST_FRACTION, seed: int = S.SPLIT_SEED) -> DataFrame:
+                     test_fraction: float = S.TEST_FRACTION, seed: int = S.SPLIT_SEED,
+                     max_rows: int | None = None) -> DataFrame:
     """Exact stratified split; adds boolean ``is_test``.
 
     Within each class rows are ordered by a seeded hash; the first
@@ -315,7 +316,7 @@ def stratified_split(df: DataFrame, row_id: Column, label: str = "label",
     """
     u = uniform_hash(row_id, F.lit(seed))
     staged = df.withColumn("_u", u).withColumn("_rid", row_id.cast("string")).withColumn("_cls", F.col(label))
-    seg = segment(staged, ["_cls"], F.col("_u"))
+    seg = segment(staged, ["_cls"], F.col("_u"), **({"max_rows": max_rows} if max_rows else {}))
     ranked = ordered_scan(seg, order=[F.col("_u"), F.col("_rid")], position="_rank")
     sizes = seg.stats.select("_cls", F.col("_n"))
     out = ranked.join(sizes, "_cls").withColumn(
