@@ -27,7 +27,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
-    spark = get_spark(f"local[{cpus}]", int(cpus) * 2, app_name="upkeep-bench",
+    spark = get_spark(f"local[{cpus}]", int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", int(cpus) * 2)), app_name="upkeep-bench",
                       extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM class loading and the parquet footer cache, not timed
