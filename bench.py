@@ -32,16 +32,21 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM class loading and the parquet footer cache, not timed
     QUERIES["records"](spark, sf_dir).limit(1).collect()
-    timings, rows = {}, {}
+    timings, rows, errors = {}, {}, {}
     for name in names:
         t0 = time.perf_counter()
-        df = QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
-        if name in ("records", "model_scores", "request_scores"):
-            rows[name] = df.count()
+        try:
+            df = QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            timings[name] = round(time.perf_counter() - t0, 3)
+            if name in ("records", "model_scores", "request_scores"):
+                rows[name] = df.count()
+        except Exception as e:  # noqa: BLE001 - report and keep timing the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     out = {"metric": "headline_queries_total", "value": round(sum(timings.values()), 3), "unit": "sec",
            "queries": timings, "sf": _sf(sf_dir), "cpus": int(cpus)}
+    if errors:
+        out["errors"] = errors
     if "model_scores" in timings and rows.get("model_scores"):
         out["scored_rows"] = rows["model_scores"]
     if "request_scores" in timings and rows.get("request_scores"):
