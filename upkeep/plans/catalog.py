@@ -499,3 +499,25 @@ def q_request_scores(spark, sf_dir):
 
 
 QUERIES["request_scores"] = q_request_scores
+
+
+FAMILY_PARAMS = {
+    "random_forest": {"numTrees": 20, "maxDepth": 8},
+    "gbt_depthwise": {"maxIter": 20, "maxDepth": 5},
+    "gbt_leafwise": {"maxIter": 20, "maxDepth": 3},
+}
+
+
+def q_model_families(spark, sf_dir):
+    """The three model families on the same split, compared."""
+    train, test, cols = _train_test(spark, sf_dir)
+    scored = None
+    for name, params in FAMILY_PARAMS.items():
+        model = MD.fit_fixed(train, cols, name, seed=S.SPLIT_SEED, **params)
+        s = MD.predict(model, test, keep=ID_COLS + ["label"], model_name=name)
+        scored = s if scored is None else scored.unionByName(s)
+    scored = materialize(scored.withColumnRenamed("maintenance_probability", "score"))
+    return EV.model_comparison(scored)
+
+
+QUERIES["model_families"] = q_model_families
