@@ -376,9 +376,11 @@ from upkeep.operators import models as MD  # noqa: E402
 
 
 def _train_test(spark, sf_dir):
-    m, cols, _ = _matrix(spark, sf_dir)
-    m = MD.with_label(m)
-    split = materialize(EV.stratified_split(m, row_id(), label="maintenance_needed"))
+    def build():
+        m, cols, _ = _matrix(spark, sf_dir)
+        split = materialize(EV.stratified_split(MD.with_label(m), row_id(), label="maintenance_needed"))
+        return split, cols
+    split, cols = _stage(spark, sf_dir, "split", build)
     return split.filter(~F.col("is_test")), split.filter(F.col("is_test")), cols
 
 
