@@ -33,6 +33,8 @@ from upkeep.llm.shingles import shingle_sets
 
 #: Text that one block holds, about; what one shard holds, about, of the members sent.
 BLOCK_BYTES, SHARD_BYTES = 64 << 20, 32 << 20
+#: 64-bit words of a set's parity sketch.
+SKETCH = 16
 MANY = 0xFFFFFFFF  # in place of a document: several of the block's documents have this member
 
 
@@ -138,11 +140,7 @@ def _elsewhere(scan: DataFrame, shards: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of the pairs (u, v) those that reach the threshold.
-
-    The suffix filter comes first: both sets, split by the top bits of the
-    hash, share at most the smaller count of each part.
-    """
+    """Of the pairs (u, v) those that reach the threshold; a first look at parts of the sets, which share at most the smaller count, spares most merges."""
     left = sets.select(F.col("vid").alias("u"), F.col("members").alias("a"))
     right = sets.select(F.col("vid").alias("v"), F.col("members").alias("b"))
 
@@ -167,6 +165,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return joined.mapInArrow(run, "u long, v long")
 
 
+def _sketch(members: np.ndarray) -> np.ndarray:
+    """Of each class of hashes whether the set has an odd number of members in it.
+
+    Two sets' sketches differ in at most as many bits as the sets have members that are not shared.
+    """
+    odd = np.bincount((members & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+def _near_enough(a: str, b: str, num: int, den: int) -> Column:
+    """Suffix filter: the sketches differ in no more bits than linked sets have members apart."""
+    apart = sum((F.bit_count(F.col(f"{a}.sketch")[k].bitwiseXOR(F.col(f"{b}.sketch")[k])) for k in range(SKETCH)), F.lit(0))
+    both = F.col(f"{a}.n") + F.col(f"{b}.n")
+    return apart <= both - 2 * F.ceil(num * both / F.lit(num + den))
+
+
 def _may_link(a: str, b: str, num: int, den: int) -> Column:
     """Length and positional filter of two postings that share a member."""
     na, nb, pa_, pb = (F.col(f"{x}.{c}") for c in ("n", "pos") for x in (a, b))
@@ -203,7 +217,7 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, piece in pieces(batches, "text", 4 << 20, 1 << 60):
             found = shingle_sets(texts_of(piece, "text"), words)
-            yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array([len(x) for x in found], pa.int32()), pa.array([x.tobytes() for x in found], pa.binary())], ["vid", "n", "members"])
+            yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array([len(x) for x in found], pa.int32()), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([_sketch(x) for x in found], pa.list_(pa.int64()))], ["vid", "n", "members", "sketch"])
 
     def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,8 +227,8 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
                 n = part.column("n").to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column("vid").to_numpy(), n)), pa.array(np.repeat(n, n)), pa.array(np.concatenate(m))], ["vid", "n", "h"])
 
-    sets = materialize(chosen.mapInArrow(members, "vid long, n int, members binary"))
-    each = sets.mapInArrow(single, "vid long, n int, h long")
+    sets = materialize(chosen.mapInArrow(members, "vid long, n int, members binary, sketch array<bigint>"))
+    each = sets.select("vid", "n", "members").mapInArrow(single, "vid long, n int, h long")
     often = each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     shared = each.join(often, "h")
     # members that occur once come first in rare-first order; they take places, but join nothing
@@ -235,10 +249,10 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
 
     placed = postings.join(found.withColumnRenamed("node", "vid"), "vid", "left").withColumn("root", F.coalesce("root", "vid"))
     mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    open_ = materialize(placed.join(mixed, "h"))
+    open_ = materialize(placed.join(mixed, "h").join(sets.select("vid", "sketch"), "vid"))
     a, b = open_.alias("a"), open_.alias("b")
     cross = (a.join(b, F.col("a.h") == F.col("b.h")).where((F.col("a.vid") < F.col("b.vid")) & (F.col("a.root") != F.col("b.root")))
-             .where(_may_link("a", "b", num, den))
+              .where(_may_link("a", "b", num, den) & _near_enough("a", "b", num, den))
              .select(F.col("a.vid").alias("u"), F.col("b.vid").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"))
     more = materialize(_verified(cross, sets, num, den))
     if not more.isEmpty():

@@ -69,13 +69,13 @@ def probabilities(codes: DataFrame, tables: list[DataFrame]) -> DataFrame:
     return lower
 
 
-def perplexities(docs: DataFrame, tables: list[DataFrame], column: str = "text") -> DataFrame:
-    """``docs`` (a stored table) with ``n_symbols`` and ``perplexity`` (null for null or empty text)."""
+def perplexities(docs: DataFrame, tables: list[DataFrame], column: str = "text", keep_text: bool = True) -> DataFrame:
+    """``docs`` (a stored table; its text only if ``keep_text``) with ``n_symbols`` and ``perplexity`` (null for null or empty text)."""
     order = len(tables)
     asked = materialize(wanted(docs, order, column).groupBy("gram").agg(F.collect_list("block").alias("blocks")))
     logs = probabilities(asked.select("gram"), tables).select("gram", F.log("p").alias("value"))
     valued = asked.join(logs, "gram").select("gram", "value", F.explode("blocks").alias("block"))
-    scored = score(docs, valued, order, column)
+    scored = score(docs, valued, order, column, keep_text)
     return (scored.withColumn("n_symbols", F.col("_chars"))
             .withColumn("perplexity", F.when(F.col("_chars") > 0, F.exp(-F.col("_sum") / F.col("_chars")))).drop("_chars", "_sum"))
 
@@ -108,8 +108,8 @@ def thresholds(scored: DataFrame, kept_share: float = KEPT_SHARE, room: float =
     return by_lang.select(F.col("lang").alias("_lang"), "threshold"), trusted.agg(cut).first()[0]
 
 
-def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, kept_share: float = KEPT_SHARE) -> DataFrame:
-    """``docs`` (a stored table with doc_id, text, lang and any others) with n_symbols, perplexity, threshold and kept.
+def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, kept_share: float = KEPT_SHARE, keep_text: bool = True) -> DataFrame:
+    """``docs`` (a stored table with doc_id, text, lang and any others; the text is left out unless ``keep_text``) with n_symbols, perplexity, threshold and kept.
 
     All trusted text is counted, but for the held-out fifth, and every
     document is scored whole.  A document is kept if its perplexity is at
@@ -124,7 +124,7 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, kept_share:
     marked = small_or_shuffled(trusted)
     learned = marked.where(~held_out("_trusted"))
     tables = train(docs.select("doc_id", "text").join(learned, F.col("doc_id") == F.col("_trusted"), "left_semi"), order)
-    scored = materialize(perplexities(docs, tables))
+    scored = materialize(perplexities(docs, tables, keep_text=keep_text))
     held = marked.where(held_out("_trusted")).withColumn("trusted", F.lit(True))
     flags = scored.select("doc_id", "lang", "perplexity", "n_symbols").join(held, F.col("doc_id") == F.col("_trusted"))
     by_lang, common = thresholds(flags, kept_share)

@@ -129,15 +129,15 @@ class _Table:
         return self.values[at]
 
 
-def score(rows: DataFrame, valued: DataFrame, order: int, column: str = "text") -> DataFrame:
-    """``rows`` with ``_chars`` (characters) and ``_sum`` (of the values of their n-grams).
+def score(rows: DataFrame, valued: DataFrame, order: int, column: str = "text", keep: bool = True) -> DataFrame:
+    """``rows`` (without ``column`` unless ``keep``) with ``_chars`` (characters) and ``_sum`` (of the values of their n-grams).
 
     valued: gram, block, value for each row of ``wanted`` over the same stored
     table; both passes read it in the same order.  Rows travel to their
     block's values as compressed Arrow messages.
     """
-    schema = rows.schema
-    fields = schema.fieldNames()
+    fields = [f for f in rows.schema.fields if keep or f.name != column]
+    names = [f.name for f in fields]
 
     def wrap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, piece in pieces(batches, column, PIECE_BYTES, BLOCK_BYTES):
@@ -169,12 +169,12 @@ def score(rows: DataFrame, valued: DataFrame, order: int, column: str = "text")
                     code, lengths = grams(texts_of(piece, column), order)
                     of_char = np.concatenate(([0.0], np.cumsum(lookup(code))))
                     ends = np.cumsum(lengths)
-                    yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(lengths), pa.array(of_char[ends] - of_char[ends - lengths])], [*fields, "_chars", "_sum"])
+                    yield pa.RecordBatch.from_arrays([*piece.select(names).columns, pa.array(lengths), pa.array(of_char[ends] - of_char[ends - lengths])], [*names, "_chars", "_sum"])
 
     sent = _numbered(rows).mapInArrow(wrap, "block long, kind int, gram long, value double, data binary")
     back = valued.select("block", F.lit(0).alias("kind"), "gram", "value", F.lit(None).cast("binary").alias("data"))
     both = back.unionByName(sent).repartition(4 * partitions(rows.sparkSession), "block").sortWithinPartitions("block", "kind")
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return both.mapInArrow(run, f"{out}, _chars long, _sum double")
 
 

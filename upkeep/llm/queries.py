@@ -27,7 +27,7 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    scored = kneser_ney.classify(docs, table(spark, sf_dir, "labels"))
+    scored = kneser_ney.classify(docs, table(spark, sf_dir, "labels"), keep_text=False)
     return scored.select("doc_id", "lang", "n_symbols", "perplexity", "threshold", "kept")
 
 
