@@ -18,7 +18,7 @@ def test_unseen_category_and_onehot(make_records, spark):
 def test_label_codes_sorted_and_distributed(spark):
     df = spark.createDataFrame([(str(i),) for i in range(40)], "technician_id string")
     a = {r.value: r.code for r in EN.fit_label_vocab(df, ["technician_id"]).collect()}
-    b = {r.value: r.code for r in EN.fit_label_vocab(df, ["technician_id"], max_rows=5).collect()}
+    b = {r.value: r.code for r in EN.fit_label_vocab(df, ["technician_id"], partitions=7).collect()}
     expected = {v: i for i, v in enumerate(sorted(str(i) for i in range(40)))}
     assert a == expected and b == expected
 

@@ -64,6 +64,30 @@ def test_csv_coercion_nulls_bad_cells(spark):
     assert rows[1].maintenance_cost is None and rows[1].failure_reported is False
 
 
+def test_csv_columns_are_read_by_name(spark, tmp_path):
+    cols = list(reversed(list(REC)))
+    a = tmp_path / "a"
+    a.mkdir()
+    (a / "x.csv").write_text(",".join(["extra", *cols]) + "\n" + ",".join(["?", *[str(REC[c]) for c in cols]]) + "\n")
+    row = RD.read_csv(spark, str(a)).first()
+    assert row.building_id == int(REC["building_id"]) and row.asset_type == REC["asset_type"] and row.city == REC["city"]
+    assert "extra" not in row.asDict()
+    fewer = [c for c in cols if c not in ("technician_id", "downtime_days")]
+    b = tmp_path / "b"
+    b.mkdir()
+    (b / "x.csv").write_text(",".join(fewer) + "\n" + ",".join(str(REC[c]) for c in fewer) + "\n")
+    row = RD.read_csv(spark, str(b)).first()
+    assert row.technician_id is None and row.downtime_days == 0 and row.city == REC["city"]
+    (b / "y.csv").write_text("city\nTirana\n")
+    try:
+        RD.read_csv(spark, str(b)).collect()
+        raise AssertionError("expected a failure: the headers disagree")
+    except AssertionError:
+        raise
+    except Exception:  # noqa: BLE001
+        pass
+
+
 def test_unknown_source(spark):
     try:
         RD.read_records(spark, "xml", "/nowhere")
@@ -98,7 +122,7 @@ def test_extract_report_flag_and_first_resident(spark):
                                                     "service_id long, building_id long, checked_date timestamp"),
         "reports": spark.createDataFrame([(1, 1, dt(2024, 2, 1))], "id long, building_id long, created_at timestamp"),
         "building_resident": spark.createDataFrame([(3, 1), (2, 1)], "resident_id long, building_id long"),
-        "resident_invoice": spark.createDataFrame([(2, 70.0), (3, 90.0)], "resident_id long, value double"),
+        "resident_invoice": spark.createDataFrame([(2, 70.0), (2, 75.0), (3, 90.0)], "resident_id long, value double"),
     }
     rows = EX.sorted_extract(EX.extract_records(t)).collect()
     assert [(r.maintenance_date.month, r.failure_reported, r.maintenance_cost) for r in rows] == \

@@ -12,12 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from upkeep import schema as S
-from upkeep.operators.scan import ordered_scan, segment
+from upkeep.session import materialize
 
 INLINE_VOCAB_MAX = 1_000_000   # vocabularies up to this size are broadcast (hash lookup)
 
@@ -36,18 +36,13 @@ def _string(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def _prefix_key(value: Column) -> Column:
-    """Non-decreasing numeric key for byte-ordered strings (first 6 bytes)."""
-    padded = F.rpad(F.substring(F.hex(value), 1, 12), 12, "0")
-    return F.conv(padded, 16, 10).cast("double")
-
-
-def fit_label_vocab(df: DataFrame, columns: list, max_rows: int | None = None) -> DataFrame:
+def fit_label_vocab(df: DataFrame, columns: list, partitions: int | None = None) -> DataFrame:
     """Sorted-class codes per column as a long table (feature, value, code).
 
-    Codes are positions among the distinct values in string order, computed
-    by a segmented scan, so a high-cardinality id column is ranked across
-    many tasks instead of one.
+    Codes are positions among the distinct values in string order.  The
+    values are range-partitioned by their whole length, so values that share a long
+    prefix still spread; each partition numbers its own, and the counts
+    of the partitions before it move the numbers up.
     """
     if not columns:
         schema = "feature string, value string, code long"
@@ -55,10 +50,16 @@ def fit_label_vocab(df: DataFrame, columns: list, max_rows: int | None = None) -
     stacked = reduce(DataFrame.unionByName, [
         df.select(F.lit(c).alias("feature"), _string(c).alias("value")).filter(F.col("value").isNotNull())
         for c in columns]).distinct()
-    kw = {"max_rows": max_rows} if max_rows else {}
-    seg = segment(stacked, ["feature"], _prefix_key(F.col("value")), **kw)
-    ranked = ordered_scan(seg, order=[F.col("value")], position="_p")
-    return ranked.select("feature", "value", (F.col("_p") - 1).cast("long").alias("code"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # stored, so that both passes below see the same partitions
+    part = materialize(stacked.repartitionByRange(n, "feature", "value").withColumn("_part", F.spark_partition_id()))
+    counts = part.groupBy("feature", "_part").agg(F.count(F.lit(1)).alias("_n"))   # features x partitions rows
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("feature").orderBy("_part")
+                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = counts.select("feature", "_part", before.alias("_base"))
+    own = F.row_number().over(Window.partitionBy("feature", "_part").orderBy("value"))
+    return (part.withColumn("_own", own).join(base, ["feature", "_part"])
+            .select("feature", "value", (F.col("_base") + F.col("_own") - 1).cast("long").alias("code")))
 
 
 def fit_scaler(df: DataFrame, columns: list) -> DataFrame:
@@ -84,7 +85,7 @@ def scaled_columns(df: DataFrame) -> list:
 
 def fit(df: DataFrame, categorical=S.CATEGORICAL_FEATURES,
         engineered=S.ENGINEERED_CATEGORICALS, max_onehot: int = S.ONE_HOT_MAX_CATEGORIES,
-        vocab_max_rows: int | None = None) -> FittedEncoding:
+        vocab_partitions: int | None = None) -> FittedEncoding:
     cats = [c for c in categorical if c in df.columns]
     # one aggregate row: distinct counts per categorical column (E1/E2 choice)
     nunique = df.agg(*[F.countDistinct(c).alias(c) for c in cats]).first().asDict() if cats else {}
@@ -96,12 +97,11 @@ def fit(df: DataFrame, categorical=S.CATEGORICAL_FEATURES,
         row = df.agg(*[F.sort_array(F.collect_set(_string(c))).alias(c) for c in onehot_cols]).first()
         onehot = {c: list(row[c]) for c in onehot_cols}
     label_cols += [c for c in engineered if c in df.columns]
-    vocab = fit_label_vocab(df, label_cols, vocab_max_rows)
-    from upkeep.session import materialize
-    vocab = materialize(vocab)
+    vocab = materialize(fit_label_vocab(df, label_cols, vocab_partitions))
     sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
     cols = scaled_columns(df)
-    return FittedEncoding(onehot, label_cols, vocab, fit_scaler(df, cols), cols, sizes)
+    # stored, so that applying it does not read the history again
+    return FittedEncoding(onehot, label_cols, vocab, materialize(fit_scaler(df, cols)), cols, sizes)
 
 
 def apply_encoding(df: DataFrame, enc: FittedEncoding) -> DataFrame:

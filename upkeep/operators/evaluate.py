@@ -243,31 +243,26 @@ def uniform_hash(*cols: Column) -> Column:
     return F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / F.lit(float(2 ** 52))
 
 
-def poisson1(u: Column, kmax: int = 12) -> Column:
-    """Poisson(1) draw by inverse CDF of a uniform."""
-    cdf, term, expr = 0.0, math.exp(-1.0), None
+def poisson_cuts(kmax: int = 12) -> list:
+    """Upper bounds of the Poisson(1) classes 0, 1, ... as 13 hex digits of a 52-bit uniform.
+
+    A uniform is below a bound as a number exactly if its digits are below
+    the bound's as text.  Draws above ``kmax`` (probability 1e-10) count as ``kmax``.
+    """
+    cdf, term, cuts = 0.0, math.exp(-1.0), []
     for k in range(kmax):
         cdf += term
         term /= (k + 1)
-        cond = u < F.lit(cdf)
-        expr = F.when(cond, F.lit(k)) if expr is None else expr.when(cond, F.lit(k))
-    return expr.otherwise(F.lit(kmax))
+        cuts.append(format(math.ceil(cdf * 2 ** 52), "013x"))
+    return cuts
 
 
-def replicate_uniforms(row_id: Column, replicates: int, seed: int) -> list:
-    """``replicates`` deterministic U[0,1) values per row, four per SHA-256.
-
-    Hash k of (row, seed, k) gives 64 hex digits; digits 1-13, 14-26, 27-39
-    and 40-52 are four 52-bit uniforms (replicates 4k .. 4k+3).
-    """
-    rid = row_id.cast("string")
-    out = []
-    for k in range((replicates + 3) // 4):
-        h = F.sha2(F.concat_ws("|", rid, F.lit(str(seed)), F.lit(str(k))), 256)
-        for j in range(4):
-            if len(out) < replicates:
-                out.append(F.conv(F.substring(h, 1 + 13 * j, 13), 16, 10).cast("double") / F.lit(float(2 ** 52)))
-    return out
+def poisson1(digits: Column) -> Column:
+    """Poisson(1) draw by inverse CDF of a uniform, given as 13 lower-case hex digits."""
+    cuts, expr = poisson_cuts(), None
+    for k, cut in enumerate(cuts):
+        expr = F.when(digits < cut, F.lit(k)) if expr is None else expr.when(digits < cut, F.lit(k))
+    return expr.otherwise(F.lit(len(cuts)))
 
 
 def bootstrap_f1(df: DataFrame, row_id: Column, replicates: int = S.BOOTSTRAP_REPLICATES,
@@ -275,24 +270,26 @@ def bootstrap_f1(df: DataFrame, row_id: Column, replicates: int = S.BOOTSTRAP_RE
     """Poisson bootstrap of F1; per-replicate weighted confusion in one pass.
 
     Each row gets one Poisson(1) weight per replicate from a hash of (row,
-    seed); no row is copied, the replicates are conditional sums in one
-    partial aggregate (codegen'd projections, no per-row Python).
+    seed, k): 64 hex digits, of which 1-13, 14-26, 27-39 and 40-52 are the
+    uniforms of replicates 4k to 4k+3.  A row becomes one narrow row for each
+    hash, which the partial aggregate takes up at once: what is shuffled is a few sums for each hash.
     Returns one row per replicate: (replicate, tp, fp, fn, f1_score).
     """
     y, p = _pos(label), F.col(prediction).cast("int") == 1
     cell = (F.when(y & p, F.lit(1)).when(~y & p, F.lit(2)).when(y & ~p, F.lit(3)))
     keys = _keys(df)
-    u = df.select(*keys, cell.alias("_cell"), row_id.alias("_rid")).filter(F.col("_cell").isNotNull())
-    u = u.select(*keys, "_cell", *[c.alias(f"_u{r}") for r, c in
-                                   enumerate(replicate_uniforms(F.col("_rid"), replicates, seed))])
-    w = u.select(*keys, "_cell", *[poisson1(F.col(f"_u{r}")).alias(f"_w{r}") for r in range(replicates)])
-    aggs = []
-    for r in range(replicates):
-        for code, k in ((1, "tp"), (2, "fp"), (3, "fn")):
-            aggs.append(F.sum(F.when(F.col("_cell") == code, F.col(f"_w{r}")).otherwise(0)).alias(f"{k}{r}"))
-    wide = w.groupBy(*keys).agg(*aggs)
-    stack = ", ".join(f"{r}, tp{r}, fp{r}, fn{r}" for r in range(replicates))
-    long = wide.selectExpr(*keys, f"stack({replicates}, {stack}) AS (replicate, tp, fp, fn)")
+    blocks = (replicates + 3) // 4
+    rows = df.select(*keys, cell.alias("_cell"), row_id.cast("string").alias("_rid")).filter(F.col("_cell").isNotNull())
+    rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    rows = rows.withColumn("_h", F.sha2(F.concat_ws("|", "_rid", F.lit(str(seed)), F.col("_k").cast("string")), 256))
+    rows = rows.select(*keys, "_cell", "_k", *[poisson1(F.substring("_h", 1 + 13 * j, 13)).alias(f"_w{j}") for j in range(4)])
+    aggs = [F.sum(F.when(F.col("_cell") == code, F.col(f"_w{j}")).otherwise(0)).alias(f"{n}{j}")
+            for j in range(4) for code, n in ((1, "tp"), (2, "fp"), (3, "fn"))]
+    wide = rows.groupBy(*keys, "_k").agg(*aggs)
+    stack = ", ".join(f"{j}, tp{j}, fp{j}, fn{j}" for j in range(4))
+    long = (wide.selectExpr(*keys, "_k", f"stack(4, {stack}) AS (_j, tp, fp, fn)")
+            .withColumn("replicate", F.col("_k") * 4 + F.col("_j")).filter(F.col("replicate") < replicates)
+            .select(*keys, "replicate", "tp", "fp", "fn"))
     return long.withColumn("f1_score", _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
 
 

@@ -39,7 +39,7 @@ def ensure_required_columns(df: DataFrame, required=S.REQUIRED_COLUMNS) -> DataF
                 "technician_id": F.lit(None).cast("long"), "period_days": F.lit(None).cast("long")}
     missing_required = [c for c in required if c not in df.columns and c not in defaults]
     if missing_required:
-        raise ValueError(f"Required column missing: {missing_required[0]}")
+        raise ValueError(f"Required column missing: {', '.join(missing_required)}")
     add = {c: e for c, e in defaults.items() if c not in df.columns}
     return df.withColumns(add) if add else df
 
@@ -362,8 +362,8 @@ def request_violations(requests: DataFrame) -> DataFrame:
     """
     c = F.col
     checks = [F.when(c(f).isNull(), F.lit(f"{f} is required")) for f in REQUEST_REQUIRED if f in requests.columns]
-    checks += [F.when(c("building_area") <= 0, F.lit("building_area must be positive")),
-               F.when(c("building_floors") <= 0, F.lit("building_floors must be positive"))]
+    checks += [F.when(c(f) <= 0, F.lit(f"{f} must be positive"))
+               for f in ("building_area", "building_floors") if f in requests.columns]
     missing = [f for f in REQUEST_REQUIRED if f not in requests.columns]
     checks += [F.lit(f"{f} is required") for f in missing]
     reasons = F.filter(F.array(*checks), lambda x: x.isNotNull())

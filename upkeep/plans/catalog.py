@@ -248,14 +248,19 @@ def row_id():
 
 
 def _scored(spark, sf_dir):
-    """Records scored by the rule-based risk score against the engineered label."""
+    """Records scored by the rule-based risk score, mixed with a hash, against the engineered label."""
     return _stage(spark, sf_dir, "scored", lambda: materialize(_score_rows(spark, sf_dir)))
 
 
 def _score_rows(spark, sf_dir):
     r = SC.rule_risk(_feature_table(spark, sf_dir), as_of=AS_OF)
-    return r.select(*ID_COLS, F.col("maintenance_needed").alias("label"), F.col("risk_score").alias("score"),
-                    (F.col("risk_score") >= F.lit(S.DECISION_THRESHOLD)).cast("int").alias("prediction"),
+    # the rule score has few values and no false positives; mixed with a hash it takes thousands, in all four confusion cells
+    digits = F.substring(F.md5(F.concat_ws("|", row_id(), F.lit("score"))), 1, 4)
+    noise = F.conv(digits, 16, 10).cast("long") % 1001
+    score = (F.round(F.col("risk_score") * 10).cast("long") * 200 + noise * 3) / F.lit(5000.0)
+    r = r.withColumn("score", score)
+    return r.select(*ID_COLS, F.col("maintenance_needed").alias("label"), "score", "risk_score",
+                    (F.col("score") >= F.lit(S.DECISION_THRESHOLD)).cast("int").alias("prediction"),
                     "risk_level", *SCORE_FEATURES)
 
 
@@ -265,7 +270,7 @@ def _r(df, digits=6, skip=()):
 
 
 def q_rule_risk(spark, sf_dir):
-    return _scored(spark, sf_dir).select(*ID_COLS, "score", "risk_level")
+    return _scored(spark, sf_dir).select(*ID_COLS, F.col("risk_score").alias("score"), "risk_level")
 
 
 def q_data_summary(spark, sf_dir):
@@ -429,6 +434,46 @@ def q_extract_window(spark, sf_dir):
     return EX.extract_records(EX.operational_from_tables(spark, sf_dir), window_days=90)
 
 
+def q_request_contract(spark, sf_dir):
+    """Requests made of the dirty records, with missing and non-positive fields and no country column."""
+    d = _records(spark, sf_dir, dirty=True)
+    requests = d.select("building_id", "building_type", "asset_type",
+                        F.when(F.col("l_linenumber") != 7, F.col("city")).alias("city"),
+                        "building_area", "building_floors", "l_orderkey", "l_linenumber")
+    return Q.request_violations(requests).withColumn("violations", F.array_join("violations", "|"))
+
+
+QUERIES["request_contract"] = q_request_contract
+
+
+def _round_trip(spark, sf_dir, write, read):
+    from upkeep.session import stage_path
+
+    path = stage_path(spark)
+    write(_records(spark, sf_dir).select(*Q.S.RECORD_COLUMNS), path)
+    return read(path)
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """The records as CSV with columns in reverse order and one more, read back by name."""
+    def write(df, path):
+        df.select(F.lit("x").alias("note"), *reversed(df.columns)).write.option("header", "true").csv(path)
+    return _round_trip(spark, sf_dir, write, lambda path: RD.read_records(spark, "csv", path))
+
+
+def q_json_roundtrip(spark, sf_dir):
+    """S3: the records as JSON Lines, read back."""
+    return _round_trip(spark, sf_dir, lambda df, path: df.write.json(path),
+                       lambda path: RD.read_records(spark, "json", path, multi_line=False))
+
+
+def q_table_roundtrip(spark, sf_dir):
+    """K1: the records as a feature table in building buckets, read back."""
+    return _round_trip(spark, sf_dir, RD.write_records,
+                       lambda path: RD.read_records(spark, "parquet", path).select(*Q.S.RECORD_COLUMNS))
+
+
+QUERIES.update({"csv_roundtrip": q_csv_roundtrip, "json_roundtrip": q_json_roundtrip, "table_roundtrip": q_table_roundtrip})
 QUERIES.update({"extract_join": q_extract_join, "extract_window": q_extract_window})
 
 
@@ -489,15 +534,19 @@ from upkeep.plans import training as TR  # noqa: E402
 
 def q_request_scores(spark, sf_dir):
     """M6 / M7 / D3: one request per (building, asset) in the data, scored with its
-    latest history features by the fitted forest."""
+    latest history features by the fitted forest, and one per building for an asset without history."""
     _, model, cols = _model_scores(spark, sf_dir)
     feats = _feature_table(spark, sf_dir)
     _, enc, _, _ = _encoded(spark, sf_dir)
     requests = (feats.groupBy("building_id", "asset_type")
                 .agg(F.max_by(F.struct("building_type", "city", "country", "building_area", "building_floors"),
-                              F.col("maintenance_date")).alias("_b"))
+                              F.struct("maintenance_date", *ADAPTER_TIE)).alias("_b"))
                 .select("building_id", "asset_type", "_b.*"))
-    return TR.score_requests(requests, feats.drop(*ADAPTER_TIE), enc, model, cols, model_version="rf-1")
+    unseen = (requests.groupBy("building_id").agg(F.min(F.struct("building_type", "city", "country", "building_area",
+                                                                 "building_floors")).alias("_b"))
+              .select("building_id", F.lit("boiler").alias("asset_type"), "_b.*"))
+    return TR.score_requests(requests.unionByName(unseen), feats, enc, model, cols, model_version="rf-1",
+                             as_of=AS_OF, tie=ADAPTER_TIE)
 
 
 QUERIES["request_scores"] = q_request_scores

@@ -372,11 +372,14 @@ risk AS (SELECT *, least((((({D('0.0')}
       + CASE WHEN asset_type IN ('elevator', 'HVAC', 'boiler') THEN {D('0.2')} ELSE {D('0.0')} END)
       + CASE WHEN maintenance_cost > (SELECT m FROM mc) THEN {D('0.1')} ELSE {D('0.0')} END), {D('1.0')}) AS risk_score
     FROM feat),
-scored AS (SELECT {IDS}, maintenance_needed AS label, risk_score AS score,
-       CAST(risk_score >= 0.5 AS INTEGER) AS prediction,
+mixed AS (SELECT *, (CAST(round(risk_score * 10) AS BIGINT) * 200
+      + CAST(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, 'score')), 1, 4)) AS BIGINT) % 1001 * 3)
+      / CAST(5000 AS DOUBLE) AS mixed_score FROM risk),
+scored AS (SELECT {IDS}, maintenance_needed AS label, mixed_score AS score, risk_score,
+       CAST(mixed_score >= 0.5 AS INTEGER) AS prediction,
        CASE WHEN risk_score < 0.3 THEN 'LOW' WHEN risk_score < 0.7 THEN 'MEDIUM' ELSE 'HIGH' END AS risk_level,
        {', '.join(SCORE_FEATURES)}, concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_id
-    FROM risk),
+    FROM mixed),
 cm AS (SELECT count_if(label AND prediction = 1) AS tp, count_if(NOT label AND prediction = 1) AS fp,
               count_if(NOT label AND prediction = 0) AS tn, count_if(label AND prediction = 0) AS fn FROM scored),
 met AS (SELECT *, {_ratio('tp + tn', 'tp + fp + tn + fn')} AS accuracy, {_ratio('tp', 'tp + fp')} AS precision,
@@ -444,7 +447,7 @@ boot AS (SELECT CAST(rep AS INTEGER) AS replicate,
          FROM boot_w GROUP BY rep)"""
 
 EVAL = {
-    "rule_risk": SCORED + f"SELECT {IDS}, score, risk_level FROM scored",
+    "rule_risk": SCORED + f"SELECT {IDS}, risk_score AS score, risk_level FROM scored",
     "data_summary": CLEAN + """SELECT count(*) AS total_records, count(DISTINCT building_id) AS buildings,
         array_to_string(list_sort(list_distinct(list(country))), ', ') AS countries,
         array_to_string(list_sort(list_distinct(list(asset_type))), ', ') AS asset_types,
@@ -544,7 +547,8 @@ recurring_services AS (SELECT l_partkey AS service_id, o_custkey AS building_id,
 reports AS (SELECT o_orderkey AS id, o_custkey AS building_id, o_orderdate AS created_at FROM orders
             WHERE o_orderstatus = 'F'),
 building_resident AS (SELECT o_orderkey AS resident_id, o_custkey AS building_id FROM orders),
-resident_invoice AS (SELECT o_orderkey AS resident_id, o_totalprice / 100.0 AS value FROM orders)"""
+resident_invoice AS (SELECT o_orderkey AS resident_id, o_totalprice / 100.0 AS value FROM orders
+                     UNION ALL SELECT o_orderkey, o_totalprice / 50.0 FROM orders WHERE o_orderkey % 3 = 0)"""
 
 EXTRACT_SELECT = """
 SELECT b.id AS building_id, bt.name AS building_type, s.title AS asset_type, 'preventive' AS maintenance_type,
@@ -560,7 +564,7 @@ LEFT JOIN building_types bt ON b.type = bt.code
 LEFT JOIN building_service_technician bst ON b.id = bst.building_id
 LEFT JOIN services s ON bst.service_id = s.id
 LEFT JOIN recurring_services rs ON s.id = rs.service_id AND b.id = rs.building_id
-LEFT JOIN resident_invoice ri ON ri.resident_id = (SELECT min(br.resident_id) FROM building_resident br
+LEFT JOIN (SELECT resident_id, min(value) AS value FROM resident_invoice GROUP BY resident_id) ri ON ri.resident_id = (SELECT min(br.resident_id) FROM building_resident br
                                                    WHERE br.building_id = b.id)
 LEFT JOIN cities c ON b.city_id = c.id
 LEFT JOIN countries co ON b.country_id = co.id
@@ -596,3 +600,19 @@ SELECT CAST(o.o_custkey AS BIGINT) AS building_id, lower(c.c_mktsegment) AS buil
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN part p ON l.l_partkey = p.p_partkey
 WHERE l.l_shipdate >= TIMESTAMP '1998-01-01'"""
+
+
+# ------------------------------------------------------------------ request contract, round trips
+ORACLE["request_contract"] = BASE + """
+, req AS (SELECT building_id, building_type, asset_type, CASE WHEN l_linenumber <> 7 THEN city END AS city,
+                 building_area, building_floors, l_orderkey, l_linenumber FROM dirty)
+SELECT *, concat_ws('|', CASE WHEN building_id IS NULL THEN 'building_id is required' END,
+    CASE WHEN building_type IS NULL THEN 'building_type is required' END,
+    CASE WHEN asset_type IS NULL THEN 'asset_type is required' END, CASE WHEN city IS NULL THEN 'city is required' END,
+    CASE WHEN building_area IS NULL THEN 'building_area is required' END,
+    CASE WHEN building_floors IS NULL THEN 'building_floors is required' END,
+    CASE WHEN building_area <= 0 THEN 'building_area must be positive' END,
+    CASE WHEN building_floors <= 0 THEN 'building_floors must be positive' END, 'country is required') AS violations
+FROM req"""
+for _name in ("csv_roundtrip", "json_roundtrip", "table_roundtrip"):
+    ORACLE[_name] = BASE + f"SELECT {', '.join(REC_COLS)} FROM records"

@@ -33,13 +33,23 @@ records AS (
 
 DIRTY_CTE = """
 dirty AS (
-  SELECT building_id, building_type, asset_type, maintenance_type, maintenance_date,
-    failure_reported, downtime_days,
-    CASE WHEN l_partkey % 17 <> 0 THEN maintenance_cost END AS maintenance_cost,
-    CASE WHEN l_suppkey % 13 <> 0 THEN technician_id END AS technician_id,
-    period_days, city, country,
+  SELECT building_id, building_type,
+    CASE WHEN l_orderkey % 211 = 0 THEN NULL WHEN l_partkey % 7 = 0 THEN 'elevator' ELSE asset_type END AS asset_type,
+    maintenance_type,
+    CASE WHEN l_orderkey % 307 = 0 THEN maintenance_date + INTERVAL 7300 DAY
+         WHEN l_orderkey % 311 = 0 THEN maintenance_date - INTERVAL 11000 DAY ELSE maintenance_date END AS maintenance_date,
+    failure_reported,
+    CASE WHEN l_orderkey % 101 = 0 OR l_suppkey % 19 = 0 THEN NULL WHEN l_suppkey % 29 = 0 THEN -1
+         WHEN l_suppkey % 31 = 0 AND NOT failure_reported THEN 5 ELSE downtime_days END AS downtime_days,
+    CASE WHEN l_orderkey % 101 = 0 OR l_partkey % 17 = 0 OR asset_type LIKE 'PROMO%TIN' THEN NULL
+         WHEN l_partkey % 23 = 0 THEN -maintenance_cost ELSE maintenance_cost END AS maintenance_cost,
+    CASE WHEN l_orderkey % 101 <> 0 AND l_suppkey % 13 <> 0 THEN technician_id END AS technician_id,
+    CASE WHEN l_orderkey % 101 = 0 OR l_suppkey % 11 = 0 THEN NULL WHEN l_suppkey % 37 = 0 THEN 400 ELSE period_days END AS period_days,
+    CASE WHEN l_orderkey % 101 <> 0 THEN city END AS city,
+    CASE WHEN l_orderkey % 101 <> 0 THEN country END AS country,
     CASE WHEN building_id % 97 = 0 THEN 0.0 ELSE building_area END AS building_area,
-    building_floors, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
+    CASE WHEN building_id % 89 = 0 THEN 0 ELSE building_floors END AS building_floors,
+    l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
   FROM records
 )"""
 

@@ -67,6 +67,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stage_path(spark: SparkSession, name: str | None = None) -> str:
+    """A new place for a stored table in the shared checkpoint folder."""
+    import uuid
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name or uuid.uuid4().hex}"
+
+
 def materialize(df, name: str | None = None):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
@@ -75,10 +82,7 @@ def materialize(df, name: str | None = None):
     joins and shuffles (with column pruning and filter pushdown, which an RDD
     checkpoint cannot give), and a lost executor never replays the lineage.
     """
-    import uuid
-
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name or uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

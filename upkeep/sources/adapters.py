@@ -26,8 +26,10 @@ def records_from_tables(spark: SparkSession, sf_dir: str, dirty: bool = False,
                         keep_tie: bool = True) -> DataFrame:
     """Canonical records (plus tie-break columns) from the driver tables.
 
-    ``dirty`` injects deterministic defects (null cost, zero area, null
-    technician) so the cleaning rules have something to do.
+    ``dirty`` injects deterministic defects so that every cleaning rule and
+    fill has something to do: nulls in essentials and measures, rows with
+    many nulls, values that break each business rule, dates too old and in
+    the future, asset types without any cost, and critical asset types.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
@@ -53,27 +55,44 @@ def records_from_tables(spark: SparkSession, sf_dir: str, dirty: bool = False,
     cost = F.col("l_extendedprice") / F.lit(100.0)
     area = F.lit(1500.0) + F.col("c_acctbal")
     technician = F.col("l_suppkey")
+    asset, date, city, country = F.col("p_type"), F.col("l_shipdate"), F.col("n_name"), F.col("r_name")
+    downtime = F.when(flag == "R", F.col("l_linenumber")).otherwise(F.lit(0))
+    period = F.when(flag == "N", F.lit(30) * (F.lit(1) + F.col("l_linenumber") % 4))
+    floors = F.lit(1) + F.col("o_custkey") % 25
     if dirty:
-        cost = F.when(F.col("l_partkey") % 17 != 0, cost)
+        order, supplier, item = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_partkey")
+        whole = order % 101 != 0    # the others miss six values
+        cost = F.when(item % 23 == 0, -cost).otherwise(cost)
+        cost = F.when(whole & (item % 17 != 0) & ~F.col("p_type").like("PROMO%TIN"), cost)
         area = F.when(F.col("o_custkey") % 97 == 0, F.lit(0.0)).otherwise(area)
-        technician = F.when(F.col("l_suppkey") % 13 != 0, technician)
+        floors = F.when(F.col("o_custkey") % 89 == 0, F.lit(0)).otherwise(floors)
+        technician = F.when(whole & (supplier % 13 != 0), technician)
+        downtime = (F.when(supplier % 29 == 0, F.lit(-1)).when((supplier % 31 == 0) & (flag != "R"), F.lit(5))
+                    .otherwise(downtime))
+        downtime = F.when(whole & (supplier % 19 != 0), downtime)
+        period = F.when(supplier % 37 == 0, F.lit(400)).otherwise(period)
+        period = F.when(whole & (supplier % 11 != 0), period)
+        asset = F.when(order % 211 != 0, F.when(item % 7 == 0, F.lit("elevator")).otherwise(asset))
+        date = (F.when(order % 307 == 0, date + F.make_interval(days=F.lit(7300)))
+                .when(order % 311 == 0, date - F.make_interval(days=F.lit(11000))).otherwise(date))
+        city, country = F.when(whole, city), F.when(whole, country)
 
     cols = [
         F.col("o_custkey").cast("long").alias("building_id"),
         F.lower(F.col("c_mktsegment")).alias("building_type"),
-        F.col("p_type").alias("asset_type"),
+        asset.alias("asset_type"),
         (F.when(flag == "N", "preventive").when(flag == "R", "corrective")
          .when(flag == "A", "emergency")).alias("maintenance_type"),
-        F.col("l_shipdate").alias("maintenance_date"),
+        date.alias("maintenance_date"),
         (flag == "R").alias("failure_reported"),
-        F.when(flag == "R", F.col("l_linenumber")).otherwise(F.lit(0)).cast("long").alias("downtime_days"),
+        downtime.cast("long").alias("downtime_days"),
         cost.cast("double").alias("maintenance_cost"),
         technician.cast("long").alias("technician_id"),
-        F.when(flag == "N", F.lit(30) * (F.lit(1) + F.col("l_linenumber") % 4)).cast("long").alias("period_days"),
-        F.col("n_name").alias("city"),
-        F.col("r_name").alias("country"),
+        period.cast("long").alias("period_days"),
+        city.alias("city"),
+        country.alias("country"),
         area.cast("double").alias("building_area"),
-        (F.lit(1) + F.col("o_custkey") % 25).cast("long").alias("building_floors"),
+        floors.cast("long").alias("building_floors"),
     ]
     out = joined.select(*cols, *ADAPTER_TIE)
     return out if keep_tie else out.select(*RECORD_COLUMNS)

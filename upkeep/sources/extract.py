@@ -66,9 +66,9 @@ def extract_records(t: dict, lookback_days: int = REPORT_LOOKBACK_DAYS,
     cities = t["cities"].select(F.col("id").alias("_city"), F.col("name").alias("city"))
     countries = t["countries"].select(F.col("id").alias("_country"), F.col("name").alias("country"))
 
-    # The building's first resident and that resident's invoice value
+    # The building's first resident and that resident's smallest invoice (one, so no record multiplies)
     first_res = t["building_resident"].groupBy("building_id").agg(F.min("resident_id").alias("_resident"))
-    inv = t["resident_invoice"].select(F.col("resident_id").alias("_resident"), F.col("value").alias("_value"))
+    inv = t["resident_invoice"].groupBy(F.col("resident_id").alias("_resident")).agg(F.min("value").alias("_value"))
 
     recs = (b.join(bt, "_type", "left")
             .join(bst, "building_id")
@@ -143,6 +143,9 @@ def operational_from_tables(spark: SparkSession, sf_dir: str) -> dict:
             F.col("o_orderdate").alias("created_at")),
         "building_resident": orders.select(F.col("o_orderkey").alias("resident_id"),
                                            F.col("o_custkey").alias("building_id")),
-        "resident_invoice": orders.select(F.col("o_orderkey").alias("resident_id"),
-                                          (F.col("o_totalprice") / 100.0).alias("value")),
+        # every third resident has two invoices
+        "resident_invoice": orders.select(
+            F.col("o_orderkey").alias("resident_id"),
+            F.explode(F.when(F.col("o_orderkey") % 3 == 0, F.array(F.col("o_totalprice") / 100.0, F.col("o_totalprice") / 50.0))
+                      .otherwise(F.array(F.col("o_totalprice") / 100.0))).alias("value")),
     }

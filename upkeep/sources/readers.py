@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from upkeep import schema as S
-from upkeep.operators.quality import coerce_types
+from upkeep.operators.quality import coerce_types, ensure_required_columns
 
 FORMATS = ("csv", "json", "document", "parquet", "jdbc")
 
@@ -36,11 +36,19 @@ def read_records(spark: SparkSession, fmt: str, path: str | None = None, **optio
 
 
 def read_csv(spark: SparkSession, path: str, timestamp_format: str | None = None, **options) -> DataFrame:
-    """Header CSV, text landing schema, typed afterwards."""
-    reader = spark.read.schema(S.RAW_RECORD_SCHEMA).option("header", "true").option("mode", "PERMISSIVE")
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    raw = reader.csv(path)
+    """CSV with a header, landed as text by column name, typed afterwards.
+
+    The names come from the header (no type inference).  Files whose headers
+    disagree fail.  Columns may stand in any order; others than the record's are left out,
+    optional ones that are absent get their defaults, and an absent required
+    one raises ValueError.
+    """
+    options = {"header": "true", "mode": "PERMISSIVE", **options}
+    names = spark.read.options(**options).csv(path).columns
+    landing = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = spark.read.schema(landing).options(**options).option("enforceSchema", "false").csv(path)
+    raw = ensure_required_columns(raw.select(*[c for c in S.RECORD_COLUMNS if c in names]))
+    raw = raw.select(*S.RECORD_COLUMNS)
     if timestamp_format:
         raw = raw.withColumn("maintenance_date",
                              F.date_format(F.try_to_timestamp("maintenance_date", F.lit(timestamp_format)),
