@@ -77,7 +77,7 @@ class Encoder:
         words = _WORDS.findall(text)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if new := list(set(words) - self.known.keys()):
+        if new := [w for w in set(words) if w not in self.known]:
             self.known.update(zip(new, self.whole(new), strict=True))
         return b"".join(map(self.known.__getitem__, words))
 
