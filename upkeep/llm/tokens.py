@@ -27,7 +27,7 @@ from upkeep.llm.common import in_order, partitions, texts_of
 from upkeep.session import ensure_checkpoint_dir
 
 #: Word pieces whose ids a worker remembers; beyond that it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 800_000
 
 # The split of byte-level BPE into words, over the characters of _PLAIN
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
