@@ -97,7 +97,7 @@ def fill_downtime(df: DataFrame) -> DataFrame:
 
 
 def cost_medians(df: DataFrame) -> DataFrame:
-    return exact_median(df, ["asset_type"], "maintenance_cost", out="cost_median")
+    return exact_median(df.filter(F.col("asset_type").isNotNull()), ["asset_type"], "maintenance_cost", out="cost_median")
 
 
 def fill_cost(df: DataFrame) -> DataFrame:

@@ -91,7 +91,7 @@ ORACLE = {
         THEN coalesce(downtime_days, 0) ELSE downtime_days END AS downtime_days) FROM dirty""",
     "cost_median": with_ctes(RECORDS_CTE, DIRTY_CTE,
                              median_cte('med', 'dirty', 'asset_type', 'maintenance_cost', 'cost_median'))
-    + "SELECT * FROM med",
+    + "SELECT * FROM med WHERE asset_type IS NOT NULL",
     "cost_fill": with_ctes(RECORDS_CTE, DIRTY_CTE,
                            median_cte('med_t', 'dirty', 'asset_type', 'maintenance_cost', 'cost_median'),
                            """m2 AS (SELECT dirty.* REPLACE (coalesce(dirty.maintenance_cost, med_t.cost_median)
@@ -293,7 +293,7 @@ for _name, _cols in FEATURE_GROUPS.items():
 # one-hot columns of the oracle are spelled out from them.
 ONEHOT_DOMAINS = {
     "building_type": ["automobile", "building", "furniture", "household", "machinery"],
-    "asset_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
+    "asset_type": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", "elevator"],
     "maintenance_type": ["corrective", "emergency", "preventive"],
     "country": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
 }
