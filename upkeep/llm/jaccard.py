@@ -10,10 +10,11 @@
    the threshold share a member of their short prefixes.  Length, positional
    and suffix filters thin the pairs; each pair is verified once.
 
-Only connections are wanted, not all pairs of a group.  Round one verifies for
-each shared prefix member the pairs of each set with the first and with
-its neighbour.  Round two takes all pairs that share a prefix member
-and still lie in different components; so no link between components is missed.
+Only connections are wanted, not all pairs of a group.  Linear rounds verify
+for each posting the pairs with a few others of the same prefix member that
+lie in another component, as long as a round joins a sixteenth of the
+components.  The last round takes all pairs that share a prefix
+member and still lie in different components; so no link between components is missed.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from upkeep.llm.shingles import shingle_sets
 BLOCK_BYTES, SHARD_BYTES = 64 << 20, 32 << 20
 #: 64-bit words of a set's parity sketch.
 SKETCH = 16
+#: Partners that each posting has in a linear round, and about the postings of one list of them.
+LAGS, LIST = 4, 64
 MANY = 0xFFFFFFFF  # in place of a document: several of the block's documents have this member
 
 
@@ -188,6 +191,33 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & (rest * (num + den) >= num * (na + nb))
 
 
+def _linear_round(placed: DataFrame, sets: DataFrame, links: DataFrame | None, number: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Verifies for each posting the pairs with the few before it and returns all links so far and their components.
+
+    Postings of a member stand by length in round 0, then in an order by hash
+    that differs from round to round; a frequent member's are cut into many lists.
+    """
+    order = ["n", "vid"] if number == 0 else [F.xxhash64("vid", F.lit(number))]
+    w = Window.partitionBy("h", F.pmod(F.xxhash64(F.lit(number), "vid"), 1 + F.floor(F.col("df") / LIST))).orderBy(*order)
+    place = F.struct("n", "vid", "pos", "root", *(["sketch"] if number else []))
+    steps = (placed.select(place.alias("me"), F.array(*[F.lag(place, k).over(w) for k in range(1, LAGS + 1)]).alias("others"))
+             .select("me", F.explode("others").alias("other")).where("other.root <> me.root").where(_may_link("me", "other", num, den)))
+    if number:
+        steps = steps.where(_near_enough("me", "other", num, den))
+    pairs = steps.select(F.least("me.vid", "other.vid").alias("u"), F.greatest("me.vid", "other.vid").alias("v")).distinct()
+    new = materialize(_verified(pairs, sets, num, den))
+    links = new if links is None else links.unionByName(new)
+    return links, components(links)
+
+
+def _open(postings: DataFrame, found: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
+    """Postings, with root and sketch, of the members that sets of different components share, and the number of components there."""
+    placed = postings.join(found.withColumnRenamed("node", "vid"), "vid", "left").withColumn("root", F.coalesce("root", "vid"))
+    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
+    open_ = materialize(placed.join(mixed, "h").join(sets.select("vid", "sketch"), "vid"))
+    return open_, open_.select("root").distinct().count()
+
+
 def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """Components of documents whose sets of ``words``-grams have intersection/union >= num/den.
 
@@ -237,27 +267,25 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
                .withColumn("prefix", F.col("n") - F.ceil(F.col("n") * num / F.lit(den)).cast("int") + 1))
     postings = materialize(ordered.where("prefix > alone")
                            .select("vid", "n", "alone", F.posexplode(F.slice("m", F.lit(1), (F.col("prefix") - F.col("alone")).cast("int"))).alias("i", "x"))
-                           .select(F.col("x.h").alias("h"), "vid", "n", (F.col("alone") + F.col("i")).alias("pos")))
-    place = F.struct("n", "vid", "pos")
-    first = postings.groupBy("h").agg(F.min(place).alias("to"), F.count("*").alias("many")).where("many > 1")
-    near = F.lag(place).over(Window.partitionBy("h", F.pmod("vid", F.lit(64))).orderBy("n", "vid"))
-    me = postings.withColumn("near", near).join(first, "h").select(place.alias("me"), "to", "near")
-    steps = me.select("me", F.explode(F.array("to", "near")).alias("other")).where("other.vid <> me.vid").where(_may_link("me", "other", num, den))
-    pairs = materialize(steps.select(F.least("me.vid", "other.vid").alias("u"), F.greatest("me.vid", "other.vid").alias("v")).distinct())
-    links = materialize(_verified(pairs, sets, num, den))
-    found = components(links)
-
-    placed = postings.join(found.withColumnRenamed("node", "vid"), "vid", "left").withColumn("root", F.coalesce("root", "vid"))
-    mixed = placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    open_ = materialize(placed.join(mixed, "h").join(sets.select("vid", "sketch"), "vid"))
-    a, b = open_.alias("a"), open_.alias("b")
-    cross = (a.join(b, F.col("a.h") == F.col("b.h")).where((F.col("a.vid") < F.col("b.vid")) & (F.col("a.root") != F.col("b.root")))
-              .where(_may_link("a", "b", num, den) & _near_enough("a", "b", num, den))
-             .select(F.col("a.vid").alias("u"), F.col("b.vid").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti"))
-    more = materialize(_verified(cross, sets, num, den))
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        found = components(links)
+                           .select(F.col("x.h").alias("h"), F.col("x.df").alias("df"), "vid", "n", (F.col("alone") + F.col("i")).alias("pos")))
+    links, found = _linear_round(postings.withColumn("root", F.col("vid")), sets, None, 0, num, den)
+    open_, roots = _open(postings, found, sets)
+    number = 1
+    while roots:
+        links, found = _linear_round(open_, sets, links, number, num, den)
+        before = roots
+        open_, roots = _open(postings, found, sets)
+        number += 1
+        if 16 * roots > 15 * before:
+            break
+    if roots:
+        a, b = open_.alias("a"), open_.alias("b")
+        cross = (a.join(b, F.col("a.h") == F.col("b.h")).where((F.col("a.vid") < F.col("b.vid")) & (F.col("a.root") != F.col("b.root")))
+                 .where(_may_link("a", "b", num, den) & _near_enough("a", "b", num, den))
+                 .select(F.col("a.vid").alias("u"), F.col("b.vid").alias("v")).distinct())
+        more = materialize(_verified(cross, sets, num, den))
+        if not more.isEmpty():
+            found = components(links.unionByName(more))
 
     members_of = classes.select("digest", F.col("n").alias("_n"), "vid").join(found.withColumnRenamed("node", "vid"), "vid", "left")
     group = members_of.select(F.col("digest").alias("_digest"), "_n", F.coalesce("root", "vid").alias("root"))
