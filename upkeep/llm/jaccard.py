@@ -37,7 +37,7 @@ BLOCK_BYTES, SHARD_BYTES = 64 << 20, 32 << 20
 #: 64-bit words of a set's parity sketch.
 SKETCH = 16
 #: Partners that each posting has in a linear round, and about the postings of one list of them.
-LAGS, LIST = 4, 64
+LAGS, LIST = 16, 64
 MANY = 0xFFFFFFFF  # in place of a document: several of the block's documents have this member
 
 
