@@ -108,7 +108,7 @@ def _scan(docs: DataFrame, k: int, num: int, den: int, shards: int) -> DataFrame
 
 
 def _elsewhere(scan: DataFrame, shards: int) -> DataFrame:
-    """block, ord, cnt: prefix members that other blocks have too."""
+    """block, ord, cnt: prefix members that other blocks have too; a shard sends each block one packed list of counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
 
@@ -123,10 +123,11 @@ def _elsewhere(scan: DataFrame, shards: int) -> DataFrame:
             shared[order] = np.concatenate(([False], same)) | np.concatenate((same, [False]))
             hit = shared & (by != MANY)
             pair, count = np.unique((block[hit].astype(np.int64) << 32) + by[hit], return_counts=True)
-            names = np.array([b for _, b, _ in half], np.int64)
-            for lo in range(0, len(pair), 100_000):
-                p = pair[lo:lo + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(names[p >> 32]), pa.array(p & MANY), pa.array(count[lo:lo + 100_000].astype(np.int32))], ["block", "ord", "cnt"])
+            cut = np.searchsorted(pair >> 32, np.arange(len(half) + 1))
+            sums = [(half[k][1], (pair[a:b] & MANY).astype("<u4").tobytes() + count[a:b].astype("<u4").tobytes()) for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
+            for lo in range(0, len(sums), 64):
+                blocks, data = zip(*sums[lo:lo + 64], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(data, pa.binary())], ["block", "sums"])
 
         for batch in batches:
             for s, b, x in zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "keys")), strict=True):
@@ -138,8 +139,31 @@ def _elsewhere(scan: DataFrame, shards: int) -> DataFrame:
         if held:
             yield from flush()
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, cnt = None, np.zeros(0, np.int64)
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            at = np.flatnonzero(cnt)
+            for lo in range(0, len(at), 100_000):
+                part = at[lo:lo + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block, np.int64)), pa.array(part), pa.array(cnt[part])], ["block", "ord", "cnt"])
+
+        for batch in batches:
+            for b, x in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                if b != block:
+                    yield from rows()
+                    block, cnt = b, np.zeros(0, np.int64)
+                ords, n = np.split(np.frombuffer(x, "<u4"), 2)
+                more = np.bincount(ords, n).astype(np.int64)
+                if len(more) > len(cnt):
+                    cnt, more = more, cnt
+                cnt[:len(more)] += more
+        yield from rows()
+
     sent = scan.where("kind = 1").select("shard", "block", "keys")
-    return sent.repartition(max(1, min(shards, 4 * partitions(scan.sparkSession))), "shard").sortWithinPartitions("shard").mapInArrow(run, "block long, ord long, cnt int")
+    most = 4 * partitions(scan.sparkSession)
+    sums = sent.repartition(max(1, min(shards, most)), "shard").sortWithinPartitions("shard").mapInArrow(run, "block long, sums binary")
+    return sums.repartition(most, "block").sortWithinPartitions("block").mapInArrow(add, "block long, ord long, cnt long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -236,7 +260,7 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     shards = 1 << max(4 * partitions(spark) - 1, total // SHARD_BYTES).bit_length()
     scan = _scan(rows, words, num, den, shards)
     seen = scan.where("kind = 0").drop("kind", "shard", "keys")
-    hits = _elsewhere(scan, shards).groupBy("block", "ord").agg(F.sum("cnt").alias("cnt"))
+    hits = _elsewhere(scan, shards)
     alive = (seen.where("n > 0").join(hits, ["block", "ord"], "left")
              .where(F.col("own") + F.coalesce("cnt", F.lit(0)) >= F.col("need")))
     # one row of each class of equal sets stands for it
