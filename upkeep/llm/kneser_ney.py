@@ -4,8 +4,9 @@ Counts of the longest n-grams come from the trusted texts; every shorter
 order counts in how many longer n-grams a form occurs.  The probabilities of
 the n-grams that the corpus contains follow from joins of sharded tables,
 one order after the other.  A document's perplexity is that of its
-characters; a document is rejected above its language's threshold, which is a quantile
-of trusted documents of this language that are held out from training.
+characters; a document is rejected above its language's threshold, which comes from
+trusted documents of this language that are held out from training.  A
+language without any is not judged: its documents are kept.
 """
 
 from __future__ import annotations
@@ -16,8 +17,11 @@ from pyspark.sql import functions as F
 from upkeep.llm.common import materialize, small_or_shuffled
 from upkeep.llm.ngrams import BITS, SYMBOLS, counts, score, shorter, wanted
 
-#: Symbols of an n-gram; held-out trusted documents that a threshold lets pass, and the room above that; fewest of them for a language of its own.
-ORDER, KEPT_SHARE, ROOM, LEAST_TRUSTED = 4, 0.995, 1.05, 50
+#: Symbols of an n-gram; held-out trusted documents that a threshold lets pass, and the room above that.
+ORDER, KEPT_SHARE, ROOM = 4, 0.995, 1.05
+#: Documents that the spread over all languages counts for beside a language's own quantile; standard errors of a language's centre;
+#: the spread of log perplexities where no language has two held-out documents to tell it.
+PRIOR, ERRORS, SPREAD = 50, 2.0, 0.15
 #: One trusted document in so many is held out; allowance for short texts, whose perplexity varies more (see ``allowance``).
 HELD_OUT, SHORT = 5, 2.5
 
@@ -96,16 +100,40 @@ def held_out(doc_id: str) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(HELD_OUT)) == 0
 
 
-def thresholds(scored: DataFrame, kept_share: float = KEPT_SHARE, room: float = ROOM, least: int = LEAST_TRUSTED) -> tuple[DataFrame, float | None]:
-    """(lang, threshold) and the threshold over all languages, from trusted documents (``trusted`` true) without training.
+def split(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``trusted`` (_trusted) with ``_held``: one document in ``HELD_OUT``, and one of each language with several that has none by that."""
+    row = F.xxhash64("_trusted")
+    mine = docs.select("doc_id", "lang").join(trusted, F.col("doc_id") == F.col("_trusted")).select("lang", "_trusted").distinct()
+    spare = (mine.groupBy("lang").agg(F.max(held_out("_trusted")).alias("any"), F.count("*").alias("n"), F.min_by("_trusted", row).alias("_spare"))
+             .where("not any and n > 1").select("_spare").distinct())
+    spare = small_or_shuffled(materialize(spare))
+    return (trusted.join(spare, F.col("_trusted") == F.col("_spare"), "left")
+            .select("_trusted", (held_out("_trusted") | F.col("_spare").isNotNull()).alias("_held")))
 
-    Perplexities are compared less their allowance.  A language with fewer
-    than ``least`` such documents, or none, has the common threshold.
+
+def thresholds(scored: DataFrame, kept_share: float = KEPT_SHARE, room: float = ROOM) -> DataFrame:
+    """_lang, threshold of each language that has trusted documents (``trusted`` true) without training.
+
+    Logarithms of perplexities are compared less their allowance.  A
+    language's n documents give its centre (mean) and its own quantile.  The
+    quantile counts n times, and ``PRIOR`` times the centre plus the quantile of the
+    distances from their centres over all languages plus ``ERRORS`` standard
+    errors of the centre: few documents do not tell a quantile, but their level is always
+    that of their own language.
     """
-    cut = F.percentile_approx(F.col("perplexity") / allowance(), F.lit(kept_share), F.lit(10_000)) * room
-    trusted = scored.where("trusted and perplexity is not null")
-    by_lang = trusted.groupBy("lang").agg(cut.alias("threshold"), F.count("*").alias("n")).where(F.col("n") >= least)
-    return by_lang.select(F.col("lang").alias("_lang"), "threshold"), trusted.agg(cut).first()[0]
+    x, n = F.log(F.col("perplexity") / allowance()), F.col("n")
+    quantile = lambda c: F.percentile_approx(c, F.lit(kept_share), F.lit(10_000))
+    logs = scored.where("trusted and perplexity is not null").select("lang", x.alias("x"))
+    by_lang = materialize(logs.groupBy(F.col("lang").alias("_lang")).agg(
+        F.count("*").alias("n"), F.avg("x").alias("centre"), F.var_pop("x").alias("var"), quantile(F.col("x")).alias("own")))
+    several = by_lang.where("n > 1")
+    freedom = several.agg(F.sum(n * F.col("var")), F.sum(n - 1)).first()
+    spread = max(freedom[0], 0.0) ** 0.5 / freedom[1] ** 0.5 if freedom[1] else SPREAD
+    off = (F.col("x") - F.col("centre")) * F.sqrt(n / (n - 1))
+    tail = logs.join(small_or_shuffled(several), F.col("lang").eqNullSafe(F.col("_lang"))).agg(quantile(off)).first()[0]
+    tail = max(tail, 0.0) if tail is not None else 2.6 * spread
+    common = F.col("centre") + tail + ERRORS * spread / F.sqrt(n)
+    return by_lang.select("_lang", (F.exp((n * F.col("own") + PRIOR * common) / (n + PRIOR)) * room).alias("threshold"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, kept_share: float = KEPT_SHARE, keep_text: bool = True) -> DataFrame:
@@ -114,23 +142,22 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = ORDER, kept_share:
     All trusted text is counted, but for the held-out fifth, and every
     document is scored whole.  A document is kept if its perplexity is at
     most its threshold, which includes its allowance.  Null or
-    empty text has no perplexity and is not kept.  Without any held-out trusted
-    document there is nothing to compare with: all documents that have text
-    are kept.  Repeated rows are scored each on its own; added columns replace
+    empty text has no perplexity and is not kept.  In a language without any held-out trusted
+    document (of a single trusted one, none is held out) there is nothing to compare with: its threshold is null and all
+    its documents that have text are kept.  Repeated rows are scored each on its own; added columns replace
     columns of the same name.
     """
     docs = docs.drop("n_symbols", "perplexity", "threshold", "kept")
     trusted = materialize(trusted_ids(labels))
-    marked = small_or_shuffled(trusted)
-    learned = marked.where(~held_out("_trusted"))
+    marked = small_or_shuffled(materialize(split(docs, small_or_shuffled(trusted))))
+    learned = marked.where("not _held")
     tables = train(docs.select("doc_id", "text").join(learned, F.col("doc_id") == F.col("_trusted"), "left_semi"), order)
     scored = materialize(perplexities(docs, tables, keep_text=keep_text))
-    held = marked.where(held_out("_trusted")).withColumn("trusted", F.lit(True))
+    held = marked.where("_held").withColumn("trusted", F.lit(True))
     flags = scored.select("doc_id", "lang", "perplexity", "n_symbols").join(held, F.col("doc_id") == F.col("_trusted"))
-    by_lang, common = thresholds(flags, kept_share)
-    by_lang = small_or_shuffled(materialize(by_lang))
+    by_lang = small_or_shuffled(materialize(thresholds(flags, kept_share)))
     joined = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
-    return decide(joined.withColumn("threshold", F.coalesce("threshold", F.lit(common).cast("double")) * allowance()))
+    return decide(joined.withColumn("threshold", F.col("threshold") * allowance()))
 
 
 def decide(scored: DataFrame) -> DataFrame:
