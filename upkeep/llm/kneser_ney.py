@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import materialize, small_or_shuffled
-from upkeep.llm.ngrams import BITS, SYMBOLS, counts, score, shorter, wanted
+from upkeep.llm.ngrams import KEY, SYMBOLS, context, counts, form, keyed, score, shorter, wanted
 
 #: Symbols of an n-gram; held-out trusted documents that a threshold lets pass, and the room above that.
 ORDER, KEPT_SHARE, ROOM = 4, 0.995, 1.05
@@ -38,47 +38,44 @@ def discounts(table: DataFrame) -> list[float]:
 
 
 def train(trusted: DataFrame, order: int = ORDER, column: str = "text") -> list[DataFrame]:
-    """Tables (gram, count) of orders 1 to ``order``, stored: counts at the top, numbers of continuations below."""
+    """Tables (head, gram, count) of orders 1 to ``order``, stored: counts at the top, numbers of continuations below."""
     tables = [materialize(counts(trusted, order, column))]
     for size in range(order - 1, 0, -1):
-        form = F.col("gram").bitwiseAND((1 << (BITS * size)) - 1).alias("gram")
-        tables.insert(0, materialize(tables[0].groupBy(form).agg(F.count("*").alias("count"))))
+        tables.insert(0, materialize(tables[0].select(*form(size)).groupBy(*KEY).agg(F.count("*").alias("count"))))
     return tables
 
 
 def probabilities(codes: DataFrame, tables: list[DataFrame]) -> DataFrame:
-    """gram, p for the distinct n-grams ``codes`` (gram, of the longest order).
+    """head, gram, p for the distinct n-grams ``codes`` (head, gram, of the longest order).
 
     p = max(count - D(count), 0) / total + (D1 N1 + D2 N2 + D3 N3) / total * p of the next shorter form,
     from one symbol in ``SYMBOLS`` at the bottom; total, N1, N2 and N3 (continuations seen once, twice, more often) are those of the context.
     A context that was never seen leaves p to the shorter form.
     """
-    lower, below = None, F.lit(1.0 / SYMBOLS)
+    lower, below, codes, at = None, F.lit(1.0 / SYMBOLS), keyed(codes), ["c_head", "c_gram"]
     for size, table in enumerate(tables, 1):
         d1, d2, d3 = discounts(table)
         c = F.col("count")
         off = F.when(c == 1, d1).when(c == 2, d2).otherwise(d3)
-        context = F.shiftright("gram", BITS).alias("context") if size > 1 else F.lit(0).cast("long").alias("context")
-        totals = table.groupBy(context).agg(F.sum("count").alias("total"), F.sum(off).alias("mass"))
-        ask = shorter(codes, size) if size < len(tables) else codes.select("gram")
-        row = (ask.join(table, "gram", "left").withColumn("context", context)
-               .join(totals, "context", "left"))
+        totals = table.select("*", *context(size)).groupBy(*at).agg(F.sum("count").alias("total"), F.sum(off).alias("mass"))
+        ask = shorter(codes, size) if size < len(tables) else codes.select(*KEY)
+        row = ask.join(table, KEY, "left").select("*", *context(size)).join(totals, at, "left")
         if lower is not None:
-            form = F.col("gram").bitwiseAND((1 << (BITS * (size - 1))) - 1)
-            row = row.withColumn("form", form).join(lower.select(F.col("gram").alias("form"), F.col("p").alias("q")), "form")
+            short = [c.alias(f"s_{k}") for c, k in zip(form(size - 1), KEY, strict=True)]
+            row = row.select("*", *short).join(lower.select(*[F.col(k).alias(f"s_{k}") for k in KEY], F.col("p").alias("q")), [f"s_{k}" for k in KEY])
             below = F.col("q")
         own = F.greatest(F.coalesce(c - off, F.lit(0.0)), F.lit(0.0)) / F.col("total")
         p = F.when(F.col("total").isNull(), below).otherwise(own + F.col("mass") / F.col("total") * below)
-        lower = materialize(row.select("gram", p.alias("p")))
+        lower = materialize(row.select(*KEY, p.alias("p")))
     return lower
 
 
 def perplexities(docs: DataFrame, tables: list[DataFrame], column: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` (a stored table; its text only if ``keep_text``) with ``n_symbols`` and ``perplexity`` (null for null or empty text)."""
     order = len(tables)
-    asked = materialize(wanted(docs, order, column).groupBy("gram").agg(F.collect_list("block").alias("blocks")))
-    logs = probabilities(asked.select("gram"), tables).select("gram", F.log("p").alias("value"))
-    valued = asked.join(logs, "gram").select("gram", "value", F.explode("blocks").alias("block"))
+    asked = materialize(wanted(docs, order, column).groupBy(*KEY).agg(F.collect_list("block").alias("blocks")))
+    logs = probabilities(asked.select(*KEY), tables).select(*KEY, F.log("p").alias("value"))
+    valued = asked.join(logs, KEY).select(*KEY, "value", F.explode("blocks").alias("block"))
     scored = score(docs, valued, order, column, keep_text)
     return (scored.withColumn("n_symbols", F.col("_chars"))
             .withColumn("perplexity", F.when(F.col("_chars") > 0, F.exp(-F.col("_sum") / F.col("_chars")))).drop("_chars", "_sum"))

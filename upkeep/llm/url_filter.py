@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import materialize
-from upkeep.llm.ngrams import BITS, SYMBOLS, counts, score, shorter, wanted
+from upkeep.llm.ngrams import KEY, SYMBOLS, context, counts, form, score, shorter, wanted
 
 # The rules (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -42,38 +42,37 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def models(urls: DataFrame, order: int = ORDER) -> list[DataFrame]:
-    """urls: url, allowed.  Tables (gram, good, bad) of orders 1 to ``order``, stored: counts in allowed and blocked URLs."""
-    good = counts(urls.where("allowed"), order, "url").select("gram", F.col("count").alias("good"), F.lit(0).cast("long").alias("bad"))
-    bad = counts(urls.where("not allowed"), order, "url").select("gram", F.lit(0).cast("long").alias("good"), F.col("count").alias("bad"))
-    tables = [materialize(good.unionByName(bad).groupBy("gram").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))]
+    """urls: url, allowed.  Tables (head, gram, good, bad) of orders 1 to ``order``, stored: counts in allowed and blocked URLs."""
+    good = counts(urls.where("allowed"), order, "url").select(*KEY, F.col("count").alias("good"), F.lit(0).cast("long").alias("bad"))
+    bad = counts(urls.where("not allowed"), order, "url").select(*KEY, F.lit(0).cast("long").alias("good"), F.col("count").alias("bad"))
+    tables = [materialize(good.unionByName(bad).groupBy(*KEY).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))]
     for size in range(order - 1, 0, -1):
-        form = F.col("gram").bitwiseAND((1 << (BITS * size)) - 1).alias("gram")
-        tables.insert(0, materialize(tables[0].groupBy(form).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))))
+        tables.insert(0, materialize(tables[0].select(*form(size), "good", "bad").groupBy(*KEY).agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))))
     return tables
 
 
 def ratios(codes: DataFrame, tables: list[DataFrame]) -> DataFrame:
-    """gram, value: the difference of the logarithms of its last symbol's probability in both models.
+    """head, gram, value: the difference of the logarithms of its last symbol's probability in both models.
 
     Each order is smoothed by its next shorter (Witten-Bell): p = (count + kinds * q) / (total + kinds),
     kinds being the number of different symbols seen after the context; a context never seen leaves p to q.
     """
-    lower = None
+    lower, at = None, ["c_head", "c_gram"]
     below = {"good": F.lit(1.0 / SYMBOLS), "bad": F.lit(1.0 / SYMBOLS)}
     for size, table in enumerate(tables, 1):
-        context = F.shiftright("gram", BITS).alias("context") if size > 1 else F.lit(0).cast("long").alias("context")
-        totals = table.groupBy(context).agg(*[f for m in ("good", "bad") for f in (F.sum(m).alias(f"{m}_total"), F.sum((F.col(m) > 0).cast("long")).alias(f"{m}_kinds"))])
-        ask = shorter(codes, size) if size < len(tables) else codes.select("gram")
-        row = ask.join(table, "gram", "left").withColumn("context", context).join(totals, "context", "left")
+        totals = table.select("*", *context(size)).groupBy(*at).agg(*[f for m in ("good", "bad") for f in (F.sum(m).alias(f"{m}_total"), F.sum((F.col(m) > 0).cast("long")).alias(f"{m}_kinds"))])
+        ask = shorter(codes, size) if size < len(tables) else codes.select(*KEY)
+        row = ask.join(table, KEY, "left").select("*", *context(size)).join(totals, at, "left")
         if lower is not None:
-            row = row.withColumn("form", F.col("gram").bitwiseAND((1 << (BITS * (size - 1))) - 1)).join(
-                lower.select(F.col("gram").alias("form"), F.col("p_good").alias("q_good"), F.col("p_bad").alias("q_bad")), "form")
+            short = [c.alias(f"s_{k}") for c, k in zip(form(size - 1), KEY, strict=True)]
+            row = row.select("*", *short).join(lower.select(
+                *[F.col(k).alias(f"s_{k}") for k in KEY], F.col("p_good").alias("q_good"), F.col("p_bad").alias("q_bad")), [f"s_{k}" for k in KEY])
             below = {m: F.col(f"q_{m}") for m in ("good", "bad")}
         zero = lambda c: F.coalesce(c, F.lit(0))
         p = {m: F.when(zero(F.col(f"{m}_total")) == 0, below[m]).otherwise(
             (zero(F.col(m)) + F.col(f"{m}_kinds") * below[m]) / (F.col(f"{m}_total") + F.col(f"{m}_kinds"))) for m in ("good", "bad")}
-        lower = materialize(row.select("gram", *[p[m].alias(f"p_{m}") for m in ("good", "bad")]))
-    return lower.select("gram", (F.log("p_good") - F.log("p_bad")).alias("value"))
+        lower = materialize(row.select(*KEY, *[p[m].alias(f"p_{m}") for m in ("good", "bad")]))
+    return lower.select(*KEY, (F.log("p_good") - F.log("p_bad")).alias("value"))
 
 
 def threshold(held: DataFrame, steps: int = STEPS) -> float:
@@ -112,8 +111,8 @@ def judge(pages: DataFrame, rules=RULES, order: int = ORDER, id_column: str = "p
     held = F.pmod(F.xxhash64("url"), F.lit(HELD_OUT)) == 0
     known = rows.where("ruled is not null").withColumn("allowed", F.col("ruled") == "allow")
     tables = models(known.where(~held).select("url", "allowed"), order)
-    asked = materialize(wanted(rows, order, "url").groupBy("gram").agg(F.collect_list("block").alias("blocks")))
-    valued = asked.join(ratios(asked.select("gram"), tables), "gram").select("gram", "value", F.explode("blocks").alias("block"))
+    asked = materialize(wanted(rows, order, "url").groupBy(*KEY).agg(F.collect_list("block").alias("blocks")))
+    valued = asked.join(ratios(asked.select(*KEY), tables), KEY).select(*KEY, "value", F.explode("blocks").alias("block"))
     scored = materialize(score(rows, valued, order, "url").withColumn(
         "difference", F.when(F.col("_chars") > 0, F.col("_sum") / F.col("_chars")).otherwise(F.lit(0.0))))
     cut = threshold(scored.where(F.col("ruled").isNotNull() & held).select("difference", (F.col("ruled") == "allow").cast("long").alias("allowed")))
