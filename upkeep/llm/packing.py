@@ -8,6 +8,7 @@ What stays underfull in the shards meets in further rounds until one shard holds
 
 from __future__ import annotations
 
+import heapq
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -22,8 +23,6 @@ from upkeep.llm.tokens import encoder, tokenizer_path
 
 #: Pieces that one shard holds, about: what one task keeps in memory.
 SHARD_PIECES = 50_000
-#: Steps without gain after which the local search of a shard ends.
-PATIENCE = 200
 
 #: Emptiest sequences of a shard whose pieces are dealt again; a packed shard wastes less than these can hold.
 LEAVE = 16
@@ -83,59 +82,139 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+class _Slots:
+    """What the underfull bins could take: (taken, free) of a bin, where ``taken`` is 0 or the size of one or two of its pieces that would leave.
+
+    A piece of more than ``taken`` and at most ``taken + free`` can go there.
+    """
+
+    def __init__(self, capacity: int) -> None:
+        self.bins: dict[tuple[int, int], dict[int, None]] = defaultdict(dict)
+        self.free = [0] * (capacity + 1)  # by taken; bit f: some bin has this slot and f free
+        self.of: dict[int, tuple[int, set[int]]] = {}
+
+    def add(self, k: int, free: int, held: list[int]) -> None:
+        one = sorted(set(held))
+        taken = {0, *one, *(x + y for i, x in enumerate(one) for y in one[i + 1:]), *(2 * x for x in one if held.count(x) > 1)}
+        self.of[k] = (free, taken)
+        for t in taken:
+            self.bins[t, free][k] = None
+            self.free[t] |= 1 << free
+
+    def remove(self, k: int) -> None:
+        free, taken = self.of.pop(k)
+        for t in taken:
+            at = self.bins[t, free]
+            del at[k]
+            if not at:
+                del self.bins[t, free]
+                self.free[t] ^= 1 << free
+
+    def best(self, size: int, free: int) -> tuple[int, int, int] | None:
+        """(gain, bin, taken) of the slot that a piece of a bin with ``free`` fills most; of several, of a fullest bin.
+
+        A move goes to a bin that is fuller than the rest of the giving one, an exchange to one at least as full as that.
+        """
+        if fits := (self.free[0] & ((1 << (free + size)) - 1)) >> size:
+            least = size + (fits & -fits).bit_length() - 1
+            return size, next(iter(self.bins[0, least])), 0
+        for taken in range(max(1, size - free), size):
+            need = size - taken
+            if fits := (self.free[taken] & ((2 << free) - 1)) >> need:
+                least = need + (fits & -fits).bit_length() - 1
+                return need, next(iter(self.bins[taken, least])), taken
+        return None
+
+
 def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
-    """Local search over the underfull bins.
+    """Local search over the underfull bins, until none can give anything.
 
     The emptiest bin gives pieces to the others: a piece moves, changes places
     with one smaller piece, or with two whose sum is smaller, whichever fills
     the other bin most.  Each step raises the sum of squared fills, as the
     receiving bin is at least as full.  A bin that is empty goes; one that
-    can give nothing more stays as it is and the next is tried.
+    can give nothing more stays as it is, and is tried again when a bin has
+    changed so that it can take one of its pieces.
     """
-    full = [b for b in bins if sum(sizes[i] for i in b) == capacity]
-    rest = [b for b in bins if sum(sizes[i] for i in b) < capacity]
-    if len(rest) < 2 or sum(sizes[i] for b in rest for i in b) > (len(rest) - 1) * capacity:
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    done = [b for b, f in zip(bins, fills, strict=True) if f == capacity]
+    rest = {k: b for k, (b, f) in enumerate(zip(bins, fills, strict=True)) if f < capacity}
+    left = sum(fills[k] for k in rest)
+    if len(rest) < 2 or left > (len(rest) - 1) * capacity:
         return bins  # as few bins as their sum allows
-    fill = [sum(sizes[i] for i in b) for b in rest]
-    alive, idle = set(range(len(rest))), 0
-    tried: set[int] = set()
-    while len(alive) > 1 and idle < PATIENCE and sum(fill[k] for k in alive) <= (len(alive) - 1) * capacity:
-        source = min((k for k in alive if k not in tried), key=lambda k: (fill[k], k), default=None)
-        if source is None:
-            break
-        best = None  # (gain of the target, target, pieces given, pieces taken)
-        for i in sorted(rest[source], key=lambda i: -sizes[i]):
-            for k in alive:
-                free = capacity - fill[k]
-                if k == source or not free or fill[k] <= fill[source] - sizes[i]:
-                    continue
-                if sizes[i] <= free and (best is None or sizes[i] > best[0]):
-                    best = (sizes[i], k, i, ())
-                if best is not None and free <= best[0] or fill[k] < fill[source]:
-                    continue
-                own = rest[k]
-                for a, x in enumerate(own):
-                    gain = sizes[i] - sizes[x]
-                    if 0 < gain <= free and (best is None or gain > best[0]):
-                        best = (gain, k, i, (x,))
-                    if gain > 1:
-                        for y in own[a + 1:]:
-                            two = gain - sizes[y]
-                            if 0 < two <= free and (best is None or two > best[0]):
-                                best = (two, k, i, (x, y))
+    slots, stuck = _Slots(capacity), defaultdict(dict)  # stuck: by size of a piece, the bins that could not give it
+    still: set[int] = set()
+    for k, b in rest.items():
+        slots.add(k, capacity - fills[k], [sizes[i] for i in b])
+    open_ = [(fills[k], k) for k in rest]
+    heapq.heapify(open_)
+
+    def reopen(k: int) -> None:
+        still.discard(k)
+        for i in rest[k]:
+            stuck[sizes[i]].pop(k, None)
+            if not stuck[sizes[i]]:
+                del stuck[sizes[i]]
+        heapq.heappush(open_, (fills[k], k))
+
+    def changed(k: int) -> None:
+        """Bins that can now give to bin k are open again."""
+        free, taken = slots.of[k]
+        for size in [s for s in stuck if any(t < s <= t + free for t in taken)]:
+            for j in [j for j in stuck.get(size, ()) if j != k and (free < capacity - fills[j] + size if free >= size else free <= capacity - fills[j])]:
+                reopen(j)
+
+    while open_ and left <= (len(rest) - 1) * capacity:
+        fill, source = heapq.heappop(open_)
+        if source not in rest or source in still or fill != fills[source]:
+            continue
+        slots.remove(source)
+        best = None  # (gain of the target, target, taken, size given)
+        for size in sorted({sizes[i] for i in rest[source]}, reverse=True):
+            if (found := slots.best(size, capacity - fill)) and (best is None or found[0] > best[0]):
+                best = (*found, size)
         if best is None:
-            tried.add(source)
-            idle += 1
+            still.add(source)
+            for i in rest[source]:
+                stuck[sizes[i]][source] = None
+            slots.add(source, capacity - fill, [sizes[i] for i in rest[source]])
             continue
-        gain, k, i, back = best
-        rest[source] = [x for x in rest[source] if x != i] + list(back)
-        rest[k] = [x for x in rest[k] if x not in back] + [i]
-        fill[source] -= gain
-        fill[k] += gain
-        tried.clear()
+        gain, k, taken, size = best
+        if k in still:
+            reopen(k)
+        slots.remove(k)
+        back = _summing(rest[k], sizes, taken)
+        given = next(i for i in rest[source] if sizes[i] == size)
+        rest[source] = [x for x in rest[source] if x != given] + back
+        rest[k] = [x for x in rest[k] if x not in back] + [given]
+        fills[source] -= gain
+        fills[k] += gain
+        if fills[k] == capacity:
+            done.append(rest.pop(k))
+            left -= capacity
         if not rest[source]:
-            alive.discard(source)
-    return full + [rest[k] for k in sorted(alive)]
+            del rest[source]
+        for j in (source, k):
+            if j in rest:
+                slots.add(j, capacity - fills[j], [sizes[i] for i in rest[j]])
+                heapq.heappush(open_, (fills[j], j))
+        for j in (source, k):
+            if j in rest:
+                changed(j)
+    return done + list(rest.values())
+
+
+def _summing(pieces_: list[int], sizes: list[int], total: int) -> list[int]:
+    """None, one or two of the pieces, of ``total`` together."""
+    if not total:
+        return []
+    for a, x in enumerate(pieces_):
+        if sizes[x] == total:
+            return [x]
+        for y in pieces_[a + 1:]:
+            if sizes[x] + sizes[y] == total:
+                return [x, y]
+    raise AssertionError("no such pieces")
 
 
 def _pack(rows: list[tuple], capacity: int) -> list[list[int]]:
