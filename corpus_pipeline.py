@@ -63,7 +63,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of at most 1024 tokens (operator 10)."""
     prepare(spark)
-    return packing.pack_documents(docs.select("doc_id", "text"), capacity=1024, end_id=2)
+    return packing.pack_documents(docs.select("doc_id", "text"), capacity=1024, end_id=2, special=True)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixture", mixture), ("sequences", sequences)]

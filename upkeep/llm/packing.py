@@ -31,17 +31,18 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2,
-           id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False) -> DataFrame:
+           id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False, special: bool = False) -> DataFrame:
     """Every document's ids with ``end_id`` (null text: empty), cut if longer than ``capacity``.
 
     The pieces of a cut document have ``capacity`` ids each, but for the first,
     which has the rest.  with_ids: the ids too, little-endian 32-bit.
+    ``special`` as for ``tokens.Encoder``.
     Repeated rows each give their own pieces.
     """
     path = tokenizer or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(path, special), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), strict=True):
@@ -280,17 +281,17 @@ def pack(items: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIECE
     return result
 
 
-def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
-    return pack(pieces(docs, capacity, tokenizer, end_id), capacity)
+def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, special: bool = False) -> DataFrame:
+    return pack(pieces(docs, capacity, tokenizer, end_id, special=special), capacity)
 
 
-def sequences(docs: DataFrame, layout: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
+def sequences(docs: DataFrame, layout: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, special: bool = False) -> DataFrame:
     """The packed sequences themselves: sequence_id, n_tokens, ids (array of int, pieces by offset).
 
     Pieces meet their place by document, piece and content; a sequence has at
     most ``capacity`` ids, so no group grows.  doc_id must tell documents apart here.
     """
-    parts = pieces(docs, capacity, tokenizer, end_id, with_ids=True)
+    parts = pieces(docs, capacity, tokenizer, end_id, with_ids=True, special=special)
     at = layout.select(F.col("doc_id").alias("_doc"), F.col("piece").alias("_piece"), "sequence_id", "offset")
     joined = parts.join(at, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("piece") == F.col("_piece")))
     grouped = joined.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts"))

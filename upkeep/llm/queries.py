@@ -15,7 +15,7 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    shards = tokens.write_token_files(docs, end_id=0)
+    shards = tokens.write_token_files(docs, end_id=0, special=True)
     return tokens.token_digests(tokens.read_token_files(spark, shards))
 
 
@@ -64,7 +64,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), capacity=1024, end_id=2)
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), capacity=1024, end_id=2, special=True)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

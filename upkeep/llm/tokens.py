@@ -48,17 +48,19 @@ class Encoder:
 
     Byte-level BPE works on one word at a time, so each distinct word goes to
     the library once and its ids are remembered.  Texts with characters whose
-    class may differ between Unicode versions go to the library whole.
+    class may differ between Unicode versions go to the library whole, as do
+    texts that spell a special token: with ``special`` that is this token, as by
+    the library's default, else plain text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = not special
         kind = json.loads(self.library.to_str())
         split = kind.get("pre_tokenizer") or {}
         self.by_word = (kind.get("normalizer") is None and split.get("type") == "ByteLevel"
@@ -86,14 +88,14 @@ class Encoder:
         return self.library.get_vocab_size()
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, special: bool = False) -> Encoder:
+    """One of each kind per worker process."""
+    if (path, special) not in _ENCODERS:
+        _ENCODERS[path, special] = Encoder(path, special)
+    return _ENCODERS[path, special]
 
 
 def _store(uri: str) -> tuple[fs.FileSystem, str]:
@@ -101,12 +103,12 @@ def _store(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, end_id: int = 0,
-                      id_column: str = "doc_id", text_column: str = "text") -> list[dict]:
+                      id_column: str = "doc_id", text_column: str = "text", special: bool = False) -> list[dict]:
     """Writes the ids of all texts, in ascending order of document id (null first), and returns the list of shards.
 
     folder: where all executors and the reader can write; by default a new
     one in ``spark.checkpoint.dir``.  Each text (null: empty) ends with
-    ``end_id``.  Rows with the same id stand together, by a hash of their
+    ``end_id``; ``special`` as for ``Encoder``.  Rows with the same id stand together, by a hash of their
     text; every row is written.  Without rows there are no shards.  Each shard is written under a
     name of its own attempt and counts only if the task reports it, so a
     repeated task leaves no half-written shard in the list.  The list has one
@@ -118,7 +120,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
     rows = in_order(docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text")), "doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(path), TaskContext.get().partitionId()
+        encode, part = encoder(path, special), TaskContext.get().partitionId()
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
         name = f"{base}/{part:06d}-{uuid.uuid4().hex}"
