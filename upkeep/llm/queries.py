@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import chat, fingerprint, graph_index, jaccard, kneser_ney, mixing, packing, secretscan, tokens, url_filter
-from upkeep.llm.common import table
+from upkeep.llm import chat, fill_middle, fingerprint, graph_index, jaccard, kneser_ney, mixing, packing, secretscan, tokens, url_filter
+from upkeep.llm.common import materialize, table
 
 
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +67,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), capacity=1024, end_id=2, special=True)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = materialize(fill_middle.frame(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    done = fill_middle.digests(fill_middle.transform(framed, seed=1, moved=90, spm=20))
+    return done.select("doc_id", "n", "form", F.col("cut").alias("prefix_chars"), (F.col("until") - F.col("cut")).alias("middle_chars"), "output_sha256", "restored_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_token_files, op3_mix, op4_quality, op5_chat, op6_url_filter, op7_neighbours, op8_jaccard, op9_secrets, op10_packing, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_token_files, op3_mix, op4_quality, op5_chat, op6_url_filter, op7_neighbours, op8_jaccard, op9_secrets, op10_packing, op11_fill_middle, pipeline)}
