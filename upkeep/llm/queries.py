@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import chat, fill_middle, fingerprint, graph_index, jaccard, kneser_ney, mixing, packing, secretscan, tokens, url_filter
+from upkeep.llm import chat, fill_middle, fingerprint, graph_index, jaccard, kneser_ney, mixing, packing, pii, secretscan, tokens, url_filter
 from upkeep.llm.common import materialize, table
 
 
@@ -73,10 +73,19 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n", "form", F.col("cut").alias("prefix_chars"), (F.col("until") - F.col("cut")).alias("middle_chars"), "output_sha256", "restored_sha256")
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("found", lambda x: x["kind"] < len(pii.BASE))
+    kinds = F.transform("found", lambda x: x["kind"])
+    number = [F.size(F.filter(kinds, F.lit(k).__eq__)).cast("long").alias(f"n_{r.name}") for k, r in enumerate(pii.BASE)]
+    names = [r.name for r in pii.RULES]
+    return found.select("doc_id", *number, F.sha2(pii.spelled(base, names), 256).alias("base_sha256"), pii.spelled(F.col("found"), names).alias("spans"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_token_files, op3_mix, op4_quality, op5_chat, op6_url_filter, op7_neighbours, op8_jaccard, op9_secrets, op10_packing, op11_fill_middle, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_token_files, op3_mix, op4_quality, op5_chat, op6_url_filter, op7_neighbours, op8_jaccard, op9_secrets, op10_packing, op11_fill_middle, op12_personal_data, pipeline)}
