@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.llm import chat, fill_middle, fingerprint, graph_index, jaccard, kneser_ney, mixing, packing, pii, secretscan, tokens, url_filter
+from upkeep.llm import chat, fill_middle, fingerprint, graph_index, hard_negatives, jaccard, kneser_ney, mixing, packing, pii, secretscan, tokens, url_filter
 from upkeep.llm.common import materialize, table
 
 
@@ -82,10 +82,16 @@ def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *number, F.sha2(pii.spelled(base, names), 256).alias("base_sha256"), pii.spelled(F.col("found"), names).alias("spans"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(vectors, vectors.where("vec_id % 100 = 0"), positives=5, negatives=10, low=30, high=90)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_token_files, op3_mix, op4_quality, op5_chat, op6_url_filter, op7_neighbours, op8_jaccard, op9_secrets, op10_packing, op11_fill_middle, op12_personal_data, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_fingerprint, op2_token_files, op3_mix, op4_quality, op5_chat, op6_url_filter, op7_neighbours, op8_jaccard, op9_secrets, op10_packing, op11_fill_middle, op12_personal_data, op13_hard_negatives, pipeline)}
