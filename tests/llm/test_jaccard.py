@@ -72,6 +72,18 @@ def test_chains_of_near_copies(spark, tmp_path, share):
     assert run(spark, rows, tmp_path, 4, 85, 100) == brute(rows, 4, 85, 100)
 
 
+def test_no_pair_is_verified_twice(spark, tmp_path, monkeypatch):
+    """Sets of 905 out of 1,000 members: all share many, none reaches the threshold; and some that do."""
+    r = random.Random(1)
+    words = [f"w{k}" for k in range(1000)]
+    rows = [(k, " ".join(sorted(r.sample(words, 905)))) for k in range(60)]
+    rows += [(100 + k, " ".join(x for x in words if r.random() > 0.04)) for k in range(20)]
+    seen = []
+    monkeypatch.setattr(jaccard, "_verified", lambda pairs, *a, f=jaccard._verified: seen.extend((x["u"], x["v"]) for x in pairs.collect()) or f(pairs, *a))
+    assert run(spark, rows, tmp_path, 1, 85, 100) == brute(rows, 1, 85, 100)
+    assert len(seen) == len(set(seen)) > 0
+
+
 def test_odd_rows(spark, tmp_path):
     rows = [*ODD, (20, "TWO WORDS"), (21, "two  words"), (22, "two words more"), (None, prose(2, 60).upper())]
     assert run(spark, rows, tmp_path, 4, 85, 100) == brute(rows, 4, 85, 100)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.common import materialize
 
+#: Keys that the nodes of one root are dealt to.
+SALTS = 16
+
 
 def components(edges: DataFrame) -> DataFrame:
     """edges: u, v.  Returns node, root: the smallest node that can be reached.
@@ -21,8 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         near = (both.join(roots.select(F.col("node").alias("v"), "root"), "v").groupBy("u").agg(F.min("root").alias("near")))
         lower = roots.join(near.withColumnRenamed("u", "node"), "node").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = lower.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        new = materialize(lower.join(jump, "root").select("node", F.col("next").alias("root"), (F.col("next") != F.col("old")).alias("moved")))
+        # only roots that are not their own root any more move others; a root of very many nodes is dealt to several keys
+        jump = lower.where("root <> node").select(F.col("node").alias("root"), F.col("root").alias("next"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        low = lower.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(jump, ["root", "salt"], "left").withColumn("next", F.coalesce("next", "root"))
+        new = materialize(low.select("node", F.col("next").alias("root"), (F.col("next") != F.col("old")).alias("moved")))
         roots = new.select("node", "root")
         if new.where("moved").isEmpty():
             return roots

@@ -8,7 +8,8 @@
    each block of documents and shard of hashes.
 3. Among the documents left, members are ordered rare first.  Two sets that reach
    the threshold share a member of their short prefixes.  Length, positional
-   and suffix filters thin the pairs; each pair is verified once.
+   and suffix filters thin the pairs in every round; each pair is verified once,
+   as pairs that a round has tried are left out of the later ones.
 
 Only connections are wanted, not all pairs of a group.  Linear rounds verify
 for each posting the pairs with a few others of the same prefix member that
@@ -32,12 +33,14 @@ from upkeep.llm.common import materialize, partitions, pieces, small_or_shuffled
 from upkeep.llm.components import components
 from upkeep.llm.shingles import shingle_sets
 
-#: Text that one block holds, about; what one shard holds, about, of the members sent.
-BLOCK_BYTES, SHARD_BYTES = 64 << 20, 32 << 20
+#: Text that one block holds, about (its prefix members take about half of that); what one shard holds, about, of the members sent.
+BLOCK_BYTES, SHARD_BYTES = 16 << 20, 32 << 20
 #: 64-bit words of a set's parity sketch.
 SKETCH = 16
 #: Partners that each posting has in a linear round, and about the postings of one list of them.
 LAGS, LIST = 16, 64
+#: Keys that the rows of one large component or class of equal sets are dealt to, each with a copy of its one row.
+SALTS = 16
 MANY = 0xFFFFFFFF  # in place of a document: several of the block's documents have this member
 
 
@@ -71,33 +74,37 @@ def _scan(docs: DataFrame, k: int, num: int, den: int, shards: int) -> DataFrame
             name = (part << 24) + block
             keys = np.concatenate([x for x, _ in held]) if held else np.empty(0, np.uint64)
             owner = np.concatenate([np.full(len(x), o, np.uint32) for x, o in held]) if held else np.empty(0, np.uint32)
+            held.clear()
             order = np.argsort(keys, kind="stable")
             keys, owner = keys[order], owner[order]
+            del order
             same = keys[1:] == keys[:-1]
             several = np.concatenate(([False], same)) | np.concatenate((same, [False])) if len(keys) else np.empty(0, bool)
             own = np.bincount(owner[several], minlength=len(docs_of)) if len(docs_of) else []
             first = np.concatenate(([True], ~same)) if len(keys) else np.empty(0, bool)
             sent, by = keys[first], np.where(several, np.uint32(MANY), owner)[first]
+            del keys, owner, same, several, first
             rows = [(0, r, d, n, digest, name, o, int(own[o]), need, None, None) for o, (r, d, n, digest, need) in enumerate(docs_of)]
             for lo in range(0, len(rows), 20_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo:lo + 20_000], strict=True), kinds, strict=True)], names)
             shard = (sent >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sent), np.int64)
             low = ((sent << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
             cut = np.searchsorted(shard, np.arange(shards + 1))
-            packed = [(1, None, None, None, None, name, None, None, None, s, low[a:b].tobytes() + by[a:b].astype("<u4").tobytes())
-                      for s, (a, b) in enumerate(zip(cut, cut[1:], strict=False)) if b > a]
-            for lo in range(0, len(packed), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*packed[lo:lo + 64], strict=True), kinds, strict=True)], names)
+            full = [k for k in range(shards) if cut[k + 1] > cut[k]]
+            for lo in range(0, len(full), 64):
+                packed = [(1, None, None, None, None, name, None, None, None, k, low[cut[k]:cut[k + 1]].tobytes() + by[cut[k]:cut[k + 1]].astype("<u4").tobytes())
+                          for k in full[lo:lo + 64]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*packed, strict=True), kinds, strict=True)], names)
 
         for number, piece in pieces(batches, "text", 4 << 20, BLOCK_BYTES):
             if number != block and block is not None:
                 yield from flush()
-                held, docs_of = [], []
+                docs_of = []
             block = number
             for r, d, members in zip(piece.column("row").to_pylist(), piece.column("doc_id").to_pylist(), shingle_sets(texts_of(piece, "text"), k), strict=True):
                 n = len(members)
                 if n:
-                    held.append((members[:prefix_of(n, num, den)], len(docs_of)))
+                    held.append((members[:prefix_of(n, num, den)].copy(), len(docs_of)))  # a view would keep the whole set
                 need = min(surplus(n), surplus(least_common(n, num, den)))
                 docs_of.append((r, d, n, hashlib.blake2b(members.tobytes(), digest_size=16).digest(), need))
         if block is not None:
@@ -171,27 +178,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     left = sets.select(F.col("vid").alias("u"), F.col("members").alias("a"))
     right = sets.select(F.col("vid").alias("v"), F.col("members").alias("b"))
 
+    def reach(x: bytes, y: bytes) -> bool:
+        p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+        total = len(p) + len(q)
+        must = -(-num * total // (num + den))
+        parts = np.arange(1, 65, dtype=np.uint64) << np.uint64(58)
+        cp, cq = (np.diff(np.searchsorted(z, parts[:-1]), prepend=0, append=len(z)) for z in (p, q))
+        if np.minimum(cp, cq).sum() < must:
+            return False
+        merged = np.sort(np.concatenate((p, q)))
+        same = int((merged[1:] == merged[:-1]).sum())
+        return den * same >= num * (total - same)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-                p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                total = len(p) + len(q)
-                must = -(-num * total // (num + den))
-                parts = np.arange(1, 65, dtype=np.uint64) << np.uint64(58)
-                cp, cq = (np.diff(np.searchsorted(z, parts[:-1]), prepend=0, append=len(z)) for z in (p, q))
-                ok = np.minimum(cp, cq).sum() >= must
-                if ok:
-                    merged = np.sort(np.concatenate((p, q)))
-                    same = int((merged[1:] == merged[:-1]).sum())
-                    ok = den * same >= num * (total - same)
-                keep.append(bool(ok))
+            keep = [reach(x.as_buffer(), y.as_buffer()) for x, y in zip(batch.column("a"), batch.column("b"), strict=True)]
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.select("u", "v").join(left, "u").join(right, "v").select("u", "v", "a", "b")
     return joined.mapInArrow(run, "u long, v long")
 
 
+def _new_links(pairs: DataFrame, tried: DataFrame | None, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Links among the pairs (u, v) that are not tried yet and pass the suffix filter, and all tried ones."""
+    pairs = pairs.distinct()
+    if tried is not None:
+        pairs = pairs.join(tried, ["u", "v"], "left_anti")
+    u, v = (sets.select(F.col("vid").alias(f"{k}_vid"), F.struct("n", "sketch").alias(k)) for k in ("a", "b"))
+    thin = pairs.join(u, F.col("u") == F.col("a_vid")).join(v, F.col("v") == F.col("b_vid")).where(_near_enough("a", "b", num, den)).select("u", "v")
+    thin = materialize(thin)
+    return materialize(_verified(thin, sets, num, den)), thin if tried is None else tried.unionByName(thin)
+
+
 def _sketch(members: np.ndarray) -> np.ndarray:
     """Of each class of hashes whether the set has an odd number of members in it.
 
@@ -215,23 +233,18 @@ def _may_link(a: str, b: str, num: int, den: int) -> Column:
     return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & (rest * (num + den) >= num * (na + nb))
 
 
-def _linear_round(placed: DataFrame, sets: DataFrame, links: DataFrame | None, number: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Verifies for each posting the pairs with the few before it and returns all links so far and their components.
+def _linear_pairs(placed: DataFrame, number: int, num: int, den: int) -> DataFrame:
+    """For each posting the pairs (u, v) with the few before it that lie in another component.
 
     Postings of a member stand by length in round 0, then in an order by hash
     that differs from round to round; a frequent member's are cut into many lists.
     """
     order = ["n", "vid"] if number == 0 else [F.xxhash64("vid", F.lit(number))]
     w = Window.partitionBy("h", F.pmod(F.xxhash64(F.lit(number), "vid"), 1 + F.floor(F.col("df") / LIST))).orderBy(*order)
-    place = F.struct("n", "vid", "pos", "root", *(["sketch"] if number else []))
+    place = F.struct("n", "vid", "pos", "root")
     steps = (placed.select(place.alias("me"), F.array(*[F.lag(place, k).over(w) for k in range(1, LAGS + 1)]).alias("others"))
              .select("me", F.explode("others").alias("other")).where("other.root <> me.root").where(_may_link("me", "other", num, den)))
-    if number:
-        steps = steps.where(_near_enough("me", "other", num, den))
-    pairs = steps.select(F.least("me.vid", "other.vid").alias("u"), F.greatest("me.vid", "other.vid").alias("v")).distinct()
-    new = materialize(_verified(pairs, sets, num, den))
-    links = new if links is None else links.unionByName(new)
-    return links, components(links)
+    return steps.select(F.least("me.vid", "other.vid").alias("u"), F.greatest("me.vid", "other.vid").alias("v"))
 
 
 def _open(postings: DataFrame, found: DataFrame, sets: DataFrame) -> tuple[DataFrame, int]:
@@ -292,11 +305,14 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     postings = materialize(ordered.where("prefix > alone")
                            .select("vid", "n", "alone", F.posexplode(F.slice("m", F.lit(1), (F.col("prefix") - F.col("alone")).cast("int"))).alias("i", "x"))
                            .select(F.col("x.h").alias("h"), F.col("x.df").alias("df"), "vid", "n", (F.col("alone") + F.col("i")).alias("pos")))
-    links, found = _linear_round(postings.withColumn("root", F.col("vid")), sets, None, 0, num, den)
+    links, tried = _new_links(_linear_pairs(postings.withColumn("root", F.col("vid")), 0, num, den), None, sets, num, den)
+    found = components(links)
     open_, roots = _open(postings, found, sets)
     number = 1
     while roots:
-        links, found = _linear_round(open_, sets, links, number, num, den)
+        new, tried = _new_links(_linear_pairs(open_, number, num, den), tried, sets, num, den)
+        links = links.unionByName(new)
+        found = components(links)
         before = roots
         open_, roots = _open(postings, found, sets)
         number += 1
@@ -306,22 +322,30 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
         a, b = open_.alias("a"), open_.alias("b")
         cross = (a.join(b, F.col("a.h") == F.col("b.h")).where((F.col("a.vid") < F.col("b.vid")) & (F.col("a.root") != F.col("b.root")))
                  .where(_may_link("a", "b", num, den) & _near_enough("a", "b", num, den))
-                 .select(F.col("a.vid").alias("u"), F.col("b.vid").alias("v")).distinct())
-        more = materialize(_verified(cross, sets, num, den))
+                 .select(F.col("a.vid").alias("u"), F.col("b.vid").alias("v")))
+        more, tried = _new_links(cross, tried, sets, num, den)
         if not more.isEmpty():
             found = components(links.unionByName(more))
 
-    members_of = classes.select("digest", F.col("n").alias("_n"), "vid").join(found.withColumnRenamed("node", "vid"), "vid", "left")
-    group = members_of.select(F.col("digest").alias("_digest"), "_n", F.coalesce("root", "vid").alias("root"))
-    with_root = materialize(seen.join(group, (F.col("digest") == F.col("_digest")) & (F.col("n") == F.col("_n")), "left")
-                            .select("row", "doc_id", "n", F.coalesce("root", "row").alias("root")))
-    best = with_root.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("top"))
-    return (with_root.join(best, "root")
-            .select("row", "doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id", (F.col("top.row") == F.col("row")).alias("first")))
+    # a class or component with very many rows is dealt to several keys, each with a copy of its one row
+    salt, salts = F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    of = classes.select(F.col("digest").alias("_digest"), F.col("n").alias("_n"), "vid").join(found.withColumnRenamed("node", "vid"), "vid", "left")
+    group = of.select("_digest", "_n", F.coalesce("root", "vid").alias("root"), salts.alias("_salt"))
+    with_root = materialize(seen.withColumn("salt", salt).join(group, (F.col("digest") == F.col("_digest")) & (F.col("n") == F.col("_n")) & (F.col("salt") == F.col("_salt")), "left")
+                            .select("row", "doc_id", "n", "salt", F.col("root").isNotNull().alias("linked"), F.coalesce("root", "row").alias("root")))
+    best = (with_root.where("linked").groupBy("root").agg(F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("top"))
+            .select("root", "least", F.col("top.row").alias("top"), salts.alias("salt")))
+    return (with_root.join(best, ["root", "salt"], "left")
+            .select("row", "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("linked"), F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.coalesce(F.col("top") == F.col("row"), F.lit(True)).alias("first")))
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of docs that are the first of their component, with all columns."""
-    dropped = link(docs, words, num, den).where("not first").select(F.col("row").alias("_row"))
+    """The rows of docs that are the first of their component, with all columns.
+
+    A row is left out only if its number and its doc_id are those of the scan before.
+    """
+    dropped = link(docs, words, num, den).where("not first").select(F.col("row").alias("_row"), F.col("doc_id").alias("_doc"))
     dropped = small_or_shuffled(materialize(dropped))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(dropped, "_row", "left_anti").drop("_row")
+    same = (F.col("_at") == F.col("_row")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc"))
+    return docs.withColumn("_at", F.monotonically_increasing_id()).join(dropped, same, "left_anti").drop("_at")
