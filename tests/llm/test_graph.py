@@ -53,6 +53,25 @@ def test_ties_odd_vectors_and_small_tables(spark):
     assert sorted(tuple(r)[:3] for r in graph_index.search(few, few, k=10).collect()) == [(100, 1, 200), (200, 1, 100)]
 
 
+def test_ties_of_different_vectors_and_huge_components(spark):
+    hot = [(k, [float(j == k) for j in range(60)]) for k in range(60)]
+    df = spark.createDataFrame(hot, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in graph_index.search(df, df.where("vec_id = 0"), k=10).collect())
+    assert [x[1] for x in got] == list(range(1, 11)) and all(x[2] == 2.0 ** 0.5 for x in got)
+    r = np.random.default_rng(9)
+    rows = [(k, [float(x) for x in r.normal(size=8)]) for k in range(300)]
+    rows += [(300, [1e300] + [0.0] * 7), (301, [-1.7e308, 1.0] + [0.0] * 6), (302, [1.7e308] + [0.0] * 7), (303, [1 + 2.0 ** -40] * 8), (304, [1 + 2.0 ** -41] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = graph_index.search(df, df.where("vec_id % 50 = 0 or vec_id > 299"), k=10).collect()
+    want = brute([x for x in rows if x[0] < 300 or x[0] > 302], [x for x in rows if (x[0] % 50 == 0 and x[0] < 300) or x[0] > 302], 10)
+    near = [x for x in got if x["query_id"] in want]
+    assert recall(near, want) > 0.98 and len(near) == 10 * len(want)
+    ids = dict(rows)
+    for x in near:
+        assert x["score"] == np.sqrt(((np.array(ids[x["vec_id"]]) - np.array(ids[x["query_id"]])) ** 2).sum())
+    assert all(x["score"] > 1e299 for x in got if 300 <= x["query_id"] <= 302) and {x["query_id"] for x in got} >= {300, 301, 302}
+
+
 def test_many_shards(spark):
     r = np.random.default_rng(3)
     rows = [(i, [float(x) for x in r.normal(size=16).astype("f4")]) for i in range(1500)]

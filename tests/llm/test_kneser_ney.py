@@ -5,11 +5,11 @@ from pyspark.sql import functions as F
 
 from llm.conftest import ODD, SF, prose
 from upkeep.llm import kneser_ney as kn
-from upkeep.llm.ngrams import EDGE, SYMBOLS
+from upkeep.llm.ngrams import BITS, EDGE, SYMBOLS
 
 
 def symbols(text, order):
-    return [EDGE] * (order - 1) + [ord(c) if ord(c) < 0x250 else 0x250 + (ord(c) >> 10) for c in text]
+    return [EDGE] * (order - 1) + [ord(c) for c in text]
 
 
 class Brute:
@@ -58,20 +58,23 @@ class Brute:
         return math.exp(-sum(math.log(self.p(tuple(s[i - self.order + 1:i + 1]))) for i in range(self.order - 1, len(s))) / len(text))
 
 
+TRUSTED = [prose(k, 40) for k in range(8)] + ["там на реке стоит дом и тут " * k for k in (3, 5)] + ["河边的房子在北风中很冷" * k for k in (3, 4)]
+
+
 def stored(df, tmp_path, name):
     df.write.parquet(f"{tmp_path}/{name}")
     return df.sparkSession.read.parquet(f"{tmp_path}/{name}")
 
 
 def test_perplexity_equals_brute_force(spark, make_docs, tmp_path):
-    rows = [*ODD[:5], *ODD[7:], *((100 + k, prose(k, 40)) for k in range(20))]
+    rows = [*ODD[:5], *ODD[7:], *((100 + k, t) for k, t in enumerate(TRUSTED)), *((112 + k, prose(12 + k, 40)) for k in range(8)), (120, "там дом 河北")]
     docs = stored(make_docs(rows), tmp_path, "docs")
     labels = spark.createDataFrame([(100 + k, 1, 0) for k in range(12)] + [(112, 0, 0), (113, 1, 1), (114, 1, None), (114, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     got = kn.classify(docs, labels).collect()
     assert len(got) == len(rows)
     held = {r["k"] for r in spark.range(100, 112).select(F.col("id").alias("k")).where(kn.held_out("k")).collect()}
     assert 0 < len(held) < 12
-    model = Brute([prose(k, 40) for k in range(12) if 100 + k not in held], kn.ORDER)
+    model = Brute([TRUSTED[k] for k in range(12) if 100 + k not in held], kn.ORDER)
     text_of = defaultdict(list)
     for d, t in rows:
         text_of[d].append(t)
@@ -82,10 +85,15 @@ def test_perplexity_equals_brute_force(spark, make_docs, tmp_path):
 
 
 def test_probabilities_of_a_context_sum_to_one(spark, make_docs):
-    tables = kn.train(make_docs([(k, prose(k, 30)) for k in range(5)]), order=3)
-    context = [ord("t"), ord("h")]
-    codes = spark.range(SYMBOLS).select((F.lit((context[0] << 22) + (context[1] << 11)) + F.col("id")).alias("gram"))
-    assert math.isclose(kn.probabilities(codes, tables).agg(F.sum("p")).first()[0], 1.0, rel_tol=1e-9)
+    """After a context that was seen, and after one that was not, all symbols together."""
+    texts = [prose(k, 30) for k in range(5)] + ["там там тут"]
+    tables = kn.train(make_docs(list(enumerate(texts))), order=3)
+    seen = {tuple(map(ord, x)) for x in ("th", "та")}
+    for a, b in [*seen, (ord("q"), ord("q"))]:
+        codes = spark.range(SYMBOLS).select(F.lit(0).cast("long").alias("head"), (F.lit((a << 2 * BITS) + (b << BITS)) + F.col("id")).alias("gram"))
+        known = codes.join(tables[-1], ["head", "gram"], "left_semi").count()
+        assert (known > 0) == ((a, b) in seen)
+        assert math.isclose(kn.probabilities(codes, tables).agg(F.sum("p")).first()[0], 1.0, rel_tol=1e-9)
 
 
 def test_held_out_labels(spark):

@@ -11,7 +11,6 @@ from upkeep.llm import tokens
 
 def library():
     t = Tokenizer.from_file(tokens.tokenizer_path())
-    t.encode_special_tokens = True
     return t
 
 

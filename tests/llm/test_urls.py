@@ -18,7 +18,7 @@ def rule(host, path):
 
 
 def symbols(t, order):
-    return [EDGE] * (order - 1) + [ord(c) if ord(c) < 0x250 else 0x250 + (ord(c) >> 10) for c in t]
+    return [EDGE] * (order - 1) + [ord(c) for c in t]
 
 
 def brute_ratio(urls, good, bad, order):

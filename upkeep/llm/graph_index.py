@@ -20,6 +20,8 @@ from upkeep.llm.common import materialize, partitions
 
 #: Vectors of a shard, about; edges of a node; beam when building and when searching; slack of the pruning; new vectors of a batch.
 SHARD, DEGREE, BUILD_BEAM, SEARCH_BEAM, SLACK, BATCH = 4000, 32, 64, 120, 1.2, 256
+#: Largest component inside the graph, in units of the shard's median one.
+FAR = 1e12
 
 
 def _distances(x: np.ndarray, norms: np.ndarray, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -129,7 +131,58 @@ def build(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, slack: fl
                 back[np.repeat(np.arange(len(t)), m), place] = source[np.repeat(f, m) + place]
                 graph[t] = prune(x, norms, t, np.concatenate((graph[t], back), axis=1), degree, slack if turn else 1.0)
             lo = hi
-    return graph, entry
+    return connected(x, norms, graph, entry), entry
+
+
+def connected(x: np.ndarray, norms: np.ndarray, graph: np.ndarray, entry: int) -> np.ndarray:
+    """The graph with one more edge, from the nearest vector that the entry reaches, to each that it does not reach (many equal distances can cause that)."""
+    while True:
+        seen = np.zeros(len(x) + 1, bool)
+        seen[[entry, -1]] = True
+        front = np.array([entry])
+        while len(front):
+            front = np.unique(graph[front])
+            front = front[~seen[front]]
+            seen[front] = True
+        reached, lost = np.flatnonzero(seen[:-1]), np.flatnonzero(~seen[:-1])[:BATCH]
+        if not len(lost):
+            return graph
+        near = reached[np.argmin(norms[reached] - 2 * (x[lost] @ x[reached].T), axis=1)]
+        for source, target in zip(near, lost, strict=True):
+            free = np.flatnonzero(graph[source] < 0)
+            if not len(free):
+                graph, free = np.concatenate((graph, np.full((len(graph), 1), -1, np.int64)), axis=1), [graph.shape[1]]
+            graph[source, free[0]] = target
+
+
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances of the rows of x to q in double precision; scaled first only where the squares overflow."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        apart = x - q
+        out = np.sqrt((apart ** 2).sum(axis=1))
+        for i in np.flatnonzero(~np.isfinite(out)):
+            most = np.abs(apart[i]).max()
+            out[i] = most * np.sqrt(((apart[i] / most) ** 2).sum()) if np.isfinite(most) else np.inf
+    return out
+
+
+def centred(base: np.ndarray) -> tuple[np.ndarray, float]:
+    """The centre of a shard's vectors and the median of their components' distances from it."""
+    centre = np.median(base, axis=0)
+    apart = np.abs(base / 2 - centre / 2) * 2
+    apart = apart[(apart > 0) & np.isfinite(apart)]
+    return centre, float(np.median(apart)) if len(apart) else 1.0
+
+
+def inside(x: np.ndarray, centre: np.ndarray, scale: float) -> np.ndarray:
+    """Vectors as the graph sees them."""
+    with np.errstate(over="ignore"):
+        return np.clip((x - centre) / scale, -FAR, FAR).astype(np.float32)
+
+
+def nearest(score: np.ndarray, k: int) -> np.ndarray:
+    """Places of all scores up to the k-th smallest: ties of that one belong to them."""
+    return np.flatnonzero(score <= np.partition(score, k - 1)[k - 1]) if len(score) > k else np.arange(len(score))
 
 
 def valid_vector(column: str = "embedding"):
@@ -145,18 +198,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHA
     The measure is the Euclidean distance in double precision.  A query is
     no candidate of its own (by vec_id).  Vectors that are null, zero, or hold null or
     non-finite components take no part; vectors of different length are never compared.
+    Scores come from the vectors as doubles; only the graph works on 32-bit numbers, centred and
+    scaled by medians and cut at ``FAR``, so that a huge component does not blur the rest.
     Equal vectors are one node, which keeps the k + 1 smallest ids, enough for
     any result; a vector given twice under one id counts once.  Equal
     distances rank by vec_id.  With fewer candidates than k all that are found are returned.
     Rows without a vec_id take no part.
     """
-    ok = vectors.where(valid_vector() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    ok = vectors.where(valid_vector() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     nth = F.row_number().over(Window.partitionBy("embedding").orderBy("vec_id"))
     nodes = materialize(ok.distinct().withColumn("nth", nth).where(F.col("nth") <= k + 1)
                         .groupBy("embedding").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     count = nodes.count()
     shards = max(1, -(-count // shard))
-    asked = queries.where(valid_vector() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<float>").alias("embedding")).distinct()
+    asked = queries.where(valid_vector() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding")).distinct()
     stored = nodes.select(F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("long").alias("shard"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("query_id"), "ids", "embedding")
     sent = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(1).alias("kind"), "query_id", F.lit(None).cast("array<bigint>").alias("ids"), "embedding")
     both = stored.unionByName(sent).withColumn("dim", F.size("embedding"))
@@ -173,7 +228,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHA
                 group, rows = tuple(key[a, :2]), batch.slice(a, b - a)
                 if group != current:
                     current, parts, ids, ready = group, [], [], None
-                x = rows.column("embedding").flatten().to_numpy().reshape(b - a, -1).astype(np.float32)
+                x = rows.column("embedding").flatten().to_numpy().reshape(b - a, -1)
                 if key[a, 2] == 0:
                     parts.append(x)
                     ids.extend(rows.column("ids").to_pylist())
@@ -181,21 +236,21 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, shard: int = SHA
                 if not parts:
                     continue
                 if ready is None:
-                    base = np.concatenate(parts)
-                    centred = base - base.mean(axis=0)
-                    centred /= max(1e-30, float(np.abs(centred).max()))
-                    ready = (base.astype(np.float64), base.mean(axis=0), float(np.abs(base - base.mean(axis=0)).max()) or 1.0, centred, np.einsum("nd,nd->n", centred, centred), *build(centred))
-                exact, mean, scale, centred, norms, graph, entry = ready
+                    exact = np.concatenate(parts)
+                    centre, scale = centred(exact)
+                    x32 = inside(exact, centre, scale)
+                    ready = (exact, centre, scale, x32, np.einsum("nd,nd->n", x32, x32), *build(x32))
+                exact, centre, scale, x32, norms, graph, entry = ready
                 names = rows.column("query_id").to_pylist()
                 for lo in range(0, len(x), BATCH):
                     q = x[lo:lo + BATCH]
-                    found, _ = beam_search(centred, norms, graph, entry, (q - mean) / max(1e-30, scale), min(beam, max(2, len(exact))))
+                    found, _ = beam_search(x32, norms, graph, entry, inside(q, centre, scale), min(beam, max(2, len(exact))))
                     out = []
-                    for name, vector, nodes_ in zip(names[lo:lo + BATCH], q.astype(np.float64), found, strict=True):
+                    for name, vector, nodes_ in zip(names[lo:lo + BATCH], q, found, strict=True):
                         nodes_ = nodes_[nodes_ >= 0]
-                        score = np.sqrt(((exact[nodes_] - vector) ** 2).sum(axis=1))
-                        order = np.argsort(score, kind="stable")[:k + 1 + int((score == 0).sum())]
-                        near = sorted((float(score[o]), v) for o in order for v in ids[nodes_[o]] if v != name)[:k]
+                        score = distances(exact[nodes_], vector)
+                        # one more than k, as the query's own vector may be among them
+                        near = sorted((float(score[o]), v) for o in nearest(score, k + 1) for v in ids[nodes_[o]] if v != name)[:k]
                         out += [(name, v, s) for s, v in near]
                     if out:
                         qs, vs, ss = zip(*out, strict=True)

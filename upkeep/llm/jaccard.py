@@ -39,6 +39,8 @@ BLOCK_BYTES, SHARD_BYTES = 16 << 20, 32 << 20
 SKETCH = 16
 #: Partners that each posting has in a linear round, and about the postings of one list of them.
 LAGS, LIST = 16, 64
+#: Most bytes of an Arrow batch here: batches of whole sets are held several times on both sides.
+SET_BYTES = 4 << 20
 #: Keys that the rows of one large component or class of equal sets are dealt to, each with a copy of its one row.
 SALTS = 16
 MANY = 0xFFFFFFFF  # in place of a document: several of the block's documents have this member
@@ -268,6 +270,7 @@ def link(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> Data
     Hashes have 64 bits; with 16 more bytes for equal sets, no cap on any list.
     """
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(SET_BYTES))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     shards = 1 << max(4 * partitions(spark) - 1, total // SHARD_BYTES).bit_length()

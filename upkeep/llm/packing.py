@@ -31,7 +31,7 @@ PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2,
-           id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False, special: bool = False) -> DataFrame:
+           id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False, special: bool = True) -> DataFrame:
     """Every document's ids with ``end_id`` (null text: empty), cut if longer than ``capacity``.
 
     The pieces of a cut document have ``capacity`` ids each, but for the first,
@@ -281,11 +281,11 @@ def pack(items: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIECE
     return result
 
 
-def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, special: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, special: bool = True) -> DataFrame:
     return pack(pieces(docs, capacity, tokenizer, end_id, special=special), capacity)
 
 
-def sequences(docs: DataFrame, layout: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, special: bool = False) -> DataFrame:
+def sequences(docs: DataFrame, layout: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2, special: bool = True) -> DataFrame:
     """The packed sequences themselves: sequence_id, n_tokens, ids (array of int, pieces by offset).
 
     Pieces meet their place by document, piece and content; a sequence has at

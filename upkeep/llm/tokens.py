@@ -53,7 +53,7 @@ class Encoder:
     the library's default, else plain text.
     """
 
-    def __init__(self, path: str, special: bool = False) -> None:
+    def __init__(self, path: str, special: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import json
 
@@ -91,7 +91,7 @@ class Encoder:
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, special: bool = False) -> Encoder:
+def encoder(path: str, special: bool = True) -> Encoder:
     """One of each kind per worker process."""
     if (path, special) not in _ENCODERS:
         _ENCODERS[path, special] = Encoder(path, special)
@@ -103,7 +103,7 @@ def _store(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, end_id: int = 0,
-                      id_column: str = "doc_id", text_column: str = "text", special: bool = False) -> list[dict]:
+                      id_column: str = "doc_id", text_column: str = "text", special: bool = True) -> list[dict]:
     """Writes the ids of all texts, in ascending order of document id (null first), and returns the list of shards.
 
     folder: where all executors and the reader can write; by default a new
