@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from upkeep import schema as S
 from upkeep.operators.scan import ordered_scan, segment
+from upkeep.session import materialize
 
 MODEL = "model"
 
@@ -195,6 +196,30 @@ def pr_points(df: DataFrame, **kw) -> DataFrame:
                       _ratio(F.col("tp"), F.col("pos")).alias("recall"))
 
 
+def binned_curve(df: DataFrame, bins: int = S.CURVE_BINS, label: str = "label", score: str = "score") -> DataFrame:
+    """X1 / X2 with a bounded number of points: cumulative counts at the lower edges of ``bins`` equal bins over [0, 1].
+
+    Exact at those thresholds (score >= edge); scores outside [0, 1] fall into
+    the outer bins.  Partial histograms add up, so that a table of any size or
+    number of distinct scores shuffles ``bins`` sums for each task and model.
+    Returns threshold, tp, fp, fpr, tpr, precision for every edge, also of empty bins.
+    """
+    keys, y = _keys(df), _pos(label)
+    edge = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor(F.col(score).cast("double") * bins))).cast("int")
+    # a product with the number of bins may round across an edge; the edge itself decides
+    edge = edge + F.when(F.col(score) < edge / F.lit(float(bins)), -1).when((edge < bins - 1) & (F.col(score) >= (edge + 1) / F.lit(float(bins))), 1).otherwise(0)
+    hist = (df.filter(y.isNotNull() & F.col(score).isNotNull()).select(*keys, F.greatest(F.lit(0), edge).alias("_bin"), y.alias("_y"))
+            .groupBy(*keys, "_bin").agg(F.count_if("_y").alias("tp_at"), F.count_if(~F.col("_y")).alias("fp_at")))
+    every = (hist.select(*keys).distinct() if keys else df.sparkSession.range(1).select()).select(*keys, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("_bin"))
+    full = every.join(hist, [*keys, "_bin"], "left").na.fill(0, ["tp_at", "fp_at"])
+    w = Window.partitionBy(*keys).orderBy(F.col("_bin").desc())   # ``bins`` rows per model
+    all_ = Window.partitionBy(*keys)
+    pts = full.select(*keys, (F.col("_bin") / F.lit(float(bins))).alias("threshold"), F.sum("tp_at").over(w).alias("tp"), F.sum("fp_at").over(w).alias("fp"),
+                      F.sum("tp_at").over(all_).alias("_pos"), F.sum("fp_at").over(all_).alias("_neg"))
+    return pts.select(*keys, "threshold", "tp", "fp", _ratio(F.col("fp"), F.col("_neg")).alias("fpr"), _ratio(F.col("tp"), F.col("_pos")).alias("tpr"),
+                      _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"))
+
+
 def auc_ap(df: DataFrame, **kw) -> DataFrame:
     """ROC AUC (trapezoids, exact integer numerator) and average precision (step sum)."""
     pts = curve_points(df, **kw)
@@ -265,41 +290,96 @@ def poisson1(digits: Column) -> Column:
     return expr.otherwise(F.lit(len(cuts)))
 
 
-def bootstrap_f1(df: DataFrame, row_id: Column, replicates: int = S.BOOTSTRAP_REPLICATES,
-                 seed: int = S.SPLIT_SEED, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Poisson bootstrap of F1; per-replicate weighted confusion in one pass.
+def _drawn(df: DataFrame, row_id: Column, replicates: int, seed: int, *columns: Column) -> DataFrame:
+    """``columns`` of each row once for each block ``_k`` of four replicates, with its weights ``_w0`` to ``_w3`` in them.
 
     Each row gets one Poisson(1) weight per replicate from a hash of (row,
     seed, k): 64 hex digits, of which 1-13, 14-26, 27-39 and 40-52 are the
-    uniforms of replicates 4k to 4k+3.  A row becomes one narrow row for each
-    hash, which the partial aggregate takes up at once: what is shuffled is a few sums for each hash.
-    Returns one row per replicate: (replicate, tp, fp, fn, f1_score).
+    uniforms of replicates 4k to 4k+3.  The partial aggregate that follows takes
+    the rows up at once.
     """
-    y, p = _pos(label), F.col(prediction).cast("int") == 1
-    cell = (F.when(y & p, F.lit(1)).when(~y & p, F.lit(2)).when(y & ~p, F.lit(3)))
-    keys = _keys(df)
     blocks = (replicates + 3) // 4
-    rows = df.select(*keys, cell.alias("_cell"), row_id.cast("string").alias("_rid")).filter(F.col("_cell").isNotNull())
+    rows = df.select(*_keys(df), *columns, row_id.cast("string").alias("_rid"))
     rows = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     rows = rows.withColumn("_h", F.sha2(F.concat_ws("|", "_rid", F.lit(str(seed)), F.col("_k").cast("string")), 256))
-    rows = rows.select(*keys, "_cell", "_k", *[poisson1(F.substring("_h", 1 + 13 * j, 13)).alias(f"_w{j}") for j in range(4)])
+    return rows.withColumns({f"_w{j}": poisson1(F.substring("_h", 1 + 13 * j, 13)) for j in range(4)}).drop("_rid", "_h")
+
+
+def _by_replicate(wide: DataFrame, keys: list, names: list, replicates: int) -> DataFrame:
+    """One row per replicate of the sums ``name0`` to ``name3`` of each block."""
+    stack = ", ".join(", ".join([str(j), *(f"{n}{j}" for n in names)]) for j in range(4))
+    return (wide.selectExpr(*keys, "_k", f"stack(4, {stack}) AS (_j, {', '.join(names)})")
+            .withColumn("replicate", F.col("_k") * 4 + F.col("_j")).filter(F.col("replicate") < replicates)
+            .select(*keys, "replicate", *names))
+
+
+def bootstrap_f1(df: DataFrame, row_id: Column, replicates: int = S.BOOTSTRAP_REPLICATES,
+                 seed: int = S.SPLIT_SEED, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Poisson bootstrap of F1; per-replicate weighted confusion in one pass (weights: see ``_drawn``).
+
+    What is shuffled is a few sums for each block of replicates.
+    Returns one row per replicate: (replicate, tp, fp, fn, f1_score).
+    """
+    y, p = _pos(label), F.col(prediction).cast("int") == 1
+    cell = (F.when(y & p, F.lit(1)).when(~y & p, F.lit(2)).when(y & ~p, F.lit(3))).alias("_cell")
+    keys = _keys(df)
+    rows = _drawn(df.filter(cell.isNotNull()), row_id, replicates, seed, cell)
     aggs = [F.sum(F.when(F.col("_cell") == code, F.col(f"_w{j}")).otherwise(0)).alias(f"{n}{j}")
             for j in range(4) for code, n in ((1, "tp"), (2, "fp"), (3, "fn"))]
-    wide = rows.groupBy(*keys, "_k").agg(*aggs)
-    stack = ", ".join(f"{j}, tp{j}, fp{j}, fn{j}" for j in range(4))
-    long = (wide.selectExpr(*keys, "_k", f"stack(4, {stack}) AS (_j, tp, fp, fn)")
-            .withColumn("replicate", F.col("_k") * 4 + F.col("_j")).filter(F.col("replicate") < replicates)
-            .select(*keys, "replicate", "tp", "fp", "fn"))
+    long = _by_replicate(rows.groupBy(*keys, "_k").agg(*aggs), keys, ["tp", "fp", "fn"], replicates)
     return long.withColumn("f1_score", _ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")))
 
 
+def bootstrap_auc(df: DataFrame, row_id: Column, replicates: int = S.BOOTSTRAP_REPLICATES,
+                  seed: int = S.SPLIT_SEED, label: str = "label", score: str = "score",
+                  max_rows: int | None = None) -> DataFrame:
+    """Poisson bootstrap of the ROC AUC, with the same weights as ``bootstrap_f1``.
+
+    A replicate's AUC is the weighted share of (positive, negative) pairs that
+    the score puts in order, ties counting half.  All replicates are summed at
+    once: rows become weighted positives and negatives of each (block, distinct
+    score), and the segmented scan adds up the negatives below each score, so
+    neither a block nor a score puts all rows into one task.  Rows
+    without a label or score are left out.  Returns (replicate, pos, neg,
+    roc_auc); without positives or negatives the AUC is 0.
+    """
+    y, keys = _pos(label), _keys(df)
+    value = F.col(score).cast("double")
+    rows = _drawn(df.filter(y.isNotNull() & value.isNotNull()), row_id, replicates, seed, y.alias("_y"), value.alias("_s"))
+    sums = [F.sum(F.when(F.col("_y") == side, F.col(f"_w{j}")).otherwise(0)).alias(f"{n}{j}") for j in range(4) for side, n in ((True, "pos"), (False, "neg"))]
+    counts = materialize(rows.groupBy(*keys, "_k", "_s").agg(*sums))
+    seg = segment(counts, [*keys, "_k"], "_s", **({"max_rows": max_rows} if max_rows else {}))
+    run = ordered_scan(seg, order=[F.col("_s")], sums={f"up{j}": F.col(f"neg{j}") for j in range(4)})
+    exact = "decimal(38,0)"
+    ranks = [F.sum((F.col(f"pos{j}").cast("decimal(18,0)") * (2 * F.col(f"up{j}") - F.col(f"neg{j}")).cast("decimal(19,0)")).cast(exact)).alias(f"num{j}") for j in range(4)]
+    both = [F.sum(f"{n}{j}").alias(f"{n}{j}") for j in range(4) for n in ("pos", "neg")]
+    long = _by_replicate(run.groupBy(*keys, "_k").agg(*ranks, *both), keys, ["num", "pos", "neg"], replicates)
+    auc = _ratio(F.col("num").cast("double"), 2.0 * F.col("pos").cast("double") * F.col("neg").cast("double"))
+    return long.select(*keys, "replicate", "pos", "neg", auc.alias("roc_auc"))
+
+
 def stability_summary(boot: DataFrame, metric: str = "f1_score") -> DataFrame:
-    """mean / population std / min / max / 2.5 and 97.5 percentiles over replicates."""
+    """mean / population std / min / max / 2.5 and 97.5 percentiles over replicates, and the metric's name."""
     keys = [MODEL] if MODEL in boot.columns else []
     m = F.col(metric)
     return boot.groupBy(*keys).agg(
         F.avg(m).alias("mean"), F.stddev_pop(m).alias("std"), F.min(m).alias("min"), F.max(m).alias("max"),
-        F.percentile(m, 0.025).alias("ci_low"), F.percentile(m, 0.975).alias("ci_high"))
+        F.percentile(m, 0.025).alias("ci_low"), F.percentile(m, 0.975).alias("ci_high")).withColumn("metric", F.lit(metric))
+
+
+def sample_rows(df: DataFrame, n: int, order: list, seed: int | None = None) -> DataFrame:
+    """T5: the first ``n`` rows by ``order``, or with ``seed`` by a hash of seed and these columns (then by them).
+
+    A top-k: every task keeps ``n`` rows, nothing is sorted whole, and reruns agree.
+    """
+    cols = [F.col(c) for c in order]
+    first = [] if seed is None else [F.md5(F.concat_ws("|", F.lit(str(seed)), *[c.cast("string") for c in cols]))]
+    return df.orderBy(*first, *cols).limit(n)
+
+
+def hash_fold(row_id: Column, folds: int, seed: int = S.SPLIT_SEED) -> Column:
+    """Fold 0 to ``folds`` - 1 of a row by its identity: the same in every run, on every partitioning."""
+    return F.least(F.lit(folds - 1), F.floor(uniform_hash(row_id, F.lit(f"fold{seed}")) * folds)).cast("int")
 
 
 def stratified_split(df: DataFrame, row_id: Column, label: str = "label",

@@ -343,8 +343,28 @@ def q_bootstrap_f1(spark, sf_dir):
     return _r(EV.bootstrap_f1(_test_rows(spark, sf_dir), row_id()))
 
 
+def q_bootstrap_auc(spark, sf_dir):
+    return _r(EV.bootstrap_auc(_test_rows(spark, sf_dir), row_id()))
+
+
 def q_stability(spark, sf_dir):
-    return _r(EV.stability_summary(EV.bootstrap_f1(_test_rows(spark, sf_dir), row_id())))
+    """Spread of F1 and of ROC AUC over the replicates."""
+    rows = materialize(_test_rows(spark, sf_dir).select(*ID_COLS, "label", "prediction", "score"))
+    f1 = EV.stability_summary(EV.bootstrap_f1(rows, row_id()))
+    return _r(f1.unionByName(EV.stability_summary(EV.bootstrap_auc(rows, row_id()), "roc_auc")))
+
+
+def q_binned_curve(spark, sf_dir):
+    """X1 / X2 with a fixed number of points."""
+    return _r(EV.binned_curve(_scored(spark, sf_dir)), skip=("threshold",))
+
+
+def q_sample_rows(spark, sf_dir):
+    """T5: three sampled records for each of the two orders (head and seeded sample)."""
+    rows = _records(spark, sf_dir).select("building_id", "asset_type", "maintenance_date", *ADAPTER_TIE)
+    order = [*ADAPTER_TIE, "building_id"]
+    head, sample = EV.sample_rows(rows, 3, order), EV.sample_rows(rows, 3, order, seed=S.SPLIT_SEED)
+    return head.withColumn("kind", F.lit("head")).unionByName(sample.withColumn("kind", F.lit("sample")))
 
 
 def q_stratified_split(spark, sf_dir):
@@ -373,6 +393,9 @@ QUERIES.update({
     "bootstrap_f1": q_bootstrap_f1,
     "stability": q_stability,
     "stratified_split": q_stratified_split,
+    "bootstrap_auc": q_bootstrap_auc,
+    "binned_curve": q_binned_curve,
+    "sample_rows": q_sample_rows,
 })
 
 
@@ -560,7 +583,7 @@ FAMILY_PARAMS = {
 
 
 def q_model_families(spark, sf_dir):
-    """The three model families on the same split, compared."""
+    """The three model families with fixed settings on the same split, compared."""
     train, test, cols = _train_test(spark, sf_dir)
     scored = None
     for name, params in FAMILY_PARAMS.items():
@@ -572,3 +595,123 @@ def q_model_families(spark, sf_dir):
 
 
 QUERIES["model_families"] = q_model_families
+
+
+# ------------------------------------------------------------------ tuning
+TUNE_POINTS, TUNE_TREES = 2, (2, 4, 6)   # random search of two grid points; few trees, so that the query ends soon
+
+
+def q_tuned_models(spark, sf_dir):
+    """Per family the tuned setting, F1 mean and spread over five folds, and the chosen family with its test metrics."""
+    train, test, cols = _train_test(spark, sf_dir)
+    tuned = MD.tune(train, cols, row_id(), points=TUNE_POINTS, trees=TUNE_TREES)
+    scored = MD.predict(tuned.model, test, keep=["label"], model_name=tuned.best)
+    metrics = EV.classification_metrics(scored).select("model", F.col("f1_score").alias("test_f1"), F.col("precision").alias("test_precision"), F.col("recall").alias("test_recall"))
+    return _r(tuned.table.join(F.broadcast(metrics), "model", "left"))
+
+
+def q_cv_folds(spark, sf_dir):
+    """M4 / M5: training rows and balanced class weight of each fold and class; the folds that ``tuned_models`` uses."""
+    train, _, _ = _train_test(spark, sf_dir)
+    finest = 15   # folds of both the search (3) and the scoring (5)
+    rows = MD.with_weightings(train).withColumn("fold", EV.hash_fold(row_id(), finest))
+    return _r(rows.groupBy("fold", F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("weight_balanced").alias("balanced"), F.max("weight_two").alias("two"), F.max("weight_three").alias("three")))
+
+
+def q_importance_stats(spark, sf_dir):
+    """Mean, spread, greatest and least importance."""
+    return _r(MD.importance_stats(q_feature_importance(spark, sf_dir)))
+
+
+QUERIES.update({"tuned_models": q_tuned_models, "cv_folds": q_cv_folds, "importance_stats": q_importance_stats})
+
+
+# ------------------------------------------------------------------ documents, history and landed files
+def _as_documents(df, shapes):
+    """Documents (one a line) of about 500 records, the record's hash choosing document and shape; ``shapes``: name -> Column of the whole document's JSON."""
+    n_docs = max(len(shapes), df.count() // 500)
+    doc = F.pmod(F.xxhash64(*df.columns), F.lit(n_docs)).cast("int")
+    record = F.struct(*[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) if c == "maintenance_date" else F.col(c) for c in df.columns])
+    docs = df.select(doc.alias("doc"), record.alias("record")).groupBy("doc").agg(F.collect_list("record").alias("records"))
+    line = None
+    for k, column in enumerate(shapes):
+        cond = F.pmod(F.col("doc"), F.lit(len(shapes))) == k
+        line = F.when(cond, column) if line is None else line.when(cond, column)
+    return docs.select(F.explode(line).alias("value"))
+
+
+def q_json_shapes(spark, sf_dir):
+    """S3: the records as documents of all four shapes, read back in one scan."""
+    from upkeep.session import stage_path
+
+    shapes = [F.array(F.to_json("records")),
+              F.array(F.to_json(F.struct(F.col("records").alias("data")))),
+              F.transform("records", lambda r: F.to_json(r)),
+              F.array(F.to_json(F.struct(F.struct(F.lit("1").alias("version")).alias("metadata"), F.col("records").alias("maintenance_records"))))]
+    path = stage_path(spark)
+    _as_documents(_records(spark, sf_dir).select(*Q.S.RECORD_COLUMNS), shapes).write.text(path)
+    return RD.read_records(spark, "json", path, multi_line=False)
+
+
+def _export_documents(spark, sf_dir):
+    from upkeep.session import stage_path
+
+    first = lambda key, *rest: F.array_distinct(F.transform("records", lambda r: F.struct(r[key].alias(key), *[r[c].alias(c) for c in rest])))
+    categories = F.array_distinct(F.transform("records", lambda r: F.struct(r["asset_type"].alias("category"), F.lit("high").alias("criticality"))))
+    doc = F.to_json(F.struct(F.struct(F.lit(500).alias("total_records"), F.lit("exports").alias("system_name")).alias("metadata"),
+                             first("building_id", "building_type", "city", "country", "building_area", "building_floors").alias("buildings"),
+                             first("technician_id").alias("technicians"), categories.alias("asset_categories"),
+                             F.transform("records", lambda r: r.withField("work_description", F.lit("x"))).alias("maintenance_records")))
+    path = stage_path(spark)
+    _as_documents(_records(spark, sf_dir).select(*Q.S.RECORD_COLUMNS), [F.array(doc)]).write.text(path)
+    return path
+
+
+def q_document_records(spark, sf_dir):
+    """The records of export documents; descriptive fields are dropped."""
+    path = _export_documents(spark, sf_dir)
+    return RD.read_export_document(spark, path, multi_line=False).select(*Q.S.RECORD_COLUMNS)
+
+
+def q_document_dimensions(spark, sf_dir):
+    """Rows and distinct members of the dimension arrays of export documents."""
+    dims = RD.read_document_dimensions(spark, _export_documents(spark, sf_dir), multi_line=False)
+    b, t, a, m = (dims[k] for k in ("buildings", "technicians", "asset_categories", "metadata"))
+    out = b.select(F.lit("building").alias("kind"), F.col("building_id").cast("string").alias("member"), F.concat_ws("|", "building_type", "city", "country", F.col("building_floors")).alias("detail"))
+    out = out.unionByName(t.select(F.lit("technician").alias("kind"), F.col("technician_id").cast("string").alias("member"), F.lit("").alias("detail")))
+    out = out.unionByName(a.select(F.lit("asset").alias("kind"), F.col("category").alias("member"), F.col("criticality").alias("detail")))
+    out = out.unionByName(m.select(F.lit("system").alias("kind"), F.col("system_name").alias("member"), F.col("total_records").cast("string").alias("detail")))
+    return out.distinct()
+
+
+def q_prediction_history(spark, sf_dir):
+    """K4 / K5: all scores appended twice by one run and once by another; the history of the smallest building id."""
+    from upkeep.session import stage_path
+    from upkeep.sources import history as H
+
+    scored = SC.probability_outputs(_scored(spark, sf_dir).select(*ID_COLS, F.col("score").alias("maintenance_probability")))
+    scored = materialize(scored.withColumn("prediction_date", F.date_trunc("year", "maintenance_date")))
+    path = stage_path(spark)
+    for run in ("a", "a", "b"):
+        H.append_predictions(scored, path, buckets=8, run_id=run)
+    building = scored.agg(F.min("building_id")).first()[0]
+    return _r(H.prediction_history(spark, path, building, buckets=8).select("building_id", "asset_type", "prediction_date", "run_id", *ADAPTER_TIE, "maintenance_probability", "risk_category"))
+
+
+def q_landed_exact(spark, sf_dir):
+    """The records landed as files, the second half of them twice, ingested batch by batch; each key once."""
+    from upkeep.session import stage_path
+    from upkeep.streaming import landed as LA
+
+    rows = materialize(_records(spark, sf_dir).select(*Q.S.RECORD_COLUMNS))
+    landing, table = stage_path(spark), stage_path(spark)
+    part = F.pmod(F.xxhash64("building_id", "asset_type", "maintenance_cost"), F.lit(2))
+    for half in (rows.where(part == 0), rows.where(part == 1), rows.where(part == 1)):
+        half.write.mode("append").json(landing)
+    LA.start_exact_ingest(spark, landing, table, buckets=8, max_files_per_trigger=16).awaitTermination()
+    return LA.read_ingested(spark, table).select(*Q.S.RECORD_COLUMNS)
+
+
+QUERIES.update({"json_shapes": q_json_shapes, "document_records": q_document_records, "document_dimensions": q_document_dimensions,
+                "prediction_history": q_prediction_history, "landed_exact": q_landed_exact})

@@ -433,13 +433,19 @@ su AS (SELECT *, CAST(('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 13)) A
 srk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY uu, row_id) AS rnk,
                count(*) OVER (PARTITION BY label) AS n FROM su),
 test_rows AS (SELECT * EXCLUDE (uu, rnk, n) FROM srk WHERE rnk <= round(n * 0.2)),"""
+BOOT_AUC = """
+, boot_s AS (SELECT rep, score, sum(CASE WHEN label THEN w ELSE 0 END) AS p, sum(CASE WHEN NOT label THEN w ELSE 0 END) AS n FROM boot_w GROUP BY rep, score),
+boot_c AS (SELECT *, sum(n) OVER (PARTITION BY rep ORDER BY score) AS up FROM boot_s),
+boot_auc AS (SELECT CAST(rep AS INTEGER) AS replicate, CAST(sum(p) AS BIGINT) AS pos, CAST(sum(n) AS BIGINT) AS neg,
+                    CASE WHEN sum(p) * sum(n) > 0 THEN sum(p * (2 * up - n)) / CAST(2 * sum(p) * sum(n) AS DOUBLE) ELSE 0.0 END AS roc_auc
+             FROM boot_c GROUP BY rep)"""
 BOOT = SPLIT + f"""
-boot_h AS (SELECT s.label, s.prediction, k.k, sha256(concat_ws('|', s.row_id, 42, k.k)) AS h
+boot_h AS (SELECT s.label, s.prediction, s.score, k.k, sha256(concat_ws('|', s.row_id, 42, k.k)) AS h
            FROM test_rows s CROSS JOIN (SELECT range AS k FROM range(25)) k),
-boot_u AS (SELECT label, prediction, k * 4 + j AS rep,
+boot_u AS (SELECT label, prediction, score, k * 4 + j AS rep,
                   CAST(('0x' || substr(h, 1 + 13 * j, 13)) AS BIGINT) / 4503599627370496.0 AS u
            FROM boot_h CROSS JOIN (SELECT range AS j FROM range(4)) jj),
-boot_w AS (SELECT rep, label, prediction, {_poisson_sql('u')} AS w FROM boot_u),
+boot_w AS (SELECT rep, label, prediction, score, {_poisson_sql('u')} AS w FROM boot_u),
 boot AS (SELECT CAST(rep AS INTEGER) AS replicate,
                 CAST(sum(CASE WHEN label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS tp,
                 CAST(sum(CASE WHEN NOT label AND prediction = 1 THEN w ELSE 0 END) AS BIGINT) AS fp,
@@ -513,10 +519,28 @@ SELECT 'rule_risk' AS model, metric, round(value, 6) AS value FROM (
 UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1_score, roc_auc))""",
     "bootstrap_f1": SCORED.rstrip() + "," + BOOT + f"""
 SELECT replicate, tp, fp, fn, round({_ratio('2 * tp', '2 * tp + fp + fn')}, 6) AS f1_score FROM boot""",
-    "stability": SCORED.rstrip() + "," + BOOT + f"""
-, bf AS (SELECT {_ratio('2 * tp', '2 * tp + fp + fn')} AS f1 FROM boot)
-SELECT round(avg(f1), 6) AS mean, round(stddev_pop(f1), 6) AS std, round(min(f1), 6) AS min, round(max(f1), 6) AS max,
-       round(quantile_cont(f1, 0.025), 6) AS ci_low, round(quantile_cont(f1, 0.975), 6) AS ci_high FROM bf""",
+    "bootstrap_auc": SCORED.rstrip() + "," + BOOT + BOOT_AUC + "\nSELECT replicate, pos, neg, round(roc_auc, 6) AS roc_auc FROM boot_auc",
+    "stability": SCORED.rstrip() + "," + BOOT + BOOT_AUC + f"""
+, vals AS (SELECT 'f1_score' AS metric, {_ratio('2 * tp', '2 * tp + fp + fn')} AS v FROM boot UNION ALL SELECT 'roc_auc', roc_auc FROM boot_auc)
+SELECT metric, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(min(v), 6) AS min, round(max(v), 6) AS max,
+       round(quantile_cont(v, 0.025), 6) AS ci_low, round(quantile_cont(v, 0.975), 6) AS ci_high FROM vals GROUP BY metric""",
+    "binned_curve": SCORED + f"""
+, edges AS (SELECT range / 100.0::DOUBLE AS threshold FROM range(100)),
+bc AS (SELECT e.threshold, count_if(s.label AND (s.score >= e.threshold OR e.threshold = 0)) AS tp, count_if(NOT s.label AND (s.score >= e.threshold OR e.threshold = 0)) AS fp,
+              count_if(s.label) AS pos, count_if(NOT s.label) AS neg
+       FROM edges e CROSS JOIN scored s GROUP BY e.threshold)
+SELECT threshold, tp, fp, round({_ratio('fp', 'neg')}, 6) AS fpr, round({_ratio('tp', 'pos')}, 6) AS tpr, round({_ratio('tp', 'tp + fp')}, 6) AS precision FROM bc""",
+    "cv_folds": SCORED.rstrip() + "," + SPLIT + """
+tr AS (SELECT label, least(14, floor(CAST(('0x' || substr(md5(concat_ws('|', row_id, 'fold42')), 1, 13)) AS BIGINT) / 4503599627370496.0 * 15))::INTEGER AS fold
+       FROM srk WHERE rnk > round(n * 0.2)),
+cw AS (SELECT label, (SELECT count(*) FROM tr) / (2.0::DOUBLE * count(*)) AS balanced FROM tr GROUP BY label)
+SELECT fold, CAST(tr.label AS INTEGER) AS label, count(*) AS n, round(max(balanced), 6) AS balanced,
+       CASE WHEN tr.label THEN 2.0::DOUBLE ELSE 1.0 END AS two, CASE WHEN tr.label THEN 3.0::DOUBLE ELSE 1.0 END AS three
+FROM tr JOIN cw ON tr.label = cw.label GROUP BY fold, tr.label""",
+    "prediction_history": SCORED + f"""
+SELECT building_id, asset_type, date_trunc('year', maintenance_date)::TIMESTAMP AS prediction_date, run_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+       round(score, 6) AS maintenance_probability, CASE WHEN score < 0.3 THEN 'low' WHEN score < 0.7 THEN 'medium' ELSE 'high' END AS risk_category
+FROM scored CROSS JOIN (SELECT unnest(['a', 'b']) AS run_id) WHERE building_id = (SELECT min(building_id) FROM scored)""",
     "stratified_split": SCORED + f"""
 , u AS (SELECT {IDS}, label, CAST(('0x' || substr(md5(concat_ws('|', row_id, 42)), 1, 13)) AS BIGINT) / 4503599627370496.0 AS uu,
                row_id FROM scored),
@@ -614,5 +638,26 @@ SELECT *, concat_ws('|', CASE WHEN building_id IS NULL THEN 'building_id is requ
     CASE WHEN building_area <= 0 THEN 'building_area must be positive' END,
     CASE WHEN building_floors <= 0 THEN 'building_floors must be positive' END, 'country is required') AS violations
 FROM req"""
-for _name in ("csv_roundtrip", "json_roundtrip", "table_roundtrip"):
+for _name in ("csv_roundtrip", "json_roundtrip", "table_roundtrip", "json_shapes", "document_records"):
     ORACLE[_name] = BASE + f"SELECT {', '.join(REC_COLS)} FROM records"
+
+ORACLE["document_dimensions"] = BASE + """
+SELECT DISTINCT 'building' AS kind, CAST(building_id AS VARCHAR) AS member, concat_ws('|', building_type, city, country, building_floors) AS detail FROM records
+UNION ALL SELECT DISTINCT 'technician', CAST(technician_id AS VARCHAR), '' FROM records
+UNION ALL SELECT DISTINCT 'asset', asset_type, 'high' FROM records
+UNION ALL SELECT 'system', 'exports', '500'"""
+
+_REST = [c for c in REC_COLS if c not in ("building_id", "asset_type", "maintenance_date", "maintenance_type")]
+ORACLE["landed_exact"] = BASE + f"""
+SELECT {', '.join(REC_COLS)} FROM (SELECT *, row_number() OVER (
+  PARTITION BY building_id, asset_type, maintenance_date, maintenance_type ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _REST)}) AS rn
+  FROM records WHERE NOT (coalesce(building_area <= 0, false) OR coalesce(building_floors <= 0, false) OR coalesce(maintenance_cost < 0, false)
+    OR coalesce(downtime_days < 0, false) OR coalesce(NOT failure_reported AND downtime_days > 1, false) OR coalesce(period_days < 7 OR period_days > 365, false)))
+WHERE rn = 1"""
+
+_TIE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"
+ORACLE["sample_rows"] = BASE + f"""
+, r AS (SELECT building_id, asset_type, maintenance_date, {_TIE},
+               md5(concat_ws('|', '42', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, building_id)) AS h FROM records)
+SELECT * EXCLUDE (h), 'head' AS kind FROM (SELECT * FROM r ORDER BY {_TIE}, building_id LIMIT 3)
+UNION ALL SELECT * EXCLUDE (h), 'sample' AS kind FROM (SELECT * FROM r ORDER BY h, {_TIE}, building_id LIMIT 3)"""

@@ -143,6 +143,8 @@ SPLIT_SEED = 42
 CV_FOLDS = 5
 TUNING_FOLDS = 3
 BOOTSTRAP_REPLICATES = 100
+TREES = (100, 200, 300)   # tuning values for the number of trees or boosting rounds
+CURVE_BINS = 100   # points of a bounded ROC / PR curve
 HISTOGRAM_BINS = 30
 ONE_HOT_MAX_CATEGORIES = 10
 

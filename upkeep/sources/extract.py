@@ -21,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upkeep.operators.scan import ordered_scan, segment
+from upkeep.session import materialize
+
 OPERATIONAL_TABLES = ["buildings", "building_types", "cities", "countries", "building_service_technician",
                       "services", "recurring_services", "reports", "building_resident", "resident_invoice"]
 REPORT_LOOKBACK_DAYS = 30
@@ -86,13 +89,9 @@ def extract_records(t: dict, lookback_days: int = REPORT_LOOKBACK_DAYS,
         recs = recs.join(latest, "building_id", "left").withColumn(
             "failure_reported", F.coalesce(F.col("_latest") >= since, F.lit(False)))
     else:
-        # bounded window: equi key on the building plus a range residual;
-        # semi / anti joins keep each record once (no row multiplication)
-        until = F.col("maintenance_date") + F.make_interval(days=F.lit(window_days))
-        rep = t["reports"].select(F.col("building_id").alias("_rb"), F.col("created_at").alias("_rc"))
-        cond = (F.col("building_id") == F.col("_rb")) & (F.col("_rc") >= since) & (F.col("_rc") <= until)
-        recs = (recs.join(rep, cond, "left_semi").withColumn("failure_reported", F.lit(True))
-                .unionByName(recs.join(rep, cond, "left_anti").withColumn("failure_reported", F.lit(False))))
+        flags = reports_in_window(rs.select("building_id", "maintenance_date"), t["reports"], lookback_days, window_days)
+        recs = recs.join(flags, ["building_id", "maintenance_date"], "left").withColumn(
+            "failure_reported", F.coalesce(F.col("_reported"), F.lit(False)))
 
     return recs.select(
         "building_id", "building_type", "asset_type", F.lit("preventive").alias("maintenance_type"),
@@ -104,6 +103,30 @@ def extract_records(t: dict, lookback_days: int = REPORT_LOOKBACK_DAYS,
         F.col("building_floors").cast("long").alias("building_floors"))
 
 
+def reports_in_window(checks: DataFrame, reports: DataFrame, lookback_days: int, window_days: int,
+                      max_rows: int | None = None) -> DataFrame:
+    """building_id, maintenance_date, _reported of the distinct checks: a report from ``lookback_days`` before to ``window_days`` after, both included.
+
+    No range join: each check puts a probe at either end of its window among
+    the building's reports, one ordered scan counts the reports up to each
+    place, and the window holds a report if the counts differ.  A hot building is cut into
+    segments of time; checks and reports are combined by day and time first.
+    """
+    day = F.col("maintenance_date")
+    asked = checks.where("building_id IS NOT NULL AND maintenance_date IS NOT NULL").distinct()
+    ends = F.array(F.struct((day - F.make_interval(days=F.lit(lookback_days))).alias("at"), F.lit(0).alias("kind")),
+                   F.struct((day + F.make_interval(days=F.lit(window_days))).alias("at"), F.lit(2).alias("kind")))
+    probes = asked.withColumn("_e", F.explode(ends)).select("building_id", "maintenance_date", "_e.at", "_e.kind", F.lit(0).cast("long").alias("n"))
+    held = (reports.where("building_id IS NOT NULL AND created_at IS NOT NULL").groupBy("building_id", F.col("created_at").alias("at"))
+            .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(1)))
+    # at the same time a window's start comes before a report and its end after it
+    events = materialize(probes.unionByName(held, allowMissingColumns=True).withColumn("x", F.unix_micros(F.col("at").cast("timestamp"))))
+    seg = segment(events, ["building_id"], "x", **({"max_rows": max_rows} if max_rows else {}))
+    run = ordered_scan(seg, order=[F.col("x"), F.col("kind")], sums={"so_far": F.col("n")}).where("kind <> 1")
+    before, until = (F.max(F.when(F.col("kind") == k, F.col("so_far"))) for k in (0, 2))
+    return run.groupBy("building_id", "maintenance_date").agg((until > before).alias("_reported"))
+
+
 def sorted_extract(df: DataFrame) -> DataFrame:
     """The extract ordered by building and date (range-partitioned sort)."""
     return df.orderBy("building_id", "maintenance_date")

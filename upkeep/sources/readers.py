@@ -7,14 +7,13 @@ casts, so one bad cell never fails a file.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from upkeep import schema as S
 from upkeep.operators.quality import coerce_types, ensure_required_columns
+from upkeep.session import materialize
 
 FORMATS = ("csv", "json", "document", "parquet", "jdbc")
 
@@ -56,52 +55,63 @@ def read_csv(spark: SparkSession, path: str, timestamp_format: str | None = None
     return coerce_types(raw)
 
 
-# Union landing schema for the JSON shapes: a flat record, a {"data": [...]}
-# wrapper, or a nested export document with "maintenance_records".
-_JSON_LANDING = T.StructType(
-    list(S.RAW_RECORD_SCHEMA.fields)
-    + [T.StructField("data", T.ArrayType(S.RAW_RECORD_SCHEMA), True),
-       T.StructField("maintenance_records", S.EXPORT_DOCUMENT_SCHEMA["maintenance_records"].dataType, True)])
+def read_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row per JSON document with ``doc`` as VARIANT (null if it does not parse): a file each, or with ``multi_line=False`` a line each."""
+    text = spark.read.text(path, wholetext=multi_line)
+    return text.where(F.length(F.trim("value")) > 0).select(F.try_parse_json("value").alias("doc"))
+
+
+def document_records(docs: DataFrame) -> DataFrame:
+    """``record`` (VARIANT) of every record of ``docs``, whichever of the four shapes its document has.
+
+    A list, an object with the list ``data``, an export document with the list
+    ``maintenance_records``, or else a single record.  The shape is looked up in the parsed document, so one scan does.
+    """
+    def listed(path: str):
+        return F.try_variant_get("doc", path, "array<variant>")
+
+    items = F.coalesce(listed("$"), listed("$.data"), listed("$.maintenance_records"), F.array("doc"))
+    return docs.select(F.explode(items).alias("record"))
+
+
+def _record_columns(records: DataFrame, names) -> DataFrame:
+    """The named fields of ``record`` as text; a field that is absent or null is null."""
+    return records.select(*[F.try_variant_get("record", f"$.{c}", "string").alias(c) for c in names])
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """S3: list of records, {"data": [...]}, single object, or export document.
 
-    One read with a union schema; each file contributes whichever shape it
-    has.  ``multi_line=False`` reads JSON Lines (splittable, for large feeds).
+    One scan; each document contributes whichever shape it has.
+    ``multi_line=False`` reads a document per line (splittable, for large
+    feeds).  A document that does not parse gives one record of nulls, which cleaning removes and counts.
     """
-    raw = spark.read.schema(_JSON_LANDING).option("multiLine", str(multi_line).lower()).json(path)
-    cols = S.RECORD_COLUMNS
-    flat = raw.filter(F.col("data").isNull() & F.col("maintenance_records").isNull()).select(*cols)
-    wrapped = raw.select(F.explode("data").alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in cols])
-    doc = raw.select(F.explode("maintenance_records").alias("r")).select(
-        *[F.col(f"r.{c}").alias(c) for c in cols])
-    return coerce_types(reduce(DataFrame.unionByName, [flat, wrapped, doc]))
+    return coerce_types(_record_columns(document_records(read_documents(spark, path, multi_line)), S.RECORD_COLUMNS))
 
 
-def read_export_document(spark: SparkSession, path: str, require_records: bool = True) -> DataFrame:
-    """Maintenance records of a nested export document.
+def read_export_document(spark: SparkSession, path: str, require_records: bool = True, multi_line: bool = True) -> DataFrame:
+    """Maintenance records of nested export documents.
 
     Descriptive per-record fields are dropped, the rest coerced.  The
     document's own record count in its metadata is not trusted.
     """
-    doc = spark.read.schema(S.EXPORT_DOCUMENT_SCHEMA).option("multiLine", "true").json(path)
-    recs = doc.select(F.inline("maintenance_records")).drop(*S.DOC_DROP_COLUMNS)
+    docs = read_documents(spark, path, multi_line)
+    records = docs.select(F.explode(F.try_variant_get("doc", "$.maintenance_records", "array<variant>")).alias("record"))
+    recs = _record_columns(records, ["record_id", *S.RECORD_COLUMNS])
     if require_records and recs.isEmpty():
         raise ValueError("No maintenance records found in the JSON data")
-    out = coerce_types(recs)
-    return out.withColumn("record_id", F.col("record_id").try_cast("long"))
-
-
-def read_document_dimensions(spark: SparkSession, path: str) -> dict:
-    """The document's dimension arrays as side tables."""
-    doc = spark.read.schema(S.EXPORT_DOCUMENT_SCHEMA).option("multiLine", "true").json(path)
-    return {
-        "buildings": doc.select(F.inline("buildings")),
-        "technicians": doc.select(F.inline("technicians")),
-        "asset_categories": doc.select(F.inline("asset_categories")),
-        "metadata": doc.select("metadata.*"),
-    }
+    return coerce_types(recs).withColumn("record_id", F.col("record_id").try_cast("long"))
+
+
+def read_document_dimensions(spark: SparkSession, path: str, multi_line: bool = True) -> dict:
+    """The documents' dimension arrays as side tables.
+
+    The documents are scanned and parsed once; the arrays, typed, are stored and each side table reads its own column.
+    """
+    docs = read_documents(spark, path, multi_line)
+    names = ["buildings", "technicians", "asset_categories", "metadata"]
+    typed = materialize(docs.select(*[F.try_variant_get("doc", f"$.{n}", S.EXPORT_DOCUMENT_SCHEMA[n].dataType.simpleString()).alias(n) for n in names]))
+    return {n: typed.select(F.inline(n)) for n in names[:3]} | {"metadata": typed.select("metadata.*")}
 
 
 def normalize(df: DataFrame, mapping: dict) -> DataFrame:
