@@ -20,19 +20,28 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity under the model of trusted text is within their language's threshold (operator 4)."""
+    """Documents whose perplexity under the model of trusted text is within their language's threshold (operator 4).
+
+    Null and empty texts go.  Repeated rows and rows without doc_id are judged each on its own.
+    """
     prepare(spark)
     return kneser_ney.classify(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by 5-word shingles with a Jaccard similarity of 0.8 or more (operator 8)."""
+    """One document of each group linked by 5-word shingles with a Jaccard similarity of 0.8 or more (operator 8).
+
+    Of repeated rows one stays; rows without doc_id come after all others of their group.  Texts without words link with nothing and stay.
+    """
     prepare(spark)
     return jaccard.keep_one(docs.select(*COLUMNS), words=5, num=80, den=100)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, with secrets replaced by a mark and n_chars of the new text (operator 9)."""
+    """Every document, with secrets replaced by a mark and n_chars of the new text (operator 9).
+
+    Rows without a secret, null and empty texts included, stay as they are.
+    """
     prepare(spark)
     clean = secretscan.redact(F.col("text"), F.col("found"))
     return secretscan.scan(docs.select(*COLUMNS)).withColumn("text", clean).withColumn(
@@ -44,7 +53,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Sources weigh by size to the power 0.7.  The mix is so large that the
     source with the smallest target in proportion is taken once whole, so no
-    document is lost; none is taken more than 3 times.
+    document with words is lost; none is taken more than 3 times.  Null sources are one source; a source
+    in which no text has a word takes nothing; repeated rows share their repeats.
     """
     prepare(spark)
     sized = docs.select(*COLUMNS).withColumn("_size", mixing.size_of(F.col("text")))
@@ -61,15 +71,14 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of at most 1024 tokens (operator 10)."""
+    """The place of every piece of every document in sequences of at most 1024 tokens (operator 10); null texts count as empty, repeated rows each."""
     prepare(spark)
     return packing.pack_documents(docs.select("doc_id", "text"), capacity=1024, end_id=2, special=True)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("secrets", secrets), ("mixture", mixture), ("sequences", sequences)]
 
-#: The classifier, the token ids and the packing cannot be said in SQL; tests/llm compares the operators with brute-force versions
-#: (the near duplicates at this stage's 5 words and 0.8 too) and checks what each stage keeps.
+#: The classifier, the token ids and the packing cannot be said in SQL; tests/llm compares run(), stage by stage, with brute-force versions.
 ORACLE_SQL = None
 
 
