@@ -18,6 +18,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from upkeep.llm import spans
 from upkeep.llm.common import materialize, small_or_shuffled
 
 
@@ -199,12 +200,4 @@ def spelled(found: Column, rules: tuple[Rule, ...]) -> Column:
 
 def redact(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
     """The text with every stretch that spans cover replaced by ``mark``; overlapping spans make one stretch."""
-    acc = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(a: Column, x: Column) -> Column:
-        fresh = x["start"] >= a["at"]
-        gap = F.substr(text, a["at"] + 1, x["start"] - a["at"])
-        return F.struct(F.when(fresh, F.concat(a["out"], gap, F.lit(mark))).otherwise(a["out"]).alias("out"), F.greatest(a["at"], x["stop"]).alias("at"))
-
-    done = F.aggregate(found, acc, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    return spans.redact(text, found, mark)
