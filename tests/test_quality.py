@@ -82,7 +82,7 @@ def test_clean_report_counts(make_records):
 def test_quality_score_bounds(make_records):
     rows = [rec(building_id=1, date=f"2024-01-{d:02d} 00:00:00") for d in range(1, 13)]
     res = Q.clean(make_records(rows), as_of="2024-06-01", checkpoint=False)
-    s = Q.quality_score(res.data, res.raw).first()
+    s = Q.quality_score(res.data, res.checked).first()
     assert 0.0 <= s.quality_score <= 1.0 and s.retention_rate == 1.0
 
 

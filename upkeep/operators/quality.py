@@ -83,10 +83,15 @@ def null_count(columns) -> Column:
     return reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in columns])
 
 
+def missing_share_ok(df: DataFrame, columns=S.RECORD_COLUMNS,
+                     max_fraction: float = S.MAX_MISSING_FRACTION) -> Column:
+    cols = [c for c in columns if c in df.columns]
+    return null_count(cols) / F.lit(len(cols)) <= F.lit(max_fraction)
+
+
 def drop_excessive_missing(df: DataFrame, columns=S.RECORD_COLUMNS,
                            max_fraction: float = S.MAX_MISSING_FRACTION) -> DataFrame:
-    cols = [c for c in columns if c in df.columns]
-    return df.filter(null_count(cols) / F.lit(len(cols)) <= F.lit(max_fraction))
+    return df.filter(missing_share_ok(df, columns, max_fraction))
 
 
 def fill_downtime(df: DataFrame) -> DataFrame:
@@ -96,20 +101,32 @@ def fill_downtime(df: DataFrame) -> DataFrame:
                          .otherwise(F.col("downtime_days")))
 
 
-def cost_medians(df: DataFrame) -> DataFrame:
-    return exact_median(df.filter(F.col("asset_type").isNotNull()), ["asset_type"], "maintenance_cost", out="cost_median")
+def cost_counts(df: DataFrame) -> DataFrame:
+    """Rows per (asset_type, maintenance_cost), nulls included: all that the two medians of A1 need."""
+    return df.groupBy("asset_type", "maintenance_cost").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def cost_medians(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    counts = cost_counts(df) if counts is None else counts
+    return exact_median(counts.filter(F.col("asset_type").isNotNull()), ["asset_type"], "maintenance_cost",
+                        out="cost_median", weight="rows")
 
 
 def fill_cost(df: DataFrame) -> DataFrame:
-    """Median cost of the asset type, then the median of the filled column (A1)."""
-    med = broadcast_if_small(cost_medians(df))
-    by_type = (df.join(med, on="asset_type", how="left")
-               .withColumn("maintenance_cost", F.coalesce("maintenance_cost", "cost_median"))
-               .drop("cost_median"))
+    """Median cost of the asset type, then the median of the filled column (A1).
+
+    The records are read once, for the count table; both medians come from it.
+    """
+    counts = materialize(cost_counts(df))
+    med = broadcast_if_small(cost_medians(df, counts))
+    cost = F.coalesce("maintenance_cost", "cost_median")
+    filled = counts.join(med, on="asset_type", how="left").select(cost.alias("maintenance_cost"), "rows")
     # a single value: fetched once, so later stages do not recompute it
-    overall = exact_median(by_type, [], "maintenance_cost", out="_overall").first()
+    overall = exact_median(filled, [], "maintenance_cost", out="_overall", weight="rows").first()
     fallback = F.lit(overall["_overall"] if overall else None).cast("double")
-    return by_type.withColumn("maintenance_cost", F.coalesce(F.col("maintenance_cost"), fallback))
+    return (df.join(med, on="asset_type", how="left")
+            .withColumn("maintenance_cost", F.coalesce(cost, fallback))
+            .drop("cost_median"))
 
 
 def period_modes(df: DataFrame) -> DataFrame:
@@ -117,9 +134,9 @@ def period_modes(df: DataFrame) -> DataFrame:
     return lowest_mode(prev, ["asset_type"], "period_days", out="period_mode")
 
 
-def fill_period(df: DataFrame, default: int = S.DEFAULT_PERIOD_DAYS) -> DataFrame:
+def fill_period(df: DataFrame, default: int = S.DEFAULT_PERIOD_DAYS, modes: DataFrame | None = None) -> DataFrame:
     """Preventive rows: missing period -> the type's most common period, else 90 (A2)."""
-    modes = broadcast_if_small(period_modes(df))
+    modes = broadcast_if_small(period_modes(df) if modes is None else modes)
     is_prev = F.col("maintenance_type") == "preventive"
     return (df.join(modes, on="asset_type", how="left")
             .withColumn("period_days",
@@ -133,13 +150,13 @@ def technician_modes(df: DataFrame) -> DataFrame:
     return lowest_mode(df, ["building_id"], "technician_id", out="technician_mode")
 
 
-def fill_technician(df: DataFrame, default: int = S.DEFAULT_TECHNICIAN_ID) -> DataFrame:
+def fill_technician(df: DataFrame, default: int = S.DEFAULT_TECHNICIAN_ID, modes: DataFrame | None = None) -> DataFrame:
     """Missing technician -> the building's most frequent technician, else 1 (A3).
 
     One row per building: a shuffle join (AQE broadcasts it at run time when
     small and splits skewed buildings otherwise).
     """
-    modes = technician_modes(df)
+    modes = technician_modes(df) if modes is None else modes
     return (df.join(modes, on="building_id", how="left")
             .withColumn("technician_id",
                         F.coalesce(F.col("technician_id"), F.col("technician_mode"),
@@ -147,14 +164,23 @@ def fill_technician(df: DataFrame, default: int = S.DEFAULT_TECHNICIAN_ID) -> Da
             .drop("technician_mode"))
 
 
+def fill_missing(df: DataFrame) -> DataFrame:
+    """Cost, period and technician.
+
+    No fill changes what another one counts, so the modes are taken from the
+    rows as given and not from a plan that holds the fills before.
+    """
+    out = fill_cost(df)
+    out = fill_period(out, modes=period_modes(df))
+    return fill_technician(out, modes=technician_modes(df))
+
+
 def handle_missing(df: DataFrame, columns=S.RECORD_COLUMNS, checkpoint: bool = False) -> DataFrame:
     df = fill_downtime(drop_excessive_missing(df, columns))
     if checkpoint:
-        # the fills below read these rows four times (two medians, two modes)
+        # the fills read these rows four times (cost counts, two modes, the fill)
         df = materialize(df)
-    df = fill_cost(df)
-    df = fill_period(df)
-    return fill_technician(df)
+    return fill_missing(df)
 
 
 # ---------------------------------------------------------------- stage 4
@@ -197,81 +223,133 @@ def rule_violation_counts(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- stage 5
-def drop_duplicates_first(df: DataFrame, key=S.DUPLICATE_KEY, tie=None) -> DataFrame:
+def drop_duplicates_first(df: DataFrame, key=S.DUPLICATE_KEY, tie=None, copies: str | None = None) -> DataFrame:
     """Keep the first record of each duplicate key in ``tie`` order.
 
+    ``copies`` names a column for the number of records that the kept one stands for.
+
     ``min_by`` is a partial aggregate: a key with millions of copies is
     combined map-side instead of landing in one task.
     """
     key = [k for k in key if k in df.columns]
     tie = list(tie) if tie else [c for c in df.columns if c not in key]
     rest = [c for c in df.columns if c not in key]
+    number = [F.count(F.lit(1)).alias(copies)] if copies else []
     kept = df.groupBy(*key).agg(
-        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in tie])).alias("_r"))
-    return kept.select(*key, "_r.*").select(*df.columns)
+        F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*[F.col(c) for c in tie])).alias("_r"), *number)
+    return kept.select(*key, "_r.*", *([copies] if copies else [])).select(*df.columns, *([copies] if copies else []))
 
 
 # ---------------------------------------------------------------- stage 6
-def filter_date_range(df: DataFrame, as_of: str, max_age_days: int = S.MAX_AGE_DAYS,
-                      future_days: int = S.FUTURE_SLACK_DAYS) -> DataFrame:
+def date_out_of_range(as_of: str, max_age_days: int = S.MAX_AGE_DAYS, future_days: int = S.FUTURE_SLACK_DAYS) -> Column:
     t = F.to_timestamp(F.lit(as_of))
     newest = t + F.make_interval(days=F.lit(future_days))
     oldest = t - F.make_interval(days=F.lit(max_age_days))
     d = F.col("maintenance_date")
-    return df.filter(~((d > newest) | (d < oldest)))
+    return (d > newest) | (d < oldest)
+
+
+def filter_date_range(df: DataFrame, as_of: str, max_age_days: int = S.MAX_AGE_DAYS,
+                      future_days: int = S.FUTURE_SLACK_DAYS) -> DataFrame:
+    return df.filter(~date_out_of_range(as_of, max_age_days, future_days))
 
 
 # ---------------------------------------------------------------- stage 7
+def dense_buildings(df: DataFrame, min_records: int = S.MIN_RECORDS_PER_BUILDING) -> DataFrame:
+    return (df.groupBy("building_id").agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= min_records).select("building_id"))
+
+
 def drop_sparse_buildings(df: DataFrame, min_records: int = S.MIN_RECORDS_PER_BUILDING) -> DataFrame:
     """Remove buildings with fewer than ``min_records`` rows (left semi join)."""
-    ok = (df.groupBy("building_id").agg(F.count(F.lit(1)).alias("_n"))
-          .filter(F.col("_n") >= min_records).select("building_id"))
-    return df.join(ok, on="building_id", how="left_semi")
+    return df.join(dense_buildings(df, min_records), on="building_id", how="left_semi")
 
 
 # ---------------------------------------------------------------- chain
+GONE, COPIES = "_gone", "_copies"
+
+
 @dataclass
 class CleanResult:
-    data: DataFrame
-    stages: dict            # stage name -> DataFrame after that stage
-    raw: DataFrame
+    """Clean records, and every record that went with the step (1 to 7) that it went at.
+
+    ``checked`` holds all input rows after steps 1 to 3, ``finished`` the rows
+    that passed those, one for each duplicate key.  Both are stored by
+    ``clean``, so the report reads two narrow columns of them and no
+    step runs again.  The marks are part of the rows, not counters beside
+    the job: tasks that run twice after a loss cannot count twice.
+    """
+
+    checked: DataFrame
+    finished: DataFrame
+
+    @property
+    def data(self) -> DataFrame:
+        return self.finished.filter(F.col(GONE) == 0).drop(GONE, COPIES)
+
+    def rejected(self) -> DataFrame:
+        """Records that went at any step but the fifth, with ``stage`` and ``copies``.
+
+        Records that broke a rule or were too old or of a sparse building
+        appear once for a duplicate key; ``copies`` is then their number.
+        """
+        names = F.element_at(F.array(*[F.lit(s) for s in STAGES]), F.col(GONE))
+        early = self.checked.withColumn(COPIES, F.lit(1).cast("long"))
+        both = early.filter(F.col(GONE) > 0).unionByName(self.finished.filter(F.col(GONE) > 0))
+        return both.withColumn("stage", names).withColumnRenamed(COPIES, "copies").drop(GONE)
 
     def report(self) -> DataFrame:
         """Rows removed per stage (A11), as one long table computed lazily."""
-        counts = [self.raw.agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.lit(0))]
-        for i, name in enumerate(STAGES, start=1):
-            counts.append(self.stages[name].agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.lit(i)))
-        names = F.element_at(F.array(*[F.lit(s) for s in ["initial"] + STAGES]), F.col("step") + 1)
+        def removed(df, steps):
+            wide = df.agg(*[F.coalesce(F.sum(v), F.lit(0)).cast("long").alias(f"s{i}") for i, v in steps.items()])
+            stack = ", ".join(f"{i}, s{i}" for i in steps)
+            return wide.selectExpr(f"stack({len(steps)}, {stack}) AS (step, records_removed)")
+
+        def gone(i, n=F.lit(1)):
+            return F.when(F.col(GONE) == i, n).otherwise(0)
+
+        early = removed(self.checked, {0: F.lit(-1), **{i: gone(i) for i in (1, 2, 3)}})
+        late = removed(self.finished, {4: gone(4, F.col(COPIES)), 5: F.when(F.col(GONE) != 4, F.col(COPIES) - 1).otherwise(0),
+                                       6: gone(6), 7: gone(7)})
         from pyspark.sql import Window
         w = Window.orderBy("step")   # 8 rows
-        return (reduce(DataFrame.unionByName, counts)
-                .select(F.col("step"), names.alias("stage"), F.col("n").alias("records_after"),
-                        (F.lag("n").over(w) - F.col("n")).alias("records_removed"))
+        names = F.element_at(F.array(*[F.lit(s) for s in ["initial"] + STAGES]), F.col("step") + 1)
+        return (early.unionByName(late)
+                .select("step", names.alias("stage"), (-F.sum("records_removed").over(w)).alias("records_after"), "records_removed")
                 .filter(F.col("step") > 0))
 
 
+def _lacking(df: DataFrame, columns) -> Column:
+    """What ``dropna`` drops: a null, or NaN in a floating column."""
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() | (F.isnan(c) if c in floating else F.lit(False)) for c in columns])
+
+
+def _mark(df: DataFrame, step: int, bad: Column) -> DataFrame:
+    return df.withColumn(GONE, F.when((F.col(GONE) == 0) & F.coalesce(bad, F.lit(True)), F.lit(step)).otherwise(F.col(GONE)))
+
+
 def clean(df: DataFrame, as_of: str, tie=None, strict_nulls: bool = False,
           min_records: int = S.MIN_RECORDS_PER_BUILDING, max_age_days: int = S.MAX_AGE_DAYS,
           columns=S.RECORD_COLUMNS, checkpoint: bool = True) -> CleanResult:
-    stages = {}
-    raw = df
-    df = drop_missing_essentials(ensure_required_columns(df))
-    stages["missing_columns"] = df
-    df = drop_invalid_types(coerce_types(df))
-    stages["invalid_types"] = df
-    df = handle_missing(df, columns, checkpoint=checkpoint)
-    stages["excessive_missing"] = df
-    df = drop_rule_violations(df, strict_nulls)
-    stages["business_logic"] = df
-    df = drop_duplicates_first(df, tie=tie)
-    stages["duplicates"] = df
-    df = filter_date_range(df, as_of, max_age_days)
-    stages["invalid_dates"] = df
-    df = drop_sparse_buildings(df, min_records)
+    """The seven steps.  Rows that go are marked with their step and left out of the steps after it.
+
+    Two writes (``checkpoint``): after step 3's filter, whose rows the fills read four times, and at the end.
+    """
+    df = ensure_required_columns(df).withColumn(GONE, F.lit(0))
+    df = coerce_types(_mark(df, 1, _lacking(df, S.ESSENTIAL_COLUMNS)))
+    df = _mark(df, 2, _lacking(df, S.TYPED_ESSENTIALS))
+    checked = fill_downtime(_mark(df, 3, ~missing_share_ok(df, columns)))
     if checkpoint:
-        df = materialize(df)
-    stages["insufficient_building_data"] = df
-    return CleanResult(df, stages, raw)
+        checked = materialize(checked)
+    df = fill_missing(checked.filter(F.col(GONE) == 0))
+    df = _mark(df, 4, violation_flag(strict_nulls))
+    df = drop_duplicates_first(df, key=[*S.DUPLICATE_KEY, GONE], tie=tie, copies=COPIES)
+    df = _mark(df, 6, date_out_of_range(as_of, max_age_days))
+    dense = dense_buildings(df.filter(F.col(GONE) == 0), min_records).withColumn("_dense", F.lit(True))
+    df = df.join(dense, on="building_id", how="left")
+    finished = _mark(df, 7, F.col("_dense").isNull()).drop("_dense").select(*checked.columns, COPIES)
+    return CleanResult(checked, materialize(finished) if checkpoint else finished)
 
 
 def quality_score(clean_df: DataFrame, initial: DataFrame, columns=S.RECORD_COLUMNS) -> DataFrame:

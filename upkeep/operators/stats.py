@@ -32,15 +32,17 @@ def _with_group(df: DataFrame, keys: list) -> tuple[DataFrame, list]:
 
 
 def exact_median(df: DataFrame, keys: list, col: str, out: str = "median",
-                 max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+                 max_rows: int = DEFAULT_MAX_ROWS, weight: str | None = None) -> DataFrame:
     """Exact median per group (mean of the two middle values), nulls skipped.
 
+    ``weight`` names a column that says how many rows a row stands for.
+
     Works on distinct (group, value) counts - a partial aggregate - then a
     segmented running count locates the middle ranks, so even a single group
     with all rows and many distinct values is spread over many tasks.
     """
     df, gkeys = _with_group(df.filter(F.col(col).isNotNull()), keys)
-    counts = df.groupBy(*gkeys, col).agg(F.count(F.lit(1)).alias("_c"))
+    counts = df.groupBy(*gkeys, col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_c"))
     seg = segment(counts, gkeys, col, max_rows=max_rows)
     run = ordered_scan(seg, order=[F.col(col)], sums={"_cum": F.col("_c")})
     totals = counts.groupBy(*gkeys).agg(F.sum("_c").alias("_n"))

@@ -58,7 +58,7 @@ def q_clean_report(spark, sf_dir):
 
 def q_quality_score(spark, sf_dir):
     res = _cleaned(spark, sf_dir)
-    return Q.quality_score(res.data, res.raw).select(
+    return Q.quality_score(res.data, res.checked).select(
         "initial_records", "final_records", "total_removed",
         F.round("retention_rate", 4).alias("retention_rate"),
         F.round("missing_pct", 4).alias("missing_pct"), "buildings", "asset_types",
