@@ -10,7 +10,6 @@ columns (at most 10 categories by rule) are plain comparisons.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,23 +35,30 @@ def _string(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def fit_label_vocab(df: DataFrame, columns: list, partitions: int | None = None) -> DataFrame:
-    """Sorted-class codes per column as a long table (feature, value, code).
+def value_counts(df: DataFrame, columns: list) -> DataFrame:
+    """Rows per (feature, value) of all ``columns`` in one scan; nulls are left out.
+
+    Each row is turned into one (feature, value) row a column, and combined
+    before the shuffle, which so carries each distinct value once a task.
+    """
+    if not columns:
+        return df.sparkSession.createDataFrame([], "feature string, value string, rows long")
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), _string(c).alias("value")) for c in columns])
+    return (df.select(F.inline(pairs)).filter(F.col("value").isNotNull())
+            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("rows")))
 
-    Codes are positions among the distinct values in string order.  The
-    values are range-partitioned by their whole length, so values that share a long
+
+def number_values(values: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Codes 0.. of distinct (feature, value) rows: positions in string order within the feature.
+
+    The values are range-partitioned by their whole length, so values that share a long
     prefix still spread; each partition numbers its own, and the counts
     of the partitions before it move the numbers up.
     """
-    if not columns:
-        schema = "feature string, value string, code long"
-        return df.sparkSession.createDataFrame([], schema)
-    stacked = reduce(DataFrame.unionByName, [
-        df.select(F.lit(c).alias("feature"), _string(c).alias("value")).filter(F.col("value").isNotNull())
-        for c in columns]).distinct()
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # stored, so that both passes below see the same partitions
-    part = materialize(stacked.repartitionByRange(n, "feature", "value").withColumn("_part", F.spark_partition_id()))
+    part = materialize(values.select("feature", "value").repartitionByRange(n, "feature", "value")
+                       .withColumn("_part", F.spark_partition_id()))
     counts = part.groupBy("feature", "_part").agg(F.count(F.lit(1)).alias("_n"))   # features x partitions rows
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("feature").orderBy("_part")
                                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -62,6 +68,11 @@ def fit_label_vocab(df: DataFrame, columns: list, partitions: int | None = None)
             .select("feature", "value", (F.col("_base") + F.col("_own") - 1).cast("long").alias("code")))
 
 
+def fit_label_vocab(df: DataFrame, columns: list, partitions: int | None = None) -> DataFrame:
+    """Sorted-class codes per column as a long table (feature, value, code)."""
+    return number_values(value_counts(df, columns), partitions)
+
+
 def fit_scaler(df: DataFrame, columns: list) -> DataFrame:
     """Mean and population std per column (nulls ignored); zero std -> 1."""
     aggs = []
@@ -87,18 +98,18 @@ def fit(df: DataFrame, categorical=S.CATEGORICAL_FEATURES,
         engineered=S.ENGINEERED_CATEGORICALS, max_onehot: int = S.ONE_HOT_MAX_CATEGORIES,
         vocab_partitions: int | None = None) -> FittedEncoding:
     cats = [c for c in categorical if c in df.columns]
-    # one aggregate row: distinct counts per categorical column (E1/E2 choice)
-    nunique = df.agg(*[F.countDistinct(c).alias(c) for c in cats]).first().asDict() if cats else {}
-    label_cols = [c for c in cats if c in S.ALWAYS_LABEL_ENCODED or nunique[c] > max_onehot]
-    onehot_cols = [c for c in cats if c not in label_cols]
-    onehot = {}
-    if onehot_cols:
-        # <= max_onehot values per column by the rule above: bounded collect
-        row = df.agg(*[F.sort_array(F.collect_set(_string(c))).alias(c) for c in onehot_cols]).first()
-        onehot = {c: list(row[c]) for c in onehot_cols}
-    label_cols += [c for c in engineered if c in df.columns]
-    vocab = materialize(fit_label_vocab(df, label_cols, vocab_partitions))
-    sizes = {r["feature"]: r["n"] for r in vocab.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    derived = [c for c in engineered if c in df.columns and c not in cats]
+    # one scan: the distinct values of every column, from which come the E1/E2 choice, the one-hot values and the codes
+    values = materialize(value_counts(df, cats + derived))
+    sizes = {r["feature"]: r["n"] for r in values.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
+    label_cols = [c for c in cats if c in S.ALWAYS_LABEL_ENCODED or sizes.get(c, 0) > max_onehot]
+    onehot = {c: [] for c in cats if c not in label_cols}
+    label_cols += derived
+    # <= max_onehot values per column by the rule above: bounded collect
+    for r in values.filter(F.col("feature").isin(list(onehot))).orderBy("value").collect() if onehot else []:
+        onehot[r["feature"]].append(r["value"])
+    vocab = materialize(number_values(values.filter(F.col("feature").isin(label_cols)), vocab_partitions))
+    sizes = {c: sizes[c] for c in label_cols if c in sizes}
     cols = scaled_columns(df)
     # stored, so that applying it does not read the history again
     return FittedEncoding(onehot, label_cols, vocab, materialize(fit_scaler(df, cols)), cols, sizes)
