@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from upkeep import schema as S
 from upkeep.functions.expressions import confidence, risk_category, timeframe_days, whole_days_between
+from upkeep.operators.encode import value_counts
 
 
 def rule_risk(df: DataFrame, as_of: str, critical_assets=S.RULE_RISK_CRITICAL_ASSETS,
@@ -52,7 +53,10 @@ def probability_outputs(df: DataFrame, p: str = "maintenance_probability",
 
 
 def data_summary(df: DataFrame) -> DataFrame:
-    """One-row summary of a record set."""
+    """One-row summary of a record set.
+
+    The two lists are for columns of few values; ``summary_values`` gives values of any number as rows.
+    """
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.countDistinct("building_id").alias("buildings"),
@@ -65,6 +69,11 @@ def data_summary(df: DataFrame) -> DataFrame:
         (F.count_if(F.col("failure_reported")) * 100.0 / F.count(F.lit(1))).alias("failure_rate_pct"))
 
 
+def summary_values(df: DataFrame, columns=("country", "asset_type")) -> DataFrame:
+    """The values of ``columns`` and their records, a row each (feature, value, rows)."""
+    return value_counts(df, list(columns))
+
+
 def asset_distribution(df: DataFrame) -> DataFrame:
     """Records per asset type, most frequent first."""
     return df.groupBy("asset_type").agg(F.count(F.lit(1)).alias("records")).orderBy(

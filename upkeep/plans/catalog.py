@@ -56,6 +56,12 @@ def q_clean_report(spark, sf_dir):
     return _cleaned(spark, sf_dir).report()
 
 
+def q_rejected_records(spark, sf_dir):
+    """Records that went, per step and building, copies counted."""
+    gone = _cleaned(spark, sf_dir).rejected()
+    return gone.groupBy("stage", "building_id").agg(F.sum("copies").alias("records"))
+
+
 def q_quality_score(spark, sf_dir):
     res = _cleaned(spark, sf_dir)
     return Q.quality_score(res.data, res.checked).select(
@@ -148,6 +154,7 @@ QUERIES = {
     "min_records": q_min_records,
     "clean": q_clean,
     "clean_report": q_clean_report,
+    "rejected_records": q_rejected_records,
     "quality_score": q_quality_score,
     "schema_report": q_schema_report,
     "contract_violations": q_contract_violations,
@@ -228,7 +235,36 @@ def q_feature_stats(spark, sf_dir):
     return st.select("feature", *[F.round(c, ROUND6).alias(c) for c in ("mean", "std", "min", "max")])
 
 
+def q_encoder_roundtrip(spark, sf_dir):
+    """K2: the fitted state saved and loaded: codes, one-hot values, scaler."""
+    from upkeep.session import stage_path
+
+    path = stage_path(spark)
+    EN.save(_encoded(spark, sf_dir)[1], path)
+    enc = EN.load(spark, path)
+    number = F.lit(None).cast("double")
+    codes = enc.vocab.select(F.lit("code").alias("kind"), "feature", "value", "code", number.alias("mean"), number.alias("scale"))
+    hot = spark.createDataFrame([(c, v, i) for c, values in enc.onehot.items() for i, v in enumerate(values)], "feature string, value string, code long")
+    stats = enc.scaler.select(F.lit("scaler").alias("kind"), "feature", F.round("mean", ROUND6).alias("mean"), F.round("scale", ROUND6).alias("scale"))
+    return (codes.unionByName(hot.withColumn("kind", F.lit("onehot")), allowMissingColumns=True)
+            .unionByName(stats, allowMissingColumns=True))
+
+
+KNOWN = F.col("country") != "EUROPE"
+
+
+def q_encode_new(spark, sf_dir):
+    """Fitted on the records of all regions but one, applied to every record; unseen values get -1 or no one-hot column."""
+    records = _records(spark, sf_dir)
+    enc = EN.fit(records.filter(KNOWN))
+    out = EN.apply_scaler(EN.apply_encoding(records, enc), enc)
+    hot = [f"country_{v}" for v in enc.onehot["country"]]
+    return out.select(*ADAPTER_TIE, "building_id", "city_encoded", "technician_id_encoded", *hot, F.round("building_area", ROUND6).alias("building_area"))
+
+
 QUERIES.update({
+    "encoder_roundtrip": q_encoder_roundtrip,
+    "encode_new": q_encode_new,
     "label_vocab": q_label_vocab,
     "scaler_stats": q_scaler_stats,
     "feature_matrix": q_feature_matrix,
@@ -277,6 +313,10 @@ def q_data_summary(spark, sf_dir):
     return _r(SC.data_summary(_cleaned(spark, sf_dir).data), 4)
 
 
+def q_summary_values(spark, sf_dir):
+    return SC.summary_values(_cleaned(spark, sf_dir).data)
+
+
 def q_asset_distribution(spark, sf_dir):
     return SC.asset_distribution(_cleaned(spark, sf_dir).data)
 
@@ -377,6 +417,7 @@ QUERIES.update({
     "rule_risk": q_rule_risk,
     "data_summary": q_data_summary,
     "asset_distribution": q_asset_distribution,
+    "summary_values": q_summary_values,
     "risk_outputs": q_risk_outputs,
     "eval_metrics": q_eval_metrics,
     "classification_report": q_classification_report,
@@ -438,7 +479,28 @@ def q_feature_importance(spark, sf_dir):
     return MD.feature_importance(model, cols, spark)
 
 
+def q_model_roundtrip(spark, sf_dir):
+    """K3 / M6 / F16: the model saved and loaded scores the test rows as before; probabilities, hard predictions and risk agree with each other."""
+    from upkeep.session import stage_path
+
+    scored, model, _ = _model_scores(spark, sf_dir)
+    _, test, _ = _train_test(spark, sf_dir)
+    path = stage_path(spark)
+    MD.save_model(model, path)
+    again = MD.predict(MD.load_model(path), test, keep=ID_COLS + ["label"])
+    p = F.col("maintenance_probability")
+    both = scored.select(*ID_COLS, "label", p, "prediction", "risk_category").join(
+        again.select(*ID_COLS, p.alias("_again"), F.col("prediction").alias("_hard")), ID_COLS, "left")
+    risk = F.when(p < 0.3, "low").when(p < 0.7, "medium").otherwise("high")
+    return both.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(p.between(0, 1)).alias("probabilities"),
+        F.count_if((F.col("prediction") == 1) == (p > 0.5)).alias("decided"),
+        F.count_if(F.col("risk_category") == risk).alias("risks"),
+        F.count_if((p == F.col("_again")) & (F.col("prediction") == F.col("_hard"))).alias("same"))
+
+
 QUERIES.update({
+    "model_roundtrip": q_model_roundtrip,
     "model_scores": q_model_scores,
     "model_metrics": q_model_metrics,
     "feature_importance": q_feature_importance,

@@ -145,6 +145,19 @@ FROM (
   UNION ALL SELECT 6, 'invalid_dates', count(*) FROM s6
   UNION ALL SELECT 7, 'insufficient_building_data', count(*) FROM s7) t
 QUALIFY step > 0""",
+    "rejected_records": CLEAN + """
+, late AS (SELECT s5.* EXCLUDE (maintenance_cost), CASE WHEN s6.l_orderkey IS NULL THEN 'invalid_dates' ELSE 'insufficient_building_data' END AS stage
+           FROM s5 LEFT JOIN s6 USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)
+           LEFT JOIN s7 USING (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) WHERE s7.l_orderkey IS NULL),
+steps AS (
+  SELECT 'missing_columns' AS stage, building_id, 1 AS n FROM dirty UNION ALL SELECT 'missing_columns', building_id, -1 FROM s1
+  UNION ALL SELECT 'invalid_types', building_id, 1 FROM s1 UNION ALL SELECT 'invalid_types', building_id, -1 FROM s2
+  UNION ALL SELECT 'excessive_missing', building_id, 1 FROM s2 UNION ALL SELECT 'excessive_missing', building_id, -1 FROM s3
+  UNION ALL SELECT 'business_logic', building_id, 1 FROM s3 UNION ALL SELECT 'business_logic', building_id, -1 FROM s4
+  UNION ALL SELECT late.stage, s4.building_id, 1 FROM s4 JOIN late ON s4.building_id IS NOT DISTINCT FROM late.building_id
+    AND s4.asset_type IS NOT DISTINCT FROM late.asset_type AND s4.maintenance_date IS NOT DISTINCT FROM late.maintenance_date
+    AND s4.maintenance_type IS NOT DISTINCT FROM late.maintenance_type)
+SELECT stage, building_id, CAST(sum(n) AS BIGINT) AS records FROM steps GROUP BY stage, building_id HAVING sum(n) > 0""",
     "quality_score": CLEAN + f"""
 , agg AS (
   SELECT (SELECT count(*) FROM dirty) AS initial_records, count(*) AS final_records,
@@ -342,6 +355,21 @@ MATRIX_COLS = (SCALED + UNSCALED + [f"{c}_{v}" for c, vals in ONEHOT_DOMAINS.ite
 ORACLE["label_vocab"] = ENCODED + "SELECT * FROM vocab"
 ORACLE["scaler_stats"] = ENCODED + "SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM (" + \
     " UNION ALL ".join(f"SELECT '{c}' AS feature, m_{c} AS mean, s_{c} AS scale FROM sc" for c in SCALED) + ") t"
+ORACLE["encoder_roundtrip"] = ENCODED + "SELECT 'code' AS kind, feature, value, code, CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS scale FROM vocab" + \
+    "".join(f" UNION ALL SELECT 'onehot', '{c}', value, row_number() OVER (ORDER BY value) - 1, NULL, NULL FROM (SELECT DISTINCT {c} AS value FROM feat WHERE {c} IS NOT NULL)"
+            for c in ONEHOT_DOMAINS) + \
+    "".join(f" UNION ALL SELECT 'scaler', '{c}', NULL, NULL, round(m_{c}, 6), round(s_{c}, 6) FROM sc" for c in SCALED)
+ORACLE["encode_new"] = with_ctes(RECORDS_CTE) + """
+, known AS (SELECT * FROM records WHERE country <> 'EUROPE'),
+city_code AS (SELECT city, row_number() OVER (ORDER BY city) - 1 AS code FROM (SELECT DISTINCT city FROM known)),
+tech_code AS (SELECT technician_id, row_number() OVER (ORDER BY CAST(technician_id AS VARCHAR)) - 1 AS code FROM (SELECT DISTINCT technician_id FROM known)),
+area AS (SELECT avg(building_area) AS m, stddev_pop(building_area) AS s FROM known)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, building_id,
+       coalesce(c.code, -1) AS city_encoded, coalesce(t.code, -1) AS technician_id_encoded,
+       CASE WHEN country = 'AFRICA' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "country_AFRICA", CASE WHEN country = 'AMERICA' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "country_AMERICA",
+       CASE WHEN country = 'ASIA' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "country_ASIA", CASE WHEN country = 'MIDDLE EAST' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "country_MIDDLE EAST",
+       round((building_area - area.m) / area.s, 6) AS building_area
+FROM records r LEFT JOIN city_code c ON r.city = c.city LEFT JOIN tech_code t ON r.technician_id = t.technician_id CROSS JOIN area"""
 ORACLE["feature_matrix"] = ENCODED + "SELECT * FROM matrix"
 ORACLE["feature_stats"] = ENCODED + "SELECT feature, round(mean, 6) AS mean, round(std, 6) AS std, " \
     "round(min, 6) AS min, round(max, 6) AS max FROM (" + " UNION ALL ".join(
@@ -537,6 +565,11 @@ cw AS (SELECT label, (SELECT count(*) FROM tr) / (2.0::DOUBLE * count(*)) AS bal
 SELECT fold, CAST(tr.label AS INTEGER) AS label, count(*) AS n, round(max(balanced), 6) AS balanced,
        CASE WHEN tr.label THEN 2.0::DOUBLE ELSE 1.0 END AS two, CASE WHEN tr.label THEN 3.0::DOUBLE ELSE 1.0 END AS three
 FROM tr JOIN cw ON tr.label = cw.label GROUP BY fold, tr.label""",
+    "model_roundtrip": SCORED.rstrip() + "," + SPLIT.rstrip().rstrip(",") + """
+SELECT CAST(label AS INTEGER) AS label, count(*) AS n, count(*) AS probabilities, count(*) AS decided, count(*) AS risks, count(*) AS same
+FROM srk WHERE rnk <= round(n * 0.2) GROUP BY label""",
+    "summary_values": CLEAN + """SELECT 'country' AS feature, country AS value, count(*) AS rows FROM s7 WHERE country IS NOT NULL GROUP BY country
+UNION ALL SELECT 'asset_type', asset_type, count(*) FROM s7 GROUP BY asset_type""",
     "prediction_history": SCORED + f"""
 SELECT building_id, asset_type, date_trunc('year', maintenance_date)::TIMESTAMP AS prediction_date, run_id, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice,
        round(score, 6) AS maintenance_probability, CASE WHEN score < 0.3 THEN 'low' WHEN score < 0.7 THEN 'medium' ELSE 'high' END AS risk_category
