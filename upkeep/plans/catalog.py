@@ -250,7 +250,7 @@ def q_encoder_roundtrip(spark, sf_dir):
             .unionByName(stats, allowMissingColumns=True))
 
 
-KNOWN = F.col("country") != "EUROPE"
+KNOWN = "country <> 'EUROPE'"
 
 
 def q_encode_new(spark, sf_dir):
