@@ -58,6 +58,23 @@ def exact_median(df: DataFrame, keys: list, col: str, out: str = "median",
     return picked if keys else picked.drop(_G)
 
 
+def exact_quantile(df: DataFrame, keys: list, col: str, share: float, out: str = "quantile",
+                   max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """Exact quantile per group: the smallest value with at least ``share`` of the group's rows up to it, nulls skipped.
+
+    As ``exact_median``: distinct (group, value) counts and a segmented
+    running count, so that no task holds a group.  Keys must not be null.
+    """
+    df, gkeys = _with_group(df.filter(F.col(col).isNotNull()), keys)
+    counts = df.groupBy(*gkeys, col).agg(F.count(F.lit(1)).alias("_c"))
+    seg = segment(counts, gkeys, col, max_rows=max_rows)
+    run = ordered_scan(seg, order=[F.col(col)], sums={"_cum": F.col("_c")})
+    totals = counts.groupBy(*gkeys).agg(F.sum("_c").alias("_n"))
+    picked = (run.join(totals, on=gkeys).filter(F.col("_cum") >= F.lit(float(share)) * F.col("_n"))
+              .groupBy(*gkeys).agg(F.min(col).alias(out)))
+    return picked if keys else picked.drop(_G)
+
+
 def lowest_mode(df: DataFrame, keys: list, col: str, out: str = "mode") -> DataFrame:
     """Most frequent non-null value per group; ties go to the smallest value.
 

@@ -23,16 +23,24 @@ def _records(spark, sf_dir, dirty=False):
 
 
 # Stage tables (cleaned records, features, encoded matrix, scored set) are
-# materialized once per session and data folder and then read by every query
+# materialized once per session and state of the data folder and then read by every query
 # that builds on them - the way a job chain writes each stage table once.
 _STAGES: dict = {}
+STAGE_SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _state(spark, sf_dir) -> int | None:
+    """Changes when a file of the source tables is added, removed or written again: a hash of the listing (no file is opened)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+        [f"{sf_dir}/{t}.parquet" for t in STAGE_SOURCES]).select("path", "length", "modificationTime")
+    return files.agg(F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()[0]
 
 
 def _stage(spark, sf_dir, name, build):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STAGES:
-        _STAGES[key] = build()
-    return _STAGES[key]
+    key, state = (spark.sparkContext.applicationId, sf_dir, name), _state(spark, sf_dir)
+    if key not in _STAGES or _STAGES[key][0] != state:
+        _STAGES[key] = (state, build())
+    return _STAGES[key][1]
 
 
 def q_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -519,6 +527,11 @@ def q_extract_window(spark, sf_dir):
     return EX.extract_records(EX.operational_from_tables(spark, sf_dir), window_days=90)
 
 
+def q_extract_sorted(spark, sf_dir):
+    """The extract in order of building and date."""
+    return EX.sorted_extract(q_extract_join(spark, sf_dir))
+
+
 def q_request_contract(spark, sf_dir):
     """Requests made of the dirty records, with missing and non-positive fields and no country column."""
     d = _records(spark, sf_dir, dirty=True)
@@ -559,7 +572,7 @@ def q_table_roundtrip(spark, sf_dir):
 
 
 QUERIES.update({"csv_roundtrip": q_csv_roundtrip, "json_roundtrip": q_json_roundtrip, "table_roundtrip": q_table_roundtrip})
-QUERIES.update({"extract_join": q_extract_join, "extract_window": q_extract_window})
+QUERIES.update({"extract_join": q_extract_join, "extract_window": q_extract_window, "extract_sorted": q_extract_sorted})
 
 
 # ------------------------------------------------------------------ coercion and vendor mapping

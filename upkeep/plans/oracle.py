@@ -628,6 +628,7 @@ LEFT JOIN countries co ON b.country_id = co.id
 WHERE rs.checked_date IS NOT NULL AND b.deleted_at IS NULL AND s.deleted_at IS NULL"""
 
 ORACLE["extract_join"] = with_ctes(OPERATIONAL_CTES) + EXTRACT_SELECT
+ORACLE["extract_sorted"] = ORACLE["extract_join"] + " ORDER BY building_id, maintenance_date"
 ORACLE["extract_window"] = with_ctes(OPERATIONAL_CTES) + EXTRACT_SELECT.replace(
     """coalesce((SELECT max(r.created_at) FROM reports r WHERE r.building_id = b.id)
                 >= rs.checked_date - INTERVAL 30 DAY, false)""",

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,9 +72,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def stage_path(spark: SparkSession, name: str | None = None) -> str:
     """A new place for a stored table in the shared checkpoint folder."""
-    import uuid
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name or uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+# Open scopes of ``temporary_tables``, the innermost last: the places given out inside each.
+_SCOPES: list[list[str]] = []
+
 
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name or uuid.uuid4().hex}"
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes stored tables, in whatever store they lie; places never written to are passed over."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end, also after an error, the tables that were stored inside it.
+
+    A result that reads them must be written elsewhere (or under a path of
+    one's own) before the scope ends.  Tables of an outer scope stay; an inner scope
+    deletes its own.  Gives the list of places, from which one may be removed to keep its table.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        delete_tables(spark, paths)
 
 
 def materialize(df, name: str | None = None):
