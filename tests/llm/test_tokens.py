@@ -59,3 +59,21 @@ def test_a_second_attempt_of_a_shard_is_not_read(spark, make_docs, tmp_path):
     second = tokens.write_token_files(make_docs(ODD), folder=str(tmp_path))
     assert {x["name"] for x in first}.isdisjoint(x["name"] for x in second)
     check(ODD, tokens.token_digests(tokens.read_token_files(spark, second)).collect(), 0)
+
+
+def test_shards_end_at_their_number_of_ids(spark, make_docs, tmp_path):
+    """Many shards a partition, each ended by the document that fills it; the same sequence of ids."""
+    shards = tokens.write_token_files(make_docs(ODD).coalesce(1), folder=str(tmp_path), shard_ids=60)
+    assert len({x["part"] for x in shards}) < len(shards)
+    check(ODD, tokens.token_digests(tokens.read_token_files(spark, shards)).collect(), 0)
+    for x in shards:
+        off = np.fromfile(f"{x['name']}.off", "<u8")
+        assert off[-1] == x["n_ids"] and off[-2] < 60 and len(off) == x["n_docs"] + 1
+
+
+def test_slices_of_a_file_that_is_not_mapped(tmp_path):
+    from pyarrow import fs
+
+    np.arange(1000, dtype="<u2").tofile(f"{tmp_path}/x")
+    for numbers in (tokens.Stored(fs.LocalFileSystem(), f"{tmp_path}/x", "<u2"), tokens._mapped(fs.LocalFileSystem(), f"{tmp_path}/x", "<u2")):
+        assert len(numbers) == 1000 and numbers[10:13].tolist() == [10, 11, 12] and numbers[998:1200].tolist() == [998, 999] and len(numbers[5:5]) == 0

@@ -3,9 +3,11 @@
 A dataset is a folder of shards.  A shard has three flat little-endian files:
 ``.ids`` (token ids, 16 bits wide if the vocabulary allows it, else 32),
 ``.off`` (64-bit offsets: document i has ids off[i] to off[i+1]) and ``.doc``
-(64-bit document ids; the first ``n_null`` documents have none).  A shard's
+(64-bit document ids; the first ``n_null`` documents have none).  A shard ends with the
+document that brings it to a number of ids, so none grows with the input.  A shard's
 place in the whole sequence of ids is the prefix sum over the shards before
-it.  All three are memory-mapped when read.
+it.  All three are memory-mapped when read; where the store
+cannot do that, each slice is read from its place in the file.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from upkeep.session import ensure_checkpoint_dir
 
 #: Word pieces whose ids a worker remembers; beyond that it starts afresh.
 REMEMBERED = 800_000
+#: Ids at which a shard ends; documents and ids that one batch of the reader holds, about.
+SHARD_IDS, READ_DOCS, READ_IDS = 1 << 26, 512, 1 << 22
 
 # The split of byte-level BPE into words, over the characters of _PLAIN
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -103,16 +107,17 @@ def _store(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, end_id: int = 0,
-                      id_column: str = "doc_id", text_column: str = "text", special: bool = True) -> list[dict]:
+                      id_column: str = "doc_id", text_column: str = "text", special: bool = True, shard_ids: int = SHARD_IDS) -> list[dict]:
     """Writes the ids of all texts, in ascending order of document id (null first), and returns the list of shards.
 
     folder: where all executors and the reader can write; by default a new
     one in ``spark.checkpoint.dir``.  Each text (null: empty) ends with
     ``end_id``; ``special`` as for ``Encoder``.  Rows with the same id stand together, by a hash of their
-    text; every row is written.  Without rows there are no shards.  Each shard is written under a
+    text; every row is written.  Without rows there are no shards.  A partition
+    starts a new shard after the document that brings one to ``shard_ids`` ids; a document is never split.  Each shard is written under a
     name of its own attempt and counts only if the task reports it, so a
     repeated task leaves no half-written shard in the list.  The list has one
-    entry for each partition and ``base``, the ids in the shards before it.
+    entry for each shard and ``base``, the ids in the shards before it.
     """
     spark = docs.sparkSession
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens/{uuid.uuid4().hex}"
@@ -123,40 +128,92 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
         encode, part = encoder(path, special), TaskContext.get().partitionId()
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
-        name = f"{base}/{part:06d}-{uuid.uuid4().hex}"
         kind = np.dtype("<u2" if max(encode.size, end_id + 1) <= 1 << 16 else "<u4")
         end = np.array([end_id], "<u4").tobytes()
-        n_docs = n_ids = n_null = 0
-        with store.open_output_stream(f"{name}.ids") as ids, store.open_output_stream(f"{name}.off") as off, store.open_output_stream(f"{name}.doc") as doc:
-            off.write(np.zeros(1, "<u8").tobytes())
+        shard, done = None, 0
+        try:
             for batch in batches:
-                ends = []
-                for text in texts_of(batch, "text"):
-                    got = np.frombuffer(encode(text) + end, "<u4").astype(kind)
-                    ids.write(got.tobytes())
-                    n_ids += len(got)
-                    ends.append(n_ids)
-                off.write(np.array(ends, "<u8").tobytes())
-                doc.write(np.array([x or 0 for x in batch.column("doc_id").to_pylist()], "<i8").tobytes())
-                n_docs += batch.num_rows
-                n_null += batch.column("doc_id").null_count
-        if n_docs:
-            values, kinds = (part, name, kind.itemsize, n_docs, n_null, n_ids), (pa.int32(), pa.string(), pa.int32(), *[pa.int64()] * 3)
-            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], ["shard", "name", "width", "n_docs", "n_null", "n_ids"])
-
-    schema = "shard int, name string, width int, n_docs long, n_null long, n_ids long"
-    shards = sorted((x.asDict() for x in rows.select("doc_id", "text").mapInArrow(write, schema).collect()), key=lambda x: x["shard"])
+                ids, texts = batch.column("doc_id").to_pylist(), texts_of(batch, "text")
+                for doc, text in zip(ids, texts, strict=True):
+                    shard = shard or _Shard(store, f"{base}/{part:06d}-{done:04d}-{uuid.uuid4().hex}", kind)
+                    shard.add(doc, encode(text) + end)
+                    if shard.n_ids >= shard_ids:
+                        yield shard.close(part, done)
+                        shard, done = None, done + 1
+                if shard:
+                    shard.flush()
+            if shard:
+                yield shard.close(part, done)
+        finally:
+            if shard:
+                shard.end()
+
+    shards = sorted((x.asDict() for x in rows.select("doc_id", "text").mapInArrow(write, SHARD).collect()), key=lambda x: (x["part"], x["shard"]))
     for x, base in zip(shards, accumulate([0, *(x["n_ids"] for x in shards)]), strict=False):
         x |= {"base": base, "folder": folder}
     return shards
 
 
-def _mapped(store: fs.FileSystem, path: str, kind: str) -> np.ndarray:
-    """The file's numbers: memory-mapped where the store is a file system, else read."""
+SHARD = "part int, shard int, name string, width int, n_docs long, n_null long, n_ids long"
+
+
+class _Shard:
+    """The three files of one shard, being written."""
+
+    def __init__(self, store: fs.FileSystem, name: str, kind: np.dtype) -> None:
+        self.name, self.kind = name, kind
+        self.files = [store.open_output_stream(f"{name}.{x}") for x in ("ids", "off", "doc")]
+        self.files[1].write(np.zeros(1, "<u8").tobytes())
+        self.n_docs = self.n_null = self.n_ids = 0
+        self.ends: list[int] = []
+        self.docs: list[int] = []
+
+    def add(self, doc: int | None, ids: bytes) -> None:
+        got = np.frombuffer(ids, "<u4").astype(self.kind)
+        self.files[0].write(got.tobytes())
+        self.n_ids += len(got)
+        self.ends.append(self.n_ids)
+        self.docs.append(doc or 0)
+        self.n_null += doc is None
+
+    def flush(self) -> None:
+        self.files[1].write(np.array(self.ends, "<u8").tobytes())
+        self.files[2].write(np.array(self.docs, "<i8").tobytes())
+        self.n_docs += len(self.docs)
+        self.ends, self.docs = [], []
+
+    def end(self) -> None:
+        for f in self.files:
+            f.close()
+
+    def close(self, part: int, number: int) -> pa.RecordBatch:
+        self.flush()
+        self.end()
+        values = (part, number, self.name, self.kind.itemsize, self.n_docs, self.n_null, self.n_ids)
+        kinds = (pa.int32(), pa.int32(), pa.string(), pa.int32(), *[pa.int64()] * 3)
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], [x.split()[0] for x in SHARD.split(", ")])
+
+
+class Stored:
+    """The numbers of a file in a store that cannot map it: each slice is one read at its place."""
+
+    def __init__(self, store: fs.FileSystem, path: str, kind: str) -> None:
+        self.file, self.kind = store.open_input_file(path), np.dtype(kind)
+        self.n = self.file.size() // self.kind.itemsize
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, at: slice) -> np.ndarray:
+        lo, hi, _ = at.indices(self.n)
+        return np.frombuffer(self.file.read_at(max(0, hi - lo) * self.kind.itemsize, lo * self.kind.itemsize), self.kind)
+
+
+def _mapped(store: fs.FileSystem, path: str, kind: str) -> np.ndarray | Stored:
+    """The file's numbers, of which slices can be taken: memory-mapped where the store is a file system."""
     if isinstance(store, fs.LocalFileSystem):
         return np.memmap(path, kind, "r") if os.path.getsize(path) else np.empty(0, kind)
-    with store.open_input_file(path) as f:
-        return np.frombuffer(f.read(), kind)
+    return Stored(store, path, kind)
 
 
 def read_token_files(spark: SparkSession, shards: list[dict]) -> DataFrame:
@@ -169,13 +226,18 @@ def read_token_files(spark: SparkSession, shards: list[dict]) -> DataFrame:
         for x in (x for b in batches for x in b.to_pylist()):
             store, _ = _store(x["folder"])
             ids, off, doc = (_mapped(store, f"{x['name']}.{k}", kind) for k, kind in (("ids", f"<u{x['width']}"), ("off", "<u8"), ("doc", "<i8")))
-            for lo in range(0, len(doc), 512):
-                hi = min(lo + 512, len(doc))
+            lo = 0
+            while lo < len(doc):
+                ends = off[lo:lo + READ_DOCS + 1].astype("<i8")
+                n = min(len(ends) - 1, max(1, int(np.searchsorted(ends, ends[0] + READ_IDS, "right")) - 1))
+                here = ids[int(ends[0]):int(ends[n])].astype("<u4")
+                at = (ends[:n + 1] - ends[0]).tolist()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([None if i < x["n_null"] else int(doc[i]) for i in range(lo, hi)], pa.int64()),
-                    pa.array([x["base"] + int(v) for v in off[lo:hi]], pa.int64()),
-                    pa.array([ids[int(off[i]):int(off[i + 1])].astype("<u4").tobytes() for i in range(lo, hi)], pa.binary()),
+                    pa.array([None if i < x["n_null"] else d for i, d in enumerate(doc[lo:lo + n].tolist(), lo)], pa.int64()),
+                    pa.array(ends[:n] + x["base"], pa.int64()),
+                    pa.array([here[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)], pa.binary()),
                 ], ["doc_id", "start", "ids"])
+                lo += n
 
     return listed.repartition(max(1, min(len(shards), 4 * partitions(spark)))).mapInArrow(read, schema)
 
