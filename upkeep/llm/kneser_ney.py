@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.common import materialize, small_or_shuffled
 from upkeep.llm.ngrams import KEY, SYMBOLS, context, counts, form, keyed, score, shorter, wanted
+from upkeep.operators.stats import exact_quantile
 
 #: Symbols of an n-gram; held-out trusted documents that a threshold lets pass, and the room above that.
 ORDER, KEPT_SHARE, ROOM = 4, 0.995, 1.05
@@ -116,19 +117,21 @@ def thresholds(scored: DataFrame, kept_share: float = KEPT_SHARE, room: float =
     quantile counts n times, and ``PRIOR`` times the centre plus the quantile of the
     distances from their centres over all languages plus ``ERRORS`` standard
     errors of the centre: few documents do not tell a quantile, but their level is always
-    that of their own language.
+    that of their own language.  Both quantiles are exact at every size.
     """
     x, n = F.log(F.col("perplexity") / allowance()), F.col("n")
-    quantile = lambda c: F.percentile_approx(c, F.lit(kept_share), F.lit(10_000))
-    logs = scored.where("trusted and perplexity is not null").select("lang", x.alias("x"))
-    by_lang = materialize(logs.groupBy(F.col("lang").alias("_lang")).agg(
-        F.count("*").alias("n"), F.avg("x").alias("centre"), F.var_pop("x").alias("var"), quantile(F.col("x")).alias("own")))
+    key = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))  # null is a language of its own
+    logs = materialize(scored.where("trusted and perplexity is not null").select("lang", key.alias("_key"), x.alias("x")))
+    by_lang = materialize(logs.groupBy("_key").agg(
+        F.first("lang").alias("_lang"), F.count("*").alias("n"), F.avg("x").alias("centre"), F.var_pop("x").alias("var"))
+        .join(exact_quantile(logs, ["_key"], "x", kept_share, "own"), "_key").drop("_key"))
     several = by_lang.where("n > 1")
     freedom = several.agg(F.sum(n * F.col("var")), F.sum(n - 1)).first()
     spread = max(freedom[0], 0.0) ** 0.5 / freedom[1] ** 0.5 if freedom[1] else SPREAD
     off = (F.col("x") - F.col("centre")) * F.sqrt(n / (n - 1))
-    tail = logs.join(small_or_shuffled(several), F.col("lang").eqNullSafe(F.col("_lang"))).agg(quantile(off)).first()[0]
-    tail = max(tail, 0.0) if tail is not None else 2.6 * spread
+    apart = logs.join(small_or_shuffled(several), F.col("lang").eqNullSafe(F.col("_lang"))).select(off.alias("off"))
+    tail = exact_quantile(apart, [], "off", kept_share, "tail").first()
+    tail = max(tail[0], 0.0) if tail else 2.6 * spread
     common = F.col("centre") + tail + ERRORS * spread / F.sqrt(n)
     return by_lang.select("_lang", (F.exp((n * F.col("own") + PRIOR * common) / (n + PRIOR)) * room).alias("threshold"))
 
