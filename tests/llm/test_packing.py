@@ -52,6 +52,17 @@ def test_many_shards(spark):
     assert max(fill.values()) <= 1024 and len(fill) <= least * 1.02 + 1
 
 
+def test_rounds_end_with_long_sequences_of_many_pieces(spark):
+    """Sequences that hold more pieces than a shard: rounds shrink and end, and nothing is lost."""
+    rows = [(i, 0, 0, 1 + i % 3, i) for i in range(900)]
+    got = packing.pack(spark.createDataFrame(rows, packing.PIECE), 500, shard_pieces=60).collect()
+    assert sorted((x["doc_id"], x["length"]) for x in got) == [(a[0], a[3]) for a in rows]
+    fill = {}
+    for x in got:
+        fill[x["sequence_id"]] = fill.get(x["sequence_id"], 0) + x["length"]
+    assert max(fill.values()) <= 500 and len(fill) <= sum(a[3] for a in rows) // 500 + 2
+
+
 def test_local_search_empties_bins():
     for seed in range(30):
         r = random.Random(seed)

@@ -24,8 +24,6 @@ from upkeep.llm.tokens import encoder, tokenizer_path
 #: Pieces that one shard holds, about: what one task keeps in memory.
 SHARD_PIECES = 50_000
 
-#: Emptiest sequences of a shard whose pieces are dealt again; a packed shard wastes less than these can hold.
-LEAVE = 16
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -232,22 +230,35 @@ def pack(items: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIECE
     its pieces evenly to shards by their place in a stored table, so repeated
     rows spread too.  The emptiest sequences of each shard are dealt again
     with those of the others, until one shard holds them all; every other
-    sequence is final.  No piece is dropped.  An empty table gives none.
+    sequence is final.  They are so many that what is free in the final ones is less than one
+    sequence over all shards, or as hold a third of a shard's pieces if that
+    is less, but at least one.  After a round that left more than two thirds of its pieces
+    (a sequence of more pieces than a third of a shard) shards are twice as large, so
+    the rounds end.  No piece is dropped.  An empty table gives none.
     """
     spark = items.sparkSession
     done, rest, level = [], materialize(items.select(*[c.split()[0] for c in PIECE.split(", ")])), 0
+    before = 0  # pieces of the round before
     while True:
         n = rest.count()
-        shards, last = max(1, -(-n // shard_pieces)), n <= shard_pieces or level >= 8
+        if before and 3 * n > 2 * before:
+            shard_pieces *= 2
+        shards, last = max(1, -(-n // shard_pieces)), n <= shard_pieces
         dealt = rest.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(level)), F.lit(shards)).cast("long"))
 
-        def run(batches: Iterator[pa.RecordBatch], level=level, last=last) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], level=level, last=last, shards=shards, shard_pieces=shard_pieces) -> Iterator[pa.RecordBatch]:
             shard, rows = None, []
 
             def packed() -> Iterator[pa.RecordBatch]:
                 out, bins = [], _pack(rows, capacity)
                 fills = [sum(rows[i][3] for i in b) for b in bins]
-                again = set() if last else {b for b in sorted(range(len(bins)), key=lambda b: (fills[b], b))[:LEAVE] if fills[b] < capacity}
+                again, room, free = set(), shard_pieces // 3, capacity * len(bins) - sum(fills)
+                for b in () if last else sorted(range(len(bins)), key=lambda b: (fills[b], b)):
+                    room -= len(bins[b])
+                    if (room < 0 and again) or free * shards < capacity:
+                        break
+                    again.add(b)
+                    free -= capacity - fills[b]
                 for b, members in enumerate(bins):
                     at, number, final = 0, (level << 58) + (shard << 32) + b, b not in again
                     for i in members:
@@ -274,7 +285,7 @@ def pack(items: DataFrame, capacity: int = 1024, shard_pieces: int = SHARD_PIECE
         done.append(out.where("final").drop("final"))
         if last:
             break
-        rest, level = materialize(out.where("not final").drop("final", "sequence_id", "offset")), level + 1
+        rest, level, before = materialize(out.where("not final").drop("final", "sequence_id", "offset")), level + 1, n
     result = done[0]
     for x in done[1:]:
         result = result.unionByName(x)
