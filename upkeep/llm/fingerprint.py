@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import in_order, materialize, texts_of
@@ -263,11 +263,10 @@ def edits(docs: DataFrame, counts: list[tuple[int, int]] | None = None) -> DataF
 
     done = materialize(rows.select("doc_id", "text").mapInArrow(run, f"{RESULT}, part int, edge int, text string"))
     heads, tails = done.where("edge = 1").select("part", F.col("text").alias("after")), done.where("edge = 2").select("part", "doc_id", "text")
-    # one number for each partition that has documents: which one follows which
-    order = sorted(r["part"] for r in heads.select("part").collect())
-    follows = dict(zip(order, [*order[1:], *order[:1]], strict=True))
-    following = F.create_map(*[F.lit(x) for kv in follows.items() for x in kv]) if follows else F.create_map().cast("map<int,int>")
-    open_ = tails.withColumn("next", following[F.col("part")]).join(heads.withColumnRenamed("part", "next"), "next").select("doc_id", "text", "after")
+    # one row for each partition that has documents: which one follows it, the first after the last
+    line = Window.orderBy("part")
+    follows = heads.select("part", F.coalesce(F.lead("part").over(line), F.first("part").over(line)).alias("next"))
+    open_ = tails.join(F.broadcast(follows), "part").join(heads.withColumnRenamed("part", "next"), "next").select("doc_id", "text", "after")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

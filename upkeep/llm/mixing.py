@@ -28,13 +28,12 @@ def ranked(df: DataFrame, column: str, name: str) -> DataFrame:
     them, so that no task sees all rows.
     """
     part = materialize(df.orderBy(F.col(column).asc_nulls_last()).withColumn("_part", F.spark_partition_id()))
-    before = part.groupBy("_part").agg(F.count("*").alias("_n")).collect()  # one row for each partition
-    base, sums = 0, {}
-    for row in sorted(before):
-        sums[row["_part"]], base = base, base + row["_n"]
-    base_of = F.create_map(*[F.lit(x) for kv in sums.items() for x in kv]) if sums else F.create_map().cast("map<int,int>")
+    # one row for each partition: what stands before it
+    sizes = part.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_base"))
     within = F.row_number().over(Window.partitionBy("_part").orderBy(F.col(column).asc_nulls_last()))
-    return part.withColumn(name, (within - 1 + base_of[F.col("_part")]).cast("long")).drop("_part")
+    placed = part.withColumn("_within", within).join(F.broadcast(before), "_part")
+    return placed.withColumn(name, (F.col("_within") - 1 + F.col("_base")).cast("long")).drop("_part", "_within", "_base")
 
 
 def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame:
