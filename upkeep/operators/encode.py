@@ -73,14 +73,22 @@ def fit_label_vocab(df: DataFrame, columns: list, partitions: int | None = None)
     return number_values(value_counts(df, columns), partitions)
 
 
+def by_feature(df: DataFrame, columns: list, *aggs: Column) -> DataFrame:
+    """``aggs`` over the column ``value`` of the numbers of each of ``columns``, one row per feature, also of an empty table.
+
+    Each row is turned into one (position, value) row a column.  Several aggregates of
+    each of dozens of columns side by side are too many fields for generated code, a few over one value column are not.
+    """
+    names = F.array(*[F.lit(c) for c in columns])
+    rows = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("_i", "value"))
+    stats = rows.groupBy("_i").agg(*aggs)
+    every = df.sparkSession.range(1).select(F.posexplode(names).alias("_i", "feature"))   # one row per column
+    return every.join(F.broadcast(stats), "_i", "left").drop("_i")
+
+
 def fit_scaler(df: DataFrame, columns: list) -> DataFrame:
     """Mean and population std per column (nulls ignored); zero std -> 1."""
-    aggs = []
-    for c in columns:
-        aggs += [F.avg(c).alias(f"m__{c}"), F.stddev_pop(c).alias(f"s__{c}")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', `m__{c}`, `s__{c}`" for c in columns)
-    long = wide.selectExpr(f"stack({len(columns)}, {stack}) AS (feature, mean, std)")
+    long = by_feature(df, columns, F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     return long.select("feature", "mean",
                        F.when((F.col("std") == 0) | F.col("std").isNull(), F.lit(1.0))
                        .otherwise(F.col("std")).alias("scale"))
@@ -174,13 +182,8 @@ def final_features(df: DataFrame, feature_cols: list, keep=()) -> DataFrame:
 
 def feature_statistics(df: DataFrame, feature_cols: list) -> DataFrame:
     """mean / sample std / min / max per feature as a long table."""
-    aggs = []
-    for c in feature_cols:
-        aggs += [F.avg(c).alias(f"a__{c}"), F.stddev_samp(c).alias(f"s__{c}"),
-                 F.min(c).cast("double").alias(f"n__{c}"), F.max(c).cast("double").alias(f"x__{c}")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', `a__{c}`, `s__{c}`, `n__{c}`, `x__{c}`" for c in feature_cols)
-    return wide.selectExpr(f"stack({len(feature_cols)}, {stack}) AS (feature, mean, std, min, max)")
+    return by_feature(df, feature_cols, F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+                      F.min("value").alias("min"), F.max("value").alias("max"))
 
 
 def save(enc: FittedEncoding, path: str) -> None:
