@@ -46,3 +46,55 @@ def test_median_reads_its_rows_once(spark, tmp_path):
     out = exact_median(spark.read.parquet(path), ["k"], "v")
     assert not any("rows" in f for f in out.inputFiles())   # the counts are stored, nothing reads the rows again
     assert {r["k"]: r["median"] for r in out.collect()} == {0: 50.0, 1: 50.0}
+
+
+def test_rounding_equals_the_decimal_one(spark):
+    from upkeep.functions.expressions import round_half_up
+
+    hard = [0.0, -0.0, 0.5, 1.5, -0.5, 2.5e-6, 0.0000005, -0.0000005, 1.0000005, 1234.5678905, -1e-9, 1e9 + 0.1234565, 1e17, -3e300, float("inf"), float("nan"), None]
+    hard += [(-1) ** i * (i * 7919 % 100003) / 2 ** (i % 40) for i in range(4000)] + [(2 * i + 1) / 2e6 for i in range(2000)] + [i / 10 for i in range(200)]
+    df = spark.createDataFrame([(x,) for x in hard], "x double")
+    for digits in (0, 4, 6):
+        same = df.select(round_half_up(F.col("x"), digits).alias("a"), F.round("x", digits).alias("b")).filter(~F.col("a").cast("string").eqNullSafe(F.col("b").cast("string")))
+        assert same.collect() == []
+
+
+def test_split_shuffles_no_rows(spark, joins_shuffle):
+    from upkeep.operators import evaluate as EV
+
+    df = spark.range(3000).select("id", (F.col("id") % 3 == 0).alias("label"), F.md5(F.col("id").cast("string")).alias("wide"))
+    out = EV.stratified_split(df, F.col("id"))
+    assert not any("Exchange hashpartitioning" in line for line in plan_lines(out))
+    ranks = [(r.label, r.is_test) for r in out.collect()]
+    assert ranks.count((True, True)) == 200 and ranks.count((False, True)) == 400
+
+
+def test_split_counts_hold_when_rows_share_their_identity(spark):
+    from upkeep.operators import evaluate as EV
+
+    df = spark.range(1000).select((F.col("id") % 2).alias("label"), (F.col("id") % 5).alias("same")).unionByName(
+        spark.range(7).select(F.lit(None).cast("long").alias("label"), F.col("id").alias("same")))
+    for row_id in (F.lit("x"), F.col("same"), F.lit(None).cast("string")):
+        out = EV.stratified_split(df, row_id).groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_test").alias("t")).collect()
+        assert {r.label: (r.n, r.t) for r in out} == {0: (500, 100), 1: (500, 100)}
+
+
+def test_cleaning_shuffles_whole_rows_only_where_needed(spark, joins_shuffle):
+    from upkeep.operators import quality as Q
+
+    df = records_from_tables(spark, SF, dirty=True)
+    tie = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    stored = Q.clean(df, as_of="2001-12-01", tie=tie)
+    plain = Q.clean(df, as_of="2001-12-01", tie=tie, checkpoint=False)
+    assert not any("Exchange hashpartitioning" in line for line in plan_lines(stored.finished))
+    columns = sorted(stored.finished.columns)
+    assert sorted(map(str, stored.finished.select(columns).collect())) == sorted(map(str, plain.finished.select(columns).collect()))
+
+
+def test_duplicates_found_by_hash_equal_those_of_the_whole_rows(spark):
+    from upkeep.operators import quality as Q
+
+    rows = spark.range(200).select((F.col("id") % 40).alias("building_id"), F.when(F.col("id") % 3 != 0, F.lit("a")).alias("asset_type"), "id")
+    key = ["building_id", "asset_type"]
+    a, b = (f(rows, key=key, tie=["id"], copies="n").select("building_id", "asset_type", "id", "n") for f in (Q.drop_stored_duplicates, Q.drop_duplicates_first))
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
