@@ -98,3 +98,18 @@ def test_duplicates_found_by_hash_equal_those_of_the_whole_rows(spark):
     key = ["building_id", "asset_type"]
     a, b = (f(rows, key=key, tie=["id"], copies="n").select("building_id", "asset_type", "id", "n") for f in (Q.drop_stored_duplicates, Q.drop_duplicates_first))
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_short_vocabularies_need_no_join(spark):
+    from upkeep.operators import encode as EN
+
+    rows = spark.createDataFrame([(f"c{i % 30}" if i % 7 else None, f"s{i % 3}") for i in range(90)], "city string, maintenance_season string")
+    enc = EN.fit(rows, categorical=["city"], engineered=["maintenance_season"])
+    assert enc.label_columns == ["city", "maintenance_season"]
+    new = rows.unionByName(spark.createDataFrame([("unseen", None)], rows.schema))
+    out = EN.apply_encoding(new, enc)
+    assert not any("Join" in line for line in plan_lines(out))
+    enc.vocab_sizes = {}   # unknown sizes: by joins
+    joined = EN.apply_encoding(new, enc)
+    assert out.columns == joined.columns
+    assert sorted(map(str, out.collect())) == sorted(map(str, joined.collect()))
