@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from upkeep import schema as S
 from upkeep.operators.quality import drop_duplicates_first
 from upkeep.sources import extract as EX
 from upkeep.sources import history as H
@@ -81,3 +82,23 @@ def test_shapes_are_read_in_one_scan_and_bad_documents_are_counted(spark):
     assert RD.read_json(spark, pretty).count() == 5
     row = RD.read_json(spark, pretty).first()
     assert row["maintenance_cost"] == 10.0 and row["failure_reported"] is False and row["building_floors"] == 1
+
+
+def test_exact_ingest_writes_rows_a_bounded_number_of_times(spark, monkeypatch):
+    """Batches of new rows and repeats of old ones: merges by growth, each key once, a batch run again changes nothing, and the rows written follow the rows landed."""
+    monkeypatch.setattr(LA, "MERGE_VERSIONS", 3)
+    table = tempfile.mkdtemp(prefix="upkeep-many-", dir="/tmp") + "/t"
+    schema = S.RECORD_SCHEMA
+
+    def batch(k):
+        rows = [(b, "r", "lift", "preventive", datetime(2024, 1, 1), False, 0, float(k), 1, 30, "c", "k", 10.0, 1) for b in (*range(5 * k, 5 * k + 5), 0)]
+        return spark.createDataFrame(rows, schema)
+
+    for k in range(20):
+        LA.merge_batch(batch(k), k, table, buckets=2)
+    LA.merge_batch(batch(19), 19, table, buckets=2)
+    got = sorted((r["building_id"], r["maintenance_cost"]) for r in LA.read_ingested(spark, table).collect())
+    assert got == [(b, float(b // 5)) for b in range(100)]
+    written = sum(spark.read.parquet(f"{table}/{kind}").count() for kind in ("data", "merged"))
+    assert 120 < written <= 2 * 120
+    assert LA.read_ingested(spark, table, before=7).count() == 35

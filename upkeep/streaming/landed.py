@@ -7,8 +7,9 @@ passing), and every row that passes is appended to a Parquet table that the
 batch chain reads.  Exports may arrive late and in any order, so the stream keeps
 no watermark and drops no row for its date: duplicate keys, the date
 range, group-level fills and features belong to the batch chain, where
-whole histories are available.  ``start_exact_ingest`` removes duplicate keys too, by
-merging each micro-batch into the buckets of buildings that it touches.
+whole histories are available.  ``start_exact_ingest`` removes duplicate keys too: micro-batches are
+added as versions, which are merged on reading and, once they are many and
+long beside the merged part, in the table.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from upkeep import schema as S
 from upkeep.operators.quality import (coerce_types, drop_duplicates_first, drop_invalid_types, drop_missing_essentials,
                                       drop_rule_violations, ensure_required_columns)
-from upkeep.session import ensure_checkpoint_dir, materialize
+from upkeep.session import ensure_checkpoint_dir
 
 
 def landed_records(spark: SparkSession, landing: str, max_files_per_trigger: int = 100) -> DataFrame:
@@ -56,33 +57,63 @@ def start_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint:
 
 # ------------------------------------------------------------ exact ingest
 BUCKETS = 64
+#: Versions are merged once there are so many and they hold so many times the rows of the last merge: every row is then
+#: merged a bounded number of times on average, however many batches there are.
+MERGE_VERSIONS, MERGE_GROWTH = 16, 4
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def _stored(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame | None:
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.parquet(path)
+        return (spark.read.option("basePath", base) if base else spark.read).parquet(*paths)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in (error.getCondition() or "") or "UNABLE_TO_INFER_SCHEMA" in (error.getCondition() or ""):
             return None
         raise
 
 
-def read_ingested(spark: SparkSession, table_path: str, before: int | None = None) -> DataFrame | None:
-    """The exact table: of each bucket the last version that a finished batch wrote (of batches below ``before``); None if there is none yet."""
+def _listed(spark: SparkSession, table_path: str, before: int | None = None) -> list:
+    """(version, rows, merged) of the finished batches (below ``before``) that make up the table: the last merge, if any, and what came after it."""
     done = _stored(spark, f"{table_path}/done")
     if done is None:
-        return None
+        return []
     if before is not None:
         done = done.where(F.col("version") < before)
-    latest = done.groupBy("bucket").agg(F.max("version").alias("version"))   # one row per bucket
-    data = _stored(spark, f"{table_path}/data")
-    return None if data is None else data.join(F.broadcast(latest), ["bucket", "version"], "left_semi")
+    last = done.where("merged").agg(F.max("version")).first()[0]
+    since = done if last is None else done.where((F.col("version") == last) & F.col("merged") | (F.col("version") > last))
+    return since.orderBy("version").collect()   # one row per batch since the last merge
+
+
+def _read_versions(spark: SparkSession, table_path: str, listed: list) -> DataFrame:
+    """All rows of the versions; duplicates of one key may lie in several."""
+    parts = [(kind, [f"{table_path}/{kind}/version={r['version']}" for r in listed if r["merged"] == (kind == "merged")]) for kind in ("merged", "data")]
+    frames = [_stored(spark, *paths, base=f"{table_path}/{kind}").drop("version") for kind, paths in parts if paths]
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def read_ingested(spark: SparkSession, table_path: str, before: int | None = None, tie=None) -> DataFrame | None:
+    """The exact table of the finished batches (of those below ``before``), each key once (W9); None if there is none yet.
+
+    ``tie`` is that of the ingest; building_id's ``bucket`` prunes a lookup.
+    """
+    listed = _listed(spark, table_path, before)
+    if not listed:
+        return None
+    rows = _read_versions(spark, table_path, listed)
+    return rows if all(r["merged"] for r in listed) else drop_duplicates_first(rows, key=["bucket", *S.DUPLICATE_KEY], tie=tie)
+
+
+def _write_version(rows: DataFrame, table_path: str, kind: str, batch_id: int) -> int:
+    """Stores ``rows`` as the batch's version, in place of what an earlier run of it left; their number."""
+    path = f"{table_path}/{kind}/version={batch_id}"
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path)
+    stored = _stored(rows.sparkSession, path)
+    return 0 if stored is None else stored.count()
 
 
 def merge_batch(batch: DataFrame, batch_id: int, table_path: str, buckets: int = BUCKETS, tie=None) -> None:
-    """Merges one batch: rows of the buckets that it touches, old and new, without duplicates (W9), become these buckets' next version.
+    """Adds one batch as a version in buckets of buildings; merges all versions, without duplicates (W9), when they have outgrown the last merge.
 
     Versions are named by batch, older ones are not touched, and a version
     counts once the batch is listed as done.  So a batch that runs again after
@@ -90,16 +121,17 @@ def merge_batch(batch: DataFrame, batch_id: int, table_path: str, buckets: int =
     the rows of one key (by default all other columns), so the row that stays does not depend on the order of arrival.
     """
     spark = batch.sparkSession
-    new = materialize(batch.withColumn("bucket", F.pmod(F.xxhash64("building_id"), F.lit(buckets)).cast("int")))
-    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]   # at most ``buckets`` numbers
-    if not touched:
+    rows, merged = _write_version(batch.withColumn("bucket", F.pmod(F.xxhash64("building_id"), F.lit(buckets)).cast("int")), table_path, "data", batch_id), False
+    if not rows:
         return
-    old = read_ingested(spark, table_path, before=batch_id)
-    rows = new if old is None else new.unionByName(old.where(F.col("bucket").isin(touched)).select(*new.columns))
-    merged = drop_duplicates_first(rows, tie=tie).withColumn("version", F.lit(batch_id).cast("long"))
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(f"{table_path}/data")
-    listed = spark.createDataFrame([(b,) for b in touched], "bucket int").withColumn("version", F.lit(batch_id).cast("long"))
-    listed.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(f"{table_path}/done")
+    own = spark.createDataFrame([(batch_id, rows, False)], "version long, rows long, merged boolean")
+    listed = _listed(spark, table_path, before=batch_id) + own.collect()
+    late = [r["rows"] for r in listed if not r["merged"]]
+    if len(late) >= MERGE_VERSIONS and sum(late) >= MERGE_GROWTH * sum(r["rows"] for r in listed if r["merged"]):
+        whole = drop_duplicates_first(_read_versions(spark, table_path, listed), key=["bucket", *S.DUPLICATE_KEY], tie=tie)
+        rows, merged = _write_version(whole, table_path, "merged", batch_id), True
+    done = spark.createDataFrame([(rows, merged)], "rows long, merged boolean")
+    done.coalesce(1).write.mode("overwrite").parquet(f"{table_path}/done/version={batch_id}")
 
 
 def start_exact_ingest(spark: SparkSession, landing: str, table_path: str, checkpoint: str | None = None,
@@ -107,8 +139,8 @@ def start_exact_ingest(spark: SparkSession, landing: str, table_path: str, check
     """S7 with W9: validated records of landed files, each key once, whatever files repeat; returns the StreamingQuery.
 
     Runs ``merge_batch`` on every micro-batch and needs no watermark: keys are
-    compared with the stored table, not with a window of state.  A batch
-    rewrites the buckets that it touches, so ``buckets`` should grow with the table.
+    compared with the stored table, not with a window of state.  A batch adds its own rows;
+    the table is rewritten only when it has grown ``MERGE_GROWTH`` fold.
     """
     import hashlib
 
