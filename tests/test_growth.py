@@ -113,3 +113,18 @@ def test_short_vocabularies_need_no_join(spark):
     joined = EN.apply_encoding(new, enc)
     assert out.columns == joined.columns
     assert sorted(map(str, out.collect())) == sorted(map(str, joined.collect()))
+
+
+def test_export_documents_hold_a_bounded_number_of_records(spark):
+    """Documents of up to 500 records, every record in one, the distinct members of each document collected as rows are grouped and not compared in pairs afterwards."""
+    import json
+
+    from upkeep.plans import catalog as C
+
+    records = spark.range(1201).select((F.col("id") % 7).alias("building_id"), F.col("id").cast("string").alias("city"))
+    docs = C._as_documents(records, [F.array(F.to_json(F.struct("records", "buildings")))], {"buildings": F.struct("building_id")})
+    read = [json.loads(r["value"]) for r in docs.collect()]
+    assert max(len(d["records"]) for d in read) <= 500
+    assert sorted(int(r["city"]) for d in read for r in d["records"]) == list(range(1201))
+    for d in read:
+        assert sorted(b["building_id"] for b in d["buildings"]) == sorted({r["building_id"] for r in d["records"]})
