@@ -128,3 +128,15 @@ def test_export_documents_hold_a_bounded_number_of_records(spark):
     assert sorted(int(r["city"]) for d in read for r in d["records"]) == list(range(1201))
     for d in read:
         assert sorted(b["building_id"] for b in d["buildings"]) == sorted({r["building_id"] for r in d["records"]})
+
+
+def test_scores_do_not_store_all_features(spark, monkeypatch):
+    """The scored set takes the features it needs as they are made; the stored table of all of them is not written for it."""
+    from upkeep.plans import catalog as C
+
+    monkeypatch.setattr(C, "_STAGES", {})
+    stored = []
+    write = C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, *a: stored.append(df.columns) or write(df, *a))
+    assert C.q_eval_metrics(spark, SF).first()["tp"] > 0
+    assert len(stored) == 1 and "cumulative_maintenance_cost" not in stored[0]
