@@ -140,3 +140,13 @@ def test_scores_do_not_store_all_features(spark, monkeypatch):
     monkeypatch.setattr(C, "materialize", lambda df, *a: stored.append(df.columns) or write(df, *a))
     assert C.q_eval_metrics(spark, SF).first()["tp"] > 0
     assert len(stored) == 1 and "cumulative_maintenance_cost" not in stored[0]
+
+
+def test_stored_tables_are_compressed_and_leave_the_session_as_it_was(spark):
+    from upkeep.session import WIDE, materialize
+
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    wide = materialize(spark.range(10).select(*[(F.col("id") + k).alias(f"c{k}") for k in range(WIDE)]))
+    assert all(".zstd." in f for f in wide.inputFiles())
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+    assert sorted(r["c1"] for r in wide.collect()) == list(range(1, 11))
