@@ -150,3 +150,17 @@ def test_stored_tables_are_compressed_and_leave_the_session_as_it_was(spark):
     assert all(".zstd." in f for f in wide.inputFiles())
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
     assert sorted(r["c1"] for r in wide.collect()) == list(range(1, 11))
+
+
+def test_tuning_fits_each_point_and_fold_once(spark, monkeypatch):
+    """No model is fitted beyond those of the folds and the chosen one, and no fit assembles the columns again."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from upkeep.operators import models as MD
+
+    fits, fit = [], RandomForestClassifier._fit
+    monkeypatch.setattr(RandomForestClassifier, "_fit", lambda self, df: fits.append(df.columns) or fit(self, df))
+    df = spark.range(200).select("id", (F.col("id") % 3 == 0).cast("double").alias("label"), (F.col("id") % 7).cast("double").alias("x"), F.rand(3).alias("y"))
+    tuned = MD.tune(df, ["x", "y"], F.col("id"), names=("random_forest",), points=2, trees=(2,), tune_folds=2, cv_folds=3)
+    assert len(fits) == 2 * 2 + 3 + 1 and not any("x" in columns for columns in fits)
+    assert tuned.model.transform(df).count() == 200
