@@ -26,7 +26,7 @@ SYMBOLS = 1 << BITS
 KEY, LOW = ["head", "gram"], 3  # columns of an n-gram; symbols in the second
 
 #: Text of a block and of one slice of it, about.
-BLOCK_BYTES, PIECE_BYTES = 64 << 20, 2 << 20
+BLOCK_BYTES, PIECE_BYTES = 64 << 20, 512 << 10
 
 
 Keys = tuple[np.ndarray, np.ndarray]  # head and gram
