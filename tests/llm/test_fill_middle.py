@@ -98,3 +98,22 @@ def test_ambiguous_marks_are_refused(spark, make_docs):
     docs = make_docs([(k, prose(k, 50) + "<P>") for k in range(30)])
     got = fim.digests(fim.transform(fim.frame(docs, marks=other), marks=other), marks=other).collect()
     assert all(r["restored_sha256"] == sha(prose(r["doc_id"], 50) + "<P>") for r in got) and {r["form"] for r in got} > {"psm"}
+
+
+def test_workers_get_small_batches(spark, make_docs):
+    """What a worker of any step receives at once; a batch may pass the limit by its last row."""
+    import random
+
+    import pyarrow as pa
+
+    def sizes(batches):
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.num_rows]), pa.array([x.nbytes])], ["n", "size"])
+
+    r = random.Random(11)
+    docs = make_docs([(k, "".join(chr(r.randrange(0x4E00, 0x9000)) for _ in range(3000))) for k in range(900)]).select("doc_id", "text").coalesce(1)
+    framed = fim.frame(docs)
+    for step, given in (("frame", docs), ("transform", framed), ("digests", fim.transform(framed))):
+        got = given.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(x["n"] for x in got) == 900 and sum(x["size"] for x in got) > 4 << 20, step
+        assert max(x["size"] for x in got) < fim.BATCH_BYTES + (256 << 10), step

@@ -26,6 +26,15 @@ from upkeep.llm.common import texts_of
 
 MARKS = ("<P>", "<S>", "<M>")
 
+#: Most bytes of an Arrow batch here (a longer row makes one of its own): each worker holds it as Arrow, as Python objects and as frames.
+BATCH_BYTES = 1 << 20
+
+
+def _in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session now sends a Python worker ``BATCH_BYTES`` at a time."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
 
 def checked_marks(marks: tuple[str, str, str]) -> tuple[str, str, str]:
     """The marks of prefix, suffix and middle, if their places in an output are unambiguous for every text without them."""
@@ -50,7 +59,7 @@ def frame(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                 ["doc_id", "n", "marked", "frames", "ends"])
 
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, marked boolean, frames array<binary>, ends array<bigint>")
+    return _in_small_batches(rows).mapInArrow(run, "doc_id long, n long, marked boolean, frames array<binary>, ends array<bigint>")
 
 
 def draw(key: Column, number: int, seed: int) -> Column:
@@ -93,7 +102,7 @@ def transform(framed: DataFrame, seed: int = 1, moved: int = 90, spm: int = 20,
                 [*(batch.column(c) for c in ("doc_id", "n", "form", "cut", "until")), pa.array(outputs, pa.list_(pa.binary())), pa.array(ends_of, pa.list_(pa.int64()))],
                 ["doc_id", "n", "form", "cut", "until", "output", "output_ends"])
 
-    return chosen.mapInArrow(run, "doc_id long, n long, form string, cut long, until long, output array<binary>, output_ends array<bigint>")
+    return _in_small_batches(chosen).mapInArrow(run, "doc_id long, n long, form string, cut long, until long, output array<binary>, output_ends array<bigint>")
 
 
 def restored(frames: list[bytes], form: str, marks: tuple[str, str, str] = MARKS) -> Iterator[bytes]:
@@ -128,7 +137,7 @@ def digests(transformed: DataFrame, marks: tuple[str, str, str] = MARKS) -> Data
                  pa.array([_sha256(restored(x, f, marks)) for x, f in zip(outputs, forms, strict=True)], pa.string())],
                 ["doc_id", "n", "form", "cut", "until", "output_sha256", "restored_sha256"])
 
-    return transformed.mapInArrow(run, "doc_id long, n long, form string, cut long, until long, output_sha256 string, restored_sha256 string")
+    return _in_small_batches(transformed).mapInArrow(run, "doc_id long, n long, form string, cut long, until long, output_sha256 string, restored_sha256 string")
 
 
 def output_texts(transformed: DataFrame) -> DataFrame:
@@ -138,4 +147,4 @@ def output_texts(transformed: DataFrame) -> DataFrame:
             texts = [b"".join(fr.stream(x)).decode() for x in batch.column("output").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("form"), pa.array(texts, pa.string())], ["doc_id", "form", "output"])
 
-    return transformed.select("doc_id", "form", "output").mapInArrow(run, "doc_id long, form string, output string")
+    return _in_small_batches(transformed.select("doc_id", "form", "output")).mapInArrow(run, "doc_id long, form string, output string")
