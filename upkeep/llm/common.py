@@ -21,6 +21,9 @@ BATCH_BYTES, BATCH_ROWS = 16 << 20, 2000
 #: Most rows of a side that is broadcast after it was counted; with more rows the join shuffles both sides.
 BROADCAST_ROWS = 1_000_000
 
+#: Options of a reader that reads one range after another: vectored reads hold more buffers outside the heap.
+PLAIN_READS = {"parquet.hadoop.vectored.io.enabled": "false"}
+
 
 def prepare(spark: SparkSession) -> None:
     """Session settings for the Python stages: bounded Arrow batches, and workers that find this package."""
@@ -33,10 +36,10 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, through Spark's reader (the path may be in any store)."""
+def table(spark: SparkSession, sf_dir: str, name: str, **options: str) -> DataFrame:
+    """One of the given tables, through Spark's reader with ``options`` (the path may be in any store)."""
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.options(**options).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def partitions(spark: SparkSession) -> int:

@@ -27,7 +27,7 @@ from upkeep.llm.common import texts_of
 MARKS = ("<P>", "<S>", "<M>")
 
 #: Most bytes of an Arrow batch here (a longer row makes one of its own): each worker holds it as Arrow, as Python objects and as frames.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 256 << 10
 
 
 def _in_small_batches(df: DataFrame) -> DataFrame:

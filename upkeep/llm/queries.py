@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.llm import chat, fill_middle, fingerprint, graph_index, hard_negatives, jaccard, kneser_ney, mixing, packing, pii, secretscan, tokens, url_filter
-from upkeep.llm.common import materialize, table
+from upkeep.llm.common import PLAIN_READS, materialize, table
 
 
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    framed = materialize(fill_middle.frame(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    framed = materialize(fill_middle.frame(table(spark, sf_dir, "documents", **PLAIN_READS).select("doc_id", "text")), **PLAIN_READS)
     done = fill_middle.digests(fill_middle.transform(framed, seed=1, moved=90, spm=20))
     return done.select("doc_id", "n", "form", F.col("cut").alias("prefix_chars"), (F.col("until") - F.col("cut")).alias("middle_chars"), "output_sha256", "restored_sha256")
 
