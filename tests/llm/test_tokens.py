@@ -77,3 +77,38 @@ def test_slices_of_a_file_that_is_not_mapped(tmp_path):
     np.arange(1000, dtype="<u2").tofile(f"{tmp_path}/x")
     for numbers in (tokens.Stored(fs.LocalFileSystem(), f"{tmp_path}/x", "<u2"), tokens._mapped(fs.LocalFileSystem(), f"{tmp_path}/x", "<u2")):
         assert len(numbers) == 1000 and numbers[10:13].tolist() == [10, 11, 12] and numbers[998:1200].tolist() == [998, 999] and len(numbers[5:5]) == 0
+
+
+ALPHABET = "ab '’éA1 \n\t\rsdmtlvre×÷ɏ…€«–½中\x1c\x0b!_-"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(alphabet=ALPHABET, max_size=20), max_size=6))
+def test_texts_that_share_a_slice_have_the_ids_of_each_alone(texts):
+    got = [np.frombuffer(x, "<u4").tolist() for x in ENCODER.each(texts)]
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_words_of_many_texts_are_looked_up_together():
+    """One call of the library for all new words of a slice, each once; none for known words."""
+    encoder, calls = tokens.Encoder(tokens.tokenizer_path()), []
+    whole = encoder.whole
+    encoder.whole = lambda texts: calls.append(texts) or whole(texts)
+    texts = [f"stone {k} river {k % 7}" for k in range(500)]
+    first = list(encoder.each(texts))
+    assert len(calls) == 1 and len(set(calls[0])) == len(calls[0]) == 502
+    assert list(encoder.each(texts)) == first and len(calls) == 1
+
+
+def test_few_words_are_remembered(monkeypatch):
+    """Beyond the bound only the words of the slice at hand stay; the ids are the same."""
+    texts = [f"{k} stone w{k} w{k + 1}, w{k}!" for k in range(300)]
+    want = list(tokens.Encoder(tokens.tokenizer_path()).each(texts))
+    monkeypatch.setattr(tokens, "REMEMBERED", 500)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 100)
+    monkeypatch.setattr(tokens, "CALL_WORDS", 3)
+    encoder = tokens.Encoder(tokens.tokenizer_path())
+    for text, ids in zip(texts, want, strict=True):
+        assert list(encoder.each([text, "", text])) == [ids, b"", ids]
+        assert len(encoder.words) == len(encoder.ids) < 100
+    assert list(encoder.each(texts)) == want

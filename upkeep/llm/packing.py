@@ -43,8 +43,8 @@ def pieces(docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None,
         encode, end = encoder(path, special), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch, "text"), strict=True):
-                ids = encode(text) + end
+            for doc, coded in zip(batch.column("doc_id").to_pylist(), encode.each(texts_of(batch, "text")), strict=True):
+                ids = coded + end
                 n = len(ids) // 4
                 first = n if n <= capacity else n % capacity or capacity
                 bounds = [0, *range(first, n + 1, capacity)]

@@ -17,10 +17,11 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -28,17 +29,58 @@ from pyspark.sql import DataFrame, SparkSession
 from upkeep.llm.common import in_order, partitions, texts_of
 from upkeep.session import ensure_checkpoint_dir
 
-#: Word pieces whose ids a worker remembers; beyond that it starts afresh.
-REMEMBERED = 800_000
+#: Bytes of the words and ids that a worker remembers, about; beyond that it keeps those of the slice at hand.
+REMEMBERED = 32 << 20
+#: Bytes of text that are split into words at once, about; new words that one call of the library gets.
+SLICE_BYTES, CALL_WORDS = 4 << 20, 4096
 #: Ids at which a shard ends; documents and ids that one batch of the reader holds, about.
 SHARD_IDS, READ_DOCS, READ_IDS = 1 << 26, 512, 1 << 22
 
-# The split of byte-level BPE into words, over the characters of _PLAIN
-_LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-_SPACE = "\t-\r "
+# The characters of which ``word_starts`` knows the kind, and the kinds by (first) byte in UTF-8
 _PLAIN = re.compile("[\x00-\x7fÀ-ɏ«»–—‘-„…€]*")
-_WORDS = re.compile(
-    rf"'(?:[sdmt]|ll|ve|re)| ?[{_LETTER}]+| ?[0-9]+| ?[^{_SPACE}{_LETTER}0-9]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_OTHER, _LETTER, _DIGIT, _BLANK, _BREAK = range(5)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC3, 0xCA)]] = _LETTER
+_KIND[0x30:0x3A], _KIND[0x20], _KIND[0x09:0x0E] = _DIGIT, _BLANK, _BREAK
+
+
+def word_starts(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the words of byte-level BPE start, as an expression of the library's kind finds them:
+
+    ``'(?:[sdmt]|ll|ve|re)| ?[letters]+| ?[digits]+| ?[others]+|[white]+(?![^white])|[white]+``.
+
+    data: bytes of texts of ``_PLAIN`` characters, one after the other; begins: where each of them begins.
+    """
+    n = len(data)
+    kind = _KIND[data]
+    high = np.flatnonzero(data >= 0x80)
+    signs = high[data[high] == 0xC3]
+    kind[signs[np.isin(data[signs + 1], (0x97, 0xB7))]] = _OTHER  # × and ÷
+    later = high[data[high] < 0xC0]
+    for _ in range(2):  # characters have up to three bytes
+        kind[later] = kind[later - 1]
+    first = np.ones(n + 3, bool)
+    first[:n] = False
+    first[begins] = True
+    white = kind >= _BLANK
+    starts = first.copy()
+    if n:
+        starts[1:n] = (kind[1:] != kind[:-1]) & (kind[:-1] != _BLANK)
+    # the last of several white characters stands apart if a word follows
+    inner = np.flatnonzero(white[1:] & white[:-1]) + 1
+    starts[inner] = ~first[inner + 1] & ~white[np.minimum(inner + 1, n - 1)]
+    starts |= first
+    # 's and its like, where the apostrophe starts a word
+    ahead = np.append(data, np.zeros(2, np.uint8))
+    at = np.flatnonzero((data == 0x27) & starts[:n])
+    at = at[~first[at + 1]]
+    one = at[np.isin(ahead[at + 1], list(b"sdmt"))]
+    pair = ahead[at + 1].astype("<u2") * 256 + ahead[at + 2]
+    two = at[np.isin(pair, [a * 256 + b for a, b in (b"ll", b"ve", b"re")]) & ~first[at + 2]]
+    for short, size in ((one, 2), (two, 3)):
+        starts[short + 1] = False
+        starts[short + size] = True
+    return np.flatnonzero(starts[:n])
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -47,11 +89,17 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _binary(ends: np.ndarray, data: np.ndarray) -> pa.LargeBinaryArray:
+    """Bytes ends[i] to ends[i+1] of ``data``, without a copy."""
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
 class Encoder:
     """Ids of texts by the tokenizers library.
 
     Byte-level BPE works on one word at a time, so each distinct word goes to
-    the library once and its ids are remembered.  Texts with characters whose
+    the library once and its ids are remembered.  Slices of many texts are split and
+    their words looked up together, as Arrow arrays.  Texts with characters whose
     class may differ between Unicode versions go to the library whole, as do
     texts that spell a special token: with ``special`` that is this token, as by
     the library's default, else plain text.
@@ -71,21 +119,62 @@ class Encoder:
                         and not split.get("add_prefix_space") and split.get("use_regex", True)
                         and kind["model"]["type"] == "BPE")
         self.special = [x["content"] for x in kind.get("added_tokens", ())]
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        self.words = self.ids = pa.array([], pa.large_binary())
+
+    def whole(self, texts: list[str]) -> pa.LargeBinaryArray:
+        """Of each text, from one call of the library."""
+        ids = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        ends = np.fromiter(accumulate(map(len, ids), initial=0), "<i8", len(ids) + 1)
+        return _binary(4 * ends, np.fromiter(chain.from_iterable(ids), "<u4", ends[-1]))
+
+    def _of_words(self, words: pa.LargeBinaryArray) -> pa.LargeBinaryArray:
+        """Of distinct words: the known ones are looked up among these, whose table is the smaller one."""
+        found = pa.compute.index_in(self.words, value_set=words)
+        at = np.full(len(words), -1)
+        at[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        if len(new := words.filter(pa.array(at < 0))):
+            if self.words.nbytes + self.ids.nbytes > REMEMBERED:
+                kept = pa.array(at[at >= 0])
+                self.words, self.ids = self.words.take(kept), self.ids.take(kept)
+                at[at >= 0] = np.arange(len(kept))
+            at[at < 0] = np.arange(len(self.words), len(self.words) + len(new))
+            calls = (new.slice(k, CALL_WORDS).cast(pa.large_string()).to_pylist() for k in range(0, len(new), CALL_WORDS))
+            self.ids = pa.concat_arrays([self.ids, *map(self.whole, calls)])
+            self.words = pa.concat_arrays([self.words, new])
+        return self.ids.take(pa.array(at))
+
+    def _of_plain(self, texts: list[bytes]) -> Iterator[bytes]:
+        begins = np.fromiter(accumulate(map(len, texts), initial=0), "<i8", len(texts) + 1)
+        if not begins[-1]:
+            return iter(texts)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        starts = word_starts(data, begins)
+        words = _binary(np.append(starts, len(data)), data).dictionary_encode()
+        ids = self._of_words(words.dictionary).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i8")[:len(ids) + 1]
+        at = ends[np.searchsorted(starts, begins)].tolist()
+        held = memoryview(ids.buffers()[2] or b"")
+        return (bytes(held[a:b]) for a, b in zip(at, at[1:], strict=False))
+
+    def each(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        here: list[bytes | str] = []
+        size = 0
+        for text in texts:
+            plain = self.by_word and (text.isascii() or _PLAIN.fullmatch(text)) and not any(x in text for x in self.special)
+            here.append(text.encode() if plain else text)
+            size += len(here[-1])
+            if size >= SLICE_BYTES:
+                yield from self._of_slice(here)
+                here, size = [], 0
+        yield from self._of_slice(here)
+
+    def _of_slice(self, texts: list[bytes | str]) -> Iterator[bytes]:
+        plain = self._of_plain([x for x in texts if isinstance(x, bytes)])
+        return (next(plain) if isinstance(x, bytes) else self.whole([x])[0].as_py() for x in texts)
 
     def __call__(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not (self.by_word and (text.isascii() or _PLAIN.fullmatch(text))) or any(x in text for x in self.special):
-            return self.whole([text])[0]
-        words = _WORDS.findall(text)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        if new := [w for w in set(words) if w not in self.known]:
-            self.known.update(zip(new, self.whole(new), strict=True))
-        return b"".join(map(self.known.__getitem__, words))
+        return next(self.each([text]))
 
     @property
     def size(self) -> int:
@@ -134,9 +223,9 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
         try:
             for batch in batches:
                 ids, texts = batch.column("doc_id").to_pylist(), texts_of(batch, "text")
-                for doc, text in zip(ids, texts, strict=True):
+                for doc, coded in zip(ids, encode.each(texts), strict=True):
                     shard = shard or _Shard(store, f"{base}/{part:06d}-{done:04d}-{uuid.uuid4().hex}", kind)
-                    shard.add(doc, encode(text) + end)
+                    shard.add(doc, coded + end)
                     if shard.n_ids >= shard_ids:
                         yield shard.close(part, done)
                         shard, done = None, done + 1
