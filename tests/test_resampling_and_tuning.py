@@ -88,3 +88,31 @@ def test_tuning_keeps_folds_apart_and_chooses_by_mean(spark):
     weights = {r["label"]: r for r in MD.with_weightings(df).select("label", "weight_balanced", "weight_none", "weight_two").distinct().collect()}
     n1 = sum(y for _, y, _, _ in rows)
     assert abs(weights[1.0]["weight_balanced"] - 300 / (2 * n1)) < 1e-12 and weights[1.0]["weight_two"] == 2 and weights[0.0]["weight_two"] == 1
+
+
+def test_the_tuned_query_searches_the_whole_grid(spark, monkeypatch):
+    """No parameter of the query bounds the points, the numbers of trees or the folds."""
+    import inspect
+
+    from upkeep import schema as S
+    from upkeep.plans import catalog as C
+
+    class Asked(Exception):
+        pass
+
+    signature = inspect.signature(MD.tune)
+
+    def tune(*args, **kw):
+        bound = signature.bind(*args, **kw)
+        bound.apply_defaults()
+        raise Asked(bound.arguments)
+
+    monkeypatch.setattr(C, "_train_test", lambda *_: (None, None, ["x"]))
+    monkeypatch.setattr(MD, "tune", tune)
+    try:
+        C.q_tuned_models(spark, "")
+    except Asked as error:
+        asked = error.args[0]
+    assert [len(MD.grid_points(n, asked["points"], asked["trees"])) for n in asked["names"]] == [72, 729, 1458]
+    assert asked["trees"] == S.TREES == (100, 200, 300)
+    assert (asked["tune_folds"], asked["cv_folds"]) == (3, 5)
