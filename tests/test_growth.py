@@ -164,3 +164,42 @@ def test_tuning_fits_each_point_and_fold_once(spark, monkeypatch):
     tuned = MD.tune(df, ["x", "y"], F.col("id"), names=("random_forest",), points=2, trees=(2,), tune_folds=2, cv_folds=3)
     assert len(fits) == 2 * 2 + 3 + 1 and not any("x" in columns for columns in fits)
     assert tuned.model.transform(df).count() == 200
+
+
+def shuffles(spark) -> set[str]:
+    """Ids of the shuffles that have files."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName().split("_")[1] for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def left_over(spark, before: set[str]) -> set[str]:
+    """New shuffles that still have files; they are deleted in the background."""
+    import time
+
+    for _ in range(50):
+        if not shuffles(spark) - before:
+            break
+        time.sleep(0.2)
+    return shuffles(spark) - before
+
+
+def test_a_stored_table_leaves_no_shuffled_files(spark):
+    from upkeep.session import materialize
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(key), shuffles(spark)
+    grouped = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    stored = materialize(grouped)
+    assert left_over(spark, before) == set() and spark.conf.get(key) == setting
+    assert sum(r["n"] for r in stored.collect()) == 1000 and grouped.count() == 7   # the plan itself can run again
+
+
+def test_extract_shuffles_checks_without_their_buildings(spark, joins_shuffle):
+    from upkeep.plans import catalog as C
+
+    before = shuffles(spark)
+    out = C.q_extract_window(spark, SF)
+    assert left_over(spark, before) == set()
+    lines = [line for line in plan_lines(out) if "Exchange hashpartitioning" in line]
+    # checks and flags by building and time, then checks and buildings by building
+    assert len(lines) == 4 and out.count() > 0

@@ -73,25 +73,26 @@ def extract_records(t: dict, lookback_days: int = REPORT_LOOKBACK_DAYS,
     first_res = t["building_resident"].groupBy("building_id").agg(F.min("resident_id").alias("_resident"))
     inv = t["resident_invoice"].groupBy(F.col("resident_id").alias("_resident")).agg(F.min("value").alias("_value"))
 
-    recs = (b.join(bt, "_type", "left")
-            .join(bst, "building_id")
-            .join(svc, "_service")
-            .join(rs, ["_service", "building_id"])
-            .join(first_res, "building_id", "left")
-            .join(inv, "_resident", "left")
-            .join(cities, "_city", "left")
-            .join(countries, "_country", "left"))
+    # what belongs to a building is joined building by building, so that the checks are shuffled without it
+    owners = (b.join(bt, "_type", "left")
+              .join(first_res, "building_id", "left")
+              .join(inv, "_resident", "left")
+              .join(cities, "_city", "left")
+              .join(countries, "_country", "left"))
+    checks = rs.join(bst.join(svc, "_service"), ["_service", "building_id"])
 
     since = F.col("maintenance_date") - F.make_interval(days=F.lit(lookback_days))
     if window_days is None:
         # Exists a report at or after (check - 30 days)  <=>  latest report >= check - 30 days
         latest = t["reports"].groupBy("building_id").agg(F.max("created_at").alias("_latest"))
-        recs = recs.join(latest, "building_id", "left").withColumn(
+        recs = checks.join(owners.join(latest, "building_id", "left"), "building_id").withColumn(
             "failure_reported", F.coalesce(F.col("_latest") >= since, F.lit(False)))
     else:
-        flags = reports_in_window(rs.select("building_id", "maintenance_date"), t["reports"], lookback_days, window_days)
-        recs = recs.join(flags, ["building_id", "maintenance_date"], "left").withColumn(
-            "failure_reported", F.coalesce(F.col("_reported"), F.lit(False)))
+        # each part is stored as it is made, so that its shuffled files need not stay until the last join
+        flags = materialize(reports_in_window(rs.select("building_id", "maintenance_date"), t["reports"], lookback_days, window_days))
+        checks = materialize(checks.drop("_service"))
+        recs = (checks.join(flags, ["building_id", "maintenance_date"], "left").join(materialize(owners), "building_id")
+                .withColumn("failure_reported", F.coalesce(F.col("_reported"), F.lit(False))))
 
     return recs.select(
         "building_id", "building_type", "asset_type", F.lit("preventive").alias("maintenance_type"),
@@ -120,7 +121,7 @@ def reports_in_window(checks: DataFrame, reports: DataFrame, lookback_days: int,
     held = (reports.where("building_id IS NOT NULL AND created_at IS NOT NULL").groupBy("building_id", F.col("created_at").alias("at"))
             .agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(1)))
     # at the same time a window's start comes before a report and its end after it
-    events = materialize(probes.unionByName(held, allowMissingColumns=True).withColumn("x", F.unix_micros(F.col("at").cast("timestamp"))))
+    events = materialize(probes.unionByName(held, allowMissingColumns=True).withColumn("x", F.unix_micros(F.col("at").cast("timestamp"))).drop("at"))
     seg = segment(events, ["building_id"], "x", **({"max_rows": max_rows} if max_rows else {}))
     run = ordered_scan(seg, order=[F.col("x"), F.col("kind")], sums={"so_far": F.col("n")}).where("kind <> 1")
     before, until = (F.max(F.when(F.col("kind") == k, F.col("so_far"))) for k in (0, 2))
@@ -140,7 +141,8 @@ def operational_from_tables(spark: SparkSession, sf_dir: str) -> dict:
     cust, nation, region = rd("customer"), rd("nation"), rd("region")
     part, orders, li = rd("part"), rd("orders"), rd("lineitem")
     deleted = F.to_timestamp(F.lit("2000-01-01"))
-    lo = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    # stored, as two of the tables come from it and each is read more than once
+    lo = materialize(li.join(orders, li.l_orderkey == orders.o_orderkey).select("o_custkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"))
     return {
         "buildings": cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey).select(
             F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("type"),
