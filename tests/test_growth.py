@@ -203,3 +203,12 @@ def test_extract_shuffles_checks_without_their_buildings(spark, joins_shuffle):
     lines = [line for line in plan_lines(out) if "Exchange hashpartitioning" in line]
     # checks and flags by building and time, then checks and buildings by building
     assert len(lines) == 4 and out.count() > 0
+
+
+def test_json_lines_are_stored_compressed(spark):
+    from upkeep.plans import catalog as C
+
+    out = C.q_json_roundtrip(spark, SF)
+    assert out.inputFiles() and all(f.endswith(".json.gz") for f in out.inputFiles())
+    rows = records_from_tables(spark, SF, keep_tie=False)
+    assert out.columns == rows.columns and out.exceptAll(rows).isEmpty() and rows.exceptAll(out).isEmpty()
