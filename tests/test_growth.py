@@ -212,3 +212,26 @@ def test_json_lines_are_stored_compressed(spark):
     assert out.inputFiles() and all(f.endswith(".json.gz") for f in out.inputFiles())
     rows = records_from_tables(spark, SF, keep_tie=False)
     assert out.columns == rows.columns and out.exceptAll(rows).isEmpty() and rows.exceptAll(out).isEmpty()
+
+
+def test_an_append_to_the_history_leaves_no_shuffled_files(spark, tmp_path):
+    from upkeep.sources import history as H
+
+    path, before = os.fspath(tmp_path / "history"), shuffles(spark)
+    scored = spark.range(50).select((F.col("id") % 5).alias("building_id"), F.lit("a").alias("asset_type"), F.lit("2001-05-05 00:00:00").cast("timestamp").alias("prediction_date"))
+    for run in ("a", "a", "b"):
+        H.append_predictions(scored, path, buckets=2, run_id=run)
+    assert left_over(spark, before) == set()
+    stored = spark.read.parquet(path)
+    assert stored.count() == 100 and all(".zstd." in f for f in stored.inputFiles())
+
+
+def test_the_history_stores_the_scores_once(spark, monkeypatch):
+    from upkeep.plans import catalog as C
+
+    monkeypatch.setattr(C, "_STAGES", {})
+    stored = []
+    write = C.materialize
+    monkeypatch.setattr(C, "materialize", lambda df, *a: stored.append(df.columns) or write(df, *a))
+    assert C.q_prediction_history(spark, SF).count() > 0
+    assert len(stored) == 1

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upkeep.session import released_shuffles
+
 HISTORY_BUCKETS = 64
 
 
@@ -26,8 +28,9 @@ def append_predictions(scored: DataFrame, path: str, buckets: int = HISTORY_BUCK
            .withColumn("prediction_day", F.to_date("prediction_date")).withColumn("run_id", F.lit(run_id or "-")))
     # bucket and day spread over tasks, so that a hot building's days do not share one
     out = out.repartition("building_bucket", "prediction_day", F.pmod(F.xxhash64("building_id", "asset_type"), F.lit(8)))
-    writer = out.write.mode("overwrite" if run_id else "append").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("building_bucket", "prediction_day", "run_id").parquet(path)
+    writer = out.write.mode("overwrite" if run_id else "append").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    with released_shuffles(scored.sparkSession):   # of whole rows, which would lie beside those of the next append
+        writer.partitionBy("building_bucket", "prediction_day", "run_id").parquet(path)
 
 
 def prediction_history(spark: SparkSession, path: str, building_id: int, asset_type: str | None = None,
