@@ -235,3 +235,22 @@ def test_the_history_stores_the_scores_once(spark, monkeypatch):
     monkeypatch.setattr(C, "materialize", lambda df, *a: stored.append(df.columns) or write(df, *a))
     assert C.q_prediction_history(spark, SF).count() > 0
     assert len(stored) == 1
+
+
+def test_features_made_for_the_split_do_not_stay_beside_the_fit(spark, monkeypatch):
+    from upkeep.plans import catalog as C
+    from upkeep.session import temporary_tables
+
+    def there(paths):
+        return [p for p in paths if os.path.exists(p.removeprefix("file:"))]
+
+    monkeypatch.setattr(C, "_STAGES", {})
+    monkeypatch.setattr(C, "FEATURE_PLACE", {})
+    with temporary_tables(spark) as paths:
+        train, _, cols = C._train_test(spark, SF)
+        wide = [p for p in there(paths) if len(spark.read.parquet(p).columns) > 40]
+        assert len(wide) == 1 and set(cols) <= set(spark.read.parquet(wide[0]).columns)   # the split
+        assert train.count() > 0
+        again = C._feature_table(spark, SF)   # made again for who asks for them
+        C._STAGES.pop((spark.sparkContext.applicationId, SF, "split"))
+        assert C._train_test(spark, SF)[0].exceptAll(train).isEmpty() and again.count() > 0
