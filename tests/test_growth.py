@@ -254,3 +254,25 @@ def test_features_made_for_the_split_do_not_stay_beside_the_fit(spark, monkeypat
         again = C._feature_table(spark, SF)   # made again for who asks for them
         C._STAGES.pop((spark.sparkContext.applicationId, SF, "split"))
         assert C._train_test(spark, SF)[0].exceptAll(train).isEmpty() and again.count() > 0
+
+
+def test_families_predict_rows_read_once(spark, tmp_path, monkeypatch):
+    """The rows of ``predict`` for each model from one scan, of which the comparison stores what it compares."""
+    from upkeep.operators import models as MD
+    from upkeep.plans import catalog as C
+
+    path = os.fspath(tmp_path / "rows")
+    spark.range(300).select("id", (F.col("id") % 3 == 0).cast("double").alias("label"), (F.col("id") % 7).cast("double").alias("x"), F.rand(3).alias("y")).write.parquet(path)
+    df, stored = spark.read.parquet(path), []
+    monkeypatch.setattr(C, "_train_test", lambda *_: (df, df, ["x", "y"]))
+    monkeypatch.setattr(C, "FAMILY_PARAMS", {"random_forest": {"numTrees": 3, "maxDepth": 3}, "gbt_depthwise": {"maxIter": 2, "maxDepth": 2}})
+    monkeypatch.setattr(C, "materialize", lambda df: stored.append(df) or df)
+    assert C.q_model_families(spark, "").count() == 10
+    (scored,) = stored
+    assert sorted(scored.columns) == ["label", "model", "prediction", "score"]
+    assert sum("FileScan" in line for line in plan_lines(scored)) == 1
+    models = {n: MD.fit_fixed(df, ["x", "y"], n, seed=C.S.SPLIT_SEED, **p) for n, p in C.FAMILY_PARAMS.items()}
+    each = MD.predict_each(models, df, keep=["id"])
+    for n, m in models.items():
+        one = MD.predict(m, df, keep=["id"], model_name=n).select(*each.columns)
+        assert sorted(map(str, one.collect())) == sorted(map(str, each.filter(F.col("model") == n).collect()))
